@@ -42,11 +42,10 @@ def checked_aggregate(df: DataFrame, values: Sequence[str], aggregates: dict[str
         F.count_if(bad).alias("__bad"),
         *[expr.alias(name) for name, expr in aggregates.items()],
     )
-    return (
-        found.filter(ensure(F.col("__rows") > 0, "arrays must not be empty"))
-        .filter(ensure(F.col("__bad") == 0, "arrays must contain only finite values"))
-        .drop("__rows", "__bad")
+    valid = ensure(F.col("__rows") > 0, "arrays must not be empty") & ensure(
+        F.col("__bad") == 0, "arrays must contain only finite values"
     )
+    return found.filter(valid).drop("__rows", "__bad")
 
 
 def _double(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -139,10 +138,12 @@ def seasonal_scale(
     value: str,
     series: Sequence[str],
     order: Sequence[str],
+    strict: bool = True,
 ) -> DataFrame:
-    """Mean absolute seasonal difference per series; a series must be longer than the seasonal lag.
+    """Mean absolute seasonal difference per series.
 
-    A series is ordered by `order` and holds one row per time step, so a window partition is bounded by
+    A series that is too short, not finite or without seasonal change stops the job, or gets a NULL scale
+    when `strict` is off.  A series is ordered by `order` and holds one row per time step, so a window partition is bounded by
     the calendar.
     """
     if seasonality < 1:
@@ -159,12 +160,19 @@ def seasonal_scale(
             F.avg("__step").alias("scale"),
         )
     )
-    return (
-        scaled.filter(ensure(F.col("__rows") > seasonality, "training history must be longer than the seasonal lag"))
-        .filter(ensure(F.col("__bad") == 0, "training history must contain only finite values"))
-        .filter(ensure(F.col("scale") > MACHINE_EPSILON, "seasonal naive error is zero; MASE is undefined"))
-        .select(*series, "scale")
-    )
+    conditions = {
+        "training history must be longer than the seasonal lag": F.col("__rows") > seasonality,
+        "training history must contain only finite values": F.col("__bad") == 0,
+        "seasonal naive error is zero; MASE is undefined": F.col("scale") > MACHINE_EPSILON,
+    }
+    if strict:
+        for message, holds in conditions.items():
+            scaled = scaled.filter(ensure(holds, message))
+        return scaled.select(*series, "scale")
+    defined = F.lit(True)
+    for holds in conditions.values():
+        defined = defined & holds
+    return scaled.select(*series, F.when(defined, F.col("scale")).alias("scale"))
 
 
 def mean_absolute_scaled_error(
@@ -176,12 +184,16 @@ def mean_absolute_scaled_error(
     actual: str = "actual_units",
     predicted: str = "predicted_units",
     by: Sequence[str] = (),
+    strict: bool = True,
 ) -> DataFrame:
-    """MAE divided by the in-sample error of the seasonal naive forecast, per series key `by`."""
+    """MAE divided by the in-sample error of the seasonal naive forecast, per series key `by`.
+
+    With `strict` off, series whose scale is undefined get a NULL instead of stopping the whole job.
+    """
     errors_per_series = checked_aggregate(
         df, (actual, predicted), {"mae": errors.mae(F.col(actual), F.col(predicted))}, by
     )
-    scale = seasonal_scale(history, seasonality, history_value, by, order)
+    scale = seasonal_scale(history, seasonality, history_value, by, order, strict)
     return attach(errors_per_series, scale, by).select(*by, (F.col("mae") / F.col("scale")).alias("mase"))
 
 

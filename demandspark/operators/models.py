@@ -4,12 +4,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.functions.guards import join_on, require_columns
+from demandspark.functions.guards import group_window, join_on, require_columns
 from demandspark.operators.encoding import encoder_stages
-from demandspark.operators.metrics import METRIC_COLUMNS, regression_metrics
+from demandspark.operators.metrics import regression_metrics
 from demandspark.operators.splits import fold_summary, rolling_origin
 from demandspark.schemas import TARGET_COLUMN
 
@@ -77,15 +77,15 @@ def predict(model: PipelineModel, frame: DataFrame, output: str = "predicted_uni
     return model.transform(frame).select(*frame.columns, F.col("prediction").cast("double").alias(output))
 
 
+def model_mae(model: str, by: Sequence[str] = ()) -> Column:
+    """MAE of one model, on every row of a metrics table (a few rows per `by` group)."""
+    return F.max(F.when(F.col("model_version") == model, F.col("mae"))).over(group_window(by))
+
+
 def compare_models(predictions: DataFrame, baseline: str, by: Sequence[str] = ("split",)) -> DataFrame:
     """Metrics per model and split, with the MAE ratio to the baseline model of the same split."""
     scored = regression_metrics(predictions, by=["model_version", *by])
-    reference = scored.filter(F.col("model_version") == baseline).select(*by, F.col("mae").alias("baseline_mae"))
-    return (
-        join_on(scored, reference, by, "left")
-        .withColumn("mae_vs_baseline", F.col("mae") / F.col("baseline_mae"))
-        .select("model_version", *by, *METRIC_COLUMNS, "mae_vs_baseline")
-    )
+    return scored.withColumn("mae_vs_baseline", F.col("mae") / model_mae(baseline, by))
 
 
 def backtest_report(validation: DataFrame, frame: DataFrame, horizon_days: int, folds: int = 3) -> DataFrame:

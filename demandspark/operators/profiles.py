@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.functions.guards import attach, join_on, require_columns
+from demandspark.functions import errors
+from demandspark.functions.guards import attach, require_columns
 from demandspark.functions.histogram import counts_at_least, repair_edges, shares_from_counts
 from demandspark.operators.metrics import METRIC_COLUMNS, checked_aggregate, regression_metrics
 from demandspark.operators.quantiles import quantiles
@@ -117,16 +118,25 @@ def reference_distribution(
     method: str = "select",
 ) -> DataFrame:
     """Distribution plus `bin_edges` (repaired quantile edges) and `expected_share` per bin."""
-    steps = {f"edge_{i}": i / bins for i in range(bins + 1)}
-    edges = quantiles(df, value, steps, by, method).select(
-        *by, repair_edges(F.array(*[F.col(c) for c in steps])).alias("bin_edges")
+    step = 1.0 / bins
+    steps = {f"edge_{i}": i * step if i < bins else 1.0 for i in range(bins + 1)}
+    found = quantiles(df, value, {**SPREAD, **steps}, by, method).select(
+        *by, *SPREAD, repair_edges(F.array(*[F.col(c) for c in steps])).alias("bin_edges")
     )
-    binned = attach(df.select(*by, F.col(value).cast("double").alias(value)), edges, by)
+    rows = attach(df.select(*by, F.col(value).cast("double").alias(value)), found.drop(*SPREAD), by)
     above = counts_at_least(F.col(value), F.col("bin_edges"), bins)
-    counts = binned.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), *[c.alias(f"__above_{i}") for i, c in above.items()])
-    shares = counts.select(*by, F.array(*shares_from_counts(F.col("__n"), bins)).alias("expected_share"))
-    profile = distribution(df, value, by, method)
-    return attach(attach(profile, edges, by), shares, by)
+    counts = checked_aggregate(
+        rows,
+        (value,),
+        {
+            "rows": F.count(F.lit(1)),
+            "mean": F.avg(value),
+            "std": F.stddev_pop(value),
+            **{f"__above_{i}": c for i, c in above.items()},
+        },
+        by,
+    ).select(*by, "rows", "mean", "std", F.array(*shares_from_counts(F.col("rows"), bins)).alias("expected_share"))
+    return attach(counts, found, by).select(*by, "rows", "mean", "std", *SPREAD, "bin_edges", "expected_share")
 
 
 def bin_rows(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -143,18 +153,23 @@ def bin_rows(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def baseline_profile(
     train: DataFrame,
     reference_predictions: DataFrame,
-    interval: DataFrame,
+    target_coverage: float,
+    interval: DataFrame | None = None,
     by: Sequence[str] = ("model_version",),
     bins: int = 10,
 ) -> DataFrame:
-    """One row per model with everything monitoring needs: target, prediction reference, MAE and coverage."""
+    """One row per model with everything monitoring needs: target, prediction reference, MAE and coverage.
+
+    `interval` is an optional conformal summary whose observed coverage and width are kept as well.
+    """
     reference = reference_distribution(reference_predictions, by=by, bins=bins)
-    metrics = regression_metrics(reference_predictions, by=by).select(*by, F.col("mae").alias("reference_mae"))
-    target = training_profile(train).select("target_mean", "target_std")
-    with_metrics = join_on(reference, metrics, by)
-    with_interval = join_on(
-        with_metrics,
-        interval.select(*by, "target_coverage", "observed_coverage", "mean_interval_width"),
+    error = checked_aggregate(
+        reference_predictions,
+        ("actual_units", "predicted_units"),
+        {"reference_mae": errors.mae(F.col("actual_units"), F.col("predicted_units"))},
         by,
     )
-    return attach(with_interval, target)
+    profile = attach(reference, error, by).withColumn("target_coverage", F.lit(target_coverage))
+    if interval is not None:
+        profile = attach(profile, interval.select(*by, "observed_coverage", "mean_interval_width"), by)
+    return attach(profile, training_profile(train).select("target_mean", "target_std"))

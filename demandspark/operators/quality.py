@@ -36,14 +36,13 @@ def interval_quality(predictions: DataFrame, by: Sequence[str] = ()) -> DataFram
     ).drop("__crossed")
 
 
-def segment_quality(
+def segment_table(
     predictions: DataFrame,
     segments: Sequence[str] = ("store_id", "category"),
     min_rows: int = 10,
-    top: int = 10,
     by: Sequence[str] = (),
 ) -> DataFrame | None:
-    """The worst segments by MAE.  Small segments and segments with values that are not finite are skipped.
+    """Quality of every segment.  Small segments and segments with values that are not finite are skipped.
 
     Returns None when the log lacks actuals or every segment column.
     """
@@ -54,7 +53,7 @@ def segment_quality(
         return None
     a, p = F.col("actual_units").cast("double"), F.col("predicted_units").cast("double")
     label = F.concat_ws(" / ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("nan"))) for c in present])
-    measured = (
+    return (
         predictions.groupBy(*by, *present)
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -68,6 +67,19 @@ def segment_quality(
         .filter((F.col("rows") >= min_rows) & (F.col("__bad") == 0))
         .select(*by, label.alias("segment"), "rows", "mean_actual", "mean_predicted", "mae", "wape", "bias")
     )
+
+
+def segment_quality(
+    predictions: DataFrame,
+    segments: Sequence[str] = ("store_id", "category"),
+    min_rows: int = 10,
+    top: int = 10,
+    by: Sequence[str] = (),
+) -> DataFrame | None:
+    """The `top` worst segments by MAE, per `by` group."""
+    measured = segment_table(predictions, segments, min_rows, by)
+    if measured is None:
+        return None
     worst_first = [F.col("mae").desc(), F.col("rows").desc(), F.col("segment")]
     if not by:
         return measured.orderBy(*worst_first).limit(top)
@@ -79,14 +91,12 @@ def segment_quality(
 
 
 def worst_segment(segments: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """First row of the segment report per group."""
-    key = F.struct(F.col("mae"), F.col("rows"))
-    top = segments.withColumn(
-        "__rank",
-        F.row_number().over(group_window(by, F.col("mae").desc(), F.col("rows").desc(), F.col("segment"))),
-    )
-    return top.filter(F.col("__rank") == 1).select(
-        *by, F.col("segment").alias("worst_segment"), F.col("mae").alias("segment_mae")
+    """Name and MAE of the worst segment per group; one row, of NULLs, for an empty table without groups."""
+    worst = F.min_by(F.struct("segment", "mae"), F.struct(-F.col("mae"), -F.col("rows"), F.col("segment")))
+    return (
+        segments.groupBy(*by)
+        .agg(worst.alias("worst"))
+        .select(*by, F.col("worst.segment").alias("worst_segment"), F.col("worst.mae").alias("segment_mae"))
     )
 
 

@@ -55,7 +55,7 @@ def order_statistics(
         .filter(is_finite(F.col("__v")))
         .groupBy(*by, "__v")
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__coarse", magnitude_bucket(F.col("__v")))
+        .select("*", magnitude_bucket(F.col("__v")).alias("__coarse"))
     )
     counts = values.groupBy(*by, "__coarse").agg(
         F.sum("__n").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
@@ -135,5 +135,8 @@ def quantiles(
     for name, p in probabilities.items():
         low, high = F.col(f"{name}__lower"), F.col(f"{name}__upper")
         position = (F.col("n") - 1) * F.lit(p)
-        columns.append((low + (high - low) * (position - F.floor(position))).alias(name))
+        share = position - F.floor(position)
+        # Interpolate from the nearer end, which keeps equal neighbours exact at both ends.
+        between = F.when(share >= 0.5, high - (high - low) * (F.lit(1.0) - share)).otherwise(low + (high - low) * share)
+        columns.append(between.alias(name))
     return found.select(*by, "n", *columns)

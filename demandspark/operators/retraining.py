@@ -5,8 +5,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.functions.guards import group_window, join_on
-
 # The step each alert type asks for, in the order steps are listed.
 STEPS = {
     "prediction_drift": "refresh the recent scoring window and compare demand distribution against training",
@@ -20,57 +18,51 @@ FALLBACK_STEP = "review the drift report before starting a retraining run"
 DEFAULT_COMMAND = "demandspark retrain"
 
 
-def _severity_rank(severity: Column) -> Column:
-    name = F.lower(severity)
-    return F.when(name == "high", 2).when(name == "medium", 1).otherwise(0)
+def priority_of(severities: Column) -> Column:
+    """high, medium or low, by the most severe entry of an array."""
+    names = F.transform(severities, lambda s: F.lower(s))
+    return F.when(F.array_contains(names, "high"), "high").when(F.array_contains(names, "medium"), "medium").otherwise("low")
 
 
-def retraining_priority(alerts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """`priority` per group: high, medium or low, by its most severe alert."""
-    worst = alerts.groupBy(*by).agg(F.max(_severity_rank(F.col("severity"))).alias("rank"))
-    return worst.select(
-        *by, F.when(F.col("rank") == 2, "high").when(F.col("rank") == 1, "medium").otherwise("low").alias("priority")
+def steps_of(types: Column) -> Column:
+    """The steps an array of alert types asks for, or the fallback when none is known."""
+    steps = F.array_compact(
+        F.array(*[F.when(F.array_contains(types, kind), F.lit(step)) for kind, step in STEPS.items()])
     )
+    return F.when(F.size(steps) > 0, steps).otherwise(F.array(F.lit(FALLBACK_STEP)))
+
+
+def retraining_priority(alerts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """`priority` per group of a long alert table."""
+    found = alerts.groupBy(*by).agg(F.collect_set("severity").alias("severities"))
+    return found.select(*by, priority_of(F.col("severities")).alias("priority"))
 
 
 def retraining_steps(alerts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """`next_steps` per group: the steps of its alert types, or the fallback when no type is known."""
-    types = alerts.groupBy(*by).agg(F.collect_set("type").alias("types"))
-    steps = F.array_compact(
-        F.array(*[F.when(F.array_contains("types", kind), F.lit(step)) for kind, step in STEPS.items()])
-    )
-    return types.select(
-        *by, F.when(F.size(steps) > 0, steps).otherwise(F.array(F.lit(FALLBACK_STEP))).alias("next_steps")
-    )
+    """`next_steps` per group of a long alert table."""
+    found = alerts.groupBy(*by).agg(F.collect_set("type").alias("types"))
+    return found.select(*by, steps_of(F.col("types")).alias("next_steps"))
 
 
 def retraining_plan(
-    summary: DataFrame,
-    alerts: DataFrame,
+    report: DataFrame,
     source_report: str,
     created_at: str,
     command: str = DEFAULT_COMMAND,
     by: Sequence[str] = ("model_version",),
 ) -> DataFrame:
-    """One plan per monitored model; models without alerts get `no_action` and priority low."""
-    by = list(by)
-    types = alerts.groupBy(*by).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "type"))), lambda a: a["type"]).alias("alert_types")
-    )
-    plan = summary.select(*by, F.col("retrain_recommended").alias("triggered"), "reason")
-    for part in (types, retraining_priority(alerts, by), retraining_steps(alerts, by)):
-        plan = join_on(plan, part, by, "left")
+    """One plan per row of a monitoring report; rows without alerts get `no_action` and priority low."""
+    triggered = F.col("retrain_recommended")
     empty = F.array().cast("array<string>")
-    triggered = F.col("triggered")
-    return plan.select(
+    return report.select(
         *by,
         F.lit(created_at).alias("created_at"),
-        "triggered",
+        triggered.alias("triggered"),
         F.when(triggered, "ready_to_retrain").otherwise("no_action").alias("status"),
         "reason",
-        F.coalesce("priority", F.lit("low")).alias("priority"),
-        F.coalesce("alert_types", empty).alias("alert_types"),
-        F.when(triggered, F.col("next_steps")).otherwise(empty).alias("next_steps"),
+        priority_of(F.col("alerts.severity")).alias("priority"),
+        F.col("alerts.type").alias("alert_types"),
+        F.when(triggered, steps_of(F.col("alerts.type"))).otherwise(empty).alias("next_steps"),
         F.when(triggered, F.lit(command)).otherwise(F.lit("")).alias("retrain_command"),
         F.lit(source_report).alias("source_report"),
     )

@@ -1,10 +1,15 @@
 """The layer tables of one data folder, built once per session and shared by the queries.
 
-Silver and features are read several times by most queries, so they are tables, as in any layered
-store: where `spark.checkpoint.dir` names a shared folder they are written there as Parquet and read
-back, which cuts the lineage and survives lost executors; where it is unset they are persisted.
+Silver, features, the prediction log and the baseline profile are read several times by the queries
+that follow them, so each is a written table, as in any layered store.  They are written as Parquet to
+the shared folder that `spark.checkpoint.dir` names and read back, which cuts the lineage and survives
+lost executors.  Where the setting is absent, a local session uses a temporary folder and a cluster
+session persists the table instead.
 """
 
+import tempfile
+from collections.abc import Callable, Sequence
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +17,7 @@ from pyspark.sql import functions as F
 
 from demandspark.operators import conformal, features as feature_ops, layers, models, profiles, scoring, splits
 from demandspark.sources import demand
+from demandspark.sources.writers import write_table
 
 VALIDATION_DAYS = 21
 TEST_DAYS = 21
@@ -24,14 +30,32 @@ MODELS = {"naive": "rolling_7_mean_units", "lag_7": "lag_7_units"}
 _shared: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _share(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="demandspark-")
+
+
+def _folder(spark: SparkSession) -> str | None:
+    """The shared folder for written tables; a temporary one only in a local session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    return _local_folder().name if spark.sparkContext.master.startswith("local") else None
+
+
+def _share(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    build: Callable[[], DataFrame],
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _shared:
-        table = build()
-        folder = spark.conf.get("spark.checkpoint.dir", None)
+        table, folder = build(), _folder(spark)
         if folder:
             path = f"{folder}/demandspark/{key[0]}/{name}-{uuid4().hex}"
-            table.write.parquet(path)
+            write_table(table, path, mode="errorifexists", partition_by=partition_by)
             table = spark.read.parquet(path)
         else:
             table = table.persist()
@@ -58,12 +82,13 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature table with its time split."""
+    """Feature table with its time split, stored by split so that a slice reads only its own files."""
     return _share(
         spark,
         sf_dir,
         "features",
         lambda: splits.time_split(feature_ops.build_features(silver(spark, sf_dir)), VALIDATION_DAYS, TEST_DAYS),
+        ["split"],
     )
 
 
@@ -88,18 +113,28 @@ def radius(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored test slice of every model, with calibrated bounds."""
-    scored = forecasts(spark, sf_dir, "test")
-    return conformal.add_intervals(scored, radius(spark, sf_dir), COVERAGE, by=["model_version"])
+    """Scored test slice of every model, with calibrated bounds, stored by model version."""
+    return _share(
+        spark,
+        sf_dir,
+        "prediction_log",
+        lambda: conformal.add_intervals(
+            forecasts(spark, sf_dir, "test"), radius(spark, sf_dir), COVERAGE, by=["model_version"]
+        ),
+        ["model_version"],
+    )
 
 
 def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Baseline profile per model: the validation slice is the reference."""
-    calibration = forecasts(spark, sf_dir, "validation")
-    interval = conformal.conformal_summary(
-        calibration, forecasts(spark, sf_dir, "test"), COVERAGE, by=["model_version"]
+    return _share(
+        spark,
+        sf_dir,
+        "baseline",
+        lambda: profiles.baseline_profile(
+            slice_of(spark, sf_dir, "train"), forecasts(spark, sf_dir, "validation"), COVERAGE
+        ),
     )
-    return profiles.baseline_profile(slice_of(spark, sf_dir, "train"), calibration, interval)
 
 
 def naive_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
