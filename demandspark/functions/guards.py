@@ -48,28 +48,23 @@ def group_window(by: Sequence[str], *order: Column) -> WindowSpec:
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join that matches NULL keys with each other and keeps one copy of the key columns."""
-    renamed = right.select(
-        *[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns]
-    )
-    condition = None
-    for key in keys:
-        part = left[key].eqNullSafe(renamed[f"__r_{key}"])
-        condition = part if condition is None else condition & part
+    renamed = right.withColumnsRenamed({key: f"__r_{key}" for key in keys})
+    condition = F.expr(" AND ".join(f"`{key}` <=> `__r_{key}`" for key in keys))
     return left.join(renamed, condition, how).drop(*[f"__r_{key}" for key in keys])
 
 
-def attach(df: DataFrame, row: DataFrame, by: Sequence[str] = (), columns: Mapping[str, str] | None = None) -> DataFrame:
+def attach(
+    df: DataFrame, row: DataFrame, by: Sequence[str] = (), columns: Mapping[str, str] | None = None
+) -> DataFrame:
     """Add the columns of a one-row-per-group table to every row of `df`.
 
     With grouping keys this is an equi-join.  Without keys the one-row table becomes a scalar
     subquery, so nothing is joined or shuffled.  `columns` maps source names to output names.
     """
     names = dict(columns) if columns else {c: c for c in row.columns if c not in by}
+    renamed = [f"`{source}` AS `{target}`" for source, target in names.items()]
     if by:
-        wanted = row.select(*by, *[F.col(source).alias(target) for source, target in names.items()])
-        return join_on(df, wanted, by)
-    packed = row.select(F.struct(*[F.col(source).alias(target) for source, target in names.items()]).alias("packed"))
-    return (
-        df.withColumn("__attached", packed.scalar())
-        .select(*df.columns, *[F.col(f"__attached.{target}").alias(target) for target in names.values()])
-    )
+        return join_on(df, row.selectExpr(*[f"`{c}`" for c in by], *renamed), by)
+    packed = row.selectExpr(f"struct({', '.join(renamed)})").scalar()
+    unpacked = [f"__attached.`{target}` AS `{target}`" for target in names.values()]
+    return df.withColumn("__attached", packed).selectExpr("*", *unpacked).drop("__attached")

@@ -8,80 +8,78 @@ with empty bins included.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from demandspark.functions.guards import is_finite
-
 EDGE_STEP = 1e-6
 SMALLEST_SHARE = 1e-6
 
 
-def repair_edges(edges: Column) -> Column:
-    """Make edges strictly increasing from left to right, then widen both ends."""
-    raised = F.aggregate(
-        edges,
-        F.array().cast("array<double>"),
-        lambda done, edge: F.array_append(
-            done,
-            F.when(
-                (F.size(done) > 0) & (edge <= F.try_element_at(done, F.lit(-1))),
-                F.try_element_at(done, F.lit(-1)) + F.lit(EDGE_STEP),
-            ).otherwise(edge),
-        ),
+def repair_edges(edges: str) -> Column:
+    """Make an array of edges strictly increasing from left to right, then widen both ends."""
+    raised = (
+        f"aggregate({edges}, cast(array() AS array<double>), (done, edge) -> array_append(done, "
+        f"CASE WHEN size(done) > 0 AND edge <= try_element_at(done, -1) THEN try_element_at(done, -1) + {EDGE_STEP!r}D "
+        "ELSE edge END))"
     )
-    last = F.size(edges) - 1
-    return F.transform(
-        raised,
-        lambda edge, i: F.when(i == 0, edge - F.lit(EDGE_STEP)).when(i == last, edge + F.lit(EDGE_STEP)).otherwise(edge),
+    return F.expr(
+        f"transform({raised}, (edge, i) -> CASE WHEN i = 0 THEN edge - {EDGE_STEP!r}D "
+        f"WHEN i = size({edges}) - 1 THEN edge + {EDGE_STEP!r}D ELSE edge END)"
     )
 
 
-def counts_at_least(value: Column, edges: Column, bins: int) -> dict[int, Column]:
-    """For every inner edge 1..bins-1, the aggregate count of values at or above it."""
-    return {i: F.count_if(value >= F.get(edges, F.lit(i))) for i in range(1, bins)}
-
-
-def bin_counts(total: Column, bins: int, prefix: str = "__above_") -> list[Column]:
-    above = [total, *[F.col(f"{prefix}{i}") for i in range(1, bins)], F.lit(0)]
-    return [above[i] - above[i + 1] for i in range(bins)]
+def counts_at_least(value: str, bins: int, edges: str = "bin_edges") -> dict[str, Column]:
+    """For every inner edge, the aggregate count of values at or above it."""
+    return {f"__above_{i}": F.expr(f"count_if(`{value}` >= {edges}[{i}])") for i in range(1, bins)}
 
 
-def shares_from_counts(total: Column, bins: int, prefix: str = "__above_") -> list[Column]:
-    return [count / total for count in bin_counts(total, bins, prefix)]
+def bin_shares(total: str, bins: int) -> Column:
+    """Array with the share of values in each bin, from the counts of `counts_at_least`."""
+    above = [f"`{total}`", *[f"__above_{i}" for i in range(1, bins)], "0"]
+    return F.expr(f"array({', '.join(f'({above[i]} - {above[i + 1]}) / `{total}`' for i in range(bins))})")
 
 
-def clip_share(share: Column) -> Column:
-    return F.least(F.greatest(share, F.lit(SMALLEST_SHARE)), F.lit(1.0))
+def stability_index(expected: str, observed: str) -> Column:
+    """Sum of (o - e) ln(o / e) over two arrays of shares.
 
+    Expected shares are scaled to a sum of one; all shares are then clipped, and not scaled again.
+    """
+    def clip(share: str) -> str:
+        return f"least(greatest({share}, {SMALLEST_SHARE!r}D), 1D)"
 
-def stability_index(expected: list[Column], observed: list[Column]) -> Column:
-    """Sum of (o - e) ln(o / e) over clipped shares; the clipped shares are not rescaled."""
-    index = F.lit(0.0)
-    for e, o in zip(map(clip_share, expected), map(clip_share, observed)):
-        index = index + (o - e) * F.log(o / e)
-    return index
+    total = f"aggregate({expected}, 0D, (a, b) -> a + b)"
+    pairs = f"zip_with({expected}, {observed}, (e, o) -> struct({clip(f'e / {total}')} AS e, {clip('o')} AS o))"
+    return F.expr(f"aggregate({pairs}, 0D, (sum, s) -> sum + (s.o - s.e) * ln(s.o / s.e))")
 
 
-def spread_edges(mean: Column, std: Column, bins: int) -> Column:
-    """Edges of an even grid over mean +/- 3 deviations, the reference shape when no bins are stored."""
-    width = F.greatest(std, F.lit(EDGE_STEP)) * 6.0
-    return F.array(*[mean - width / 2.0 + width * F.lit(i / bins) for i in range(bins + 1)])
+def spread_edges(bins: int, mean: str = "mean", std: str = "std") -> str:
+    """SQL array of edges of an even grid over mean +/- 3 deviations, the shape assumed without stored bins."""
+    width = f"(6D * greatest({std}, {EDGE_STEP!r}D))"
+    return f"array({', '.join(f'{mean} - {width} / 2D + {width} * {i / bins!r}D' for i in range(bins + 1))})"
 
 
-def spread_shares(bins: int) -> list[float]:
-    """Share of the grid points in each bin: the grid has max(200, 40 * bins) evenly spaced points."""
+def spread_shares(bins: int) -> str:
+    """SQL array with the share of grid points per bin: the grid has max(200, 40 * bins) even points."""
     points = max(200, 40 * bins)
     first = [0] + [-(-(points - 1) * i // bins) for i in range(1, bins)] + [points]
-    return [(first[i + 1] - first[i]) / points for i in range(bins)]
-
-
-def valid_bins(edges: Column, shares: Column, bins: int) -> list[tuple[Column, str]]:
-    """The conditions a stored reference must meet, each with its error message."""
-    total = F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)
-    rising = F.forall(F.sequence(F.lit(1), F.size(edges) - 1), lambda i: F.get(edges, i) > F.get(edges, i - 1))
-    return [
-        (F.size(edges) >= 3, "at least two bins are required for PSI"),
-        (F.size(shares) == F.size(edges) - 1, "expected_share must have one value per bin"),
-        (F.size(edges) == bins + 1, f"stored profile must have {bins} bins"),
-        (F.forall(edges, is_finite) & F.forall(shares, is_finite), "PSI reference values must be finite"),
-        (F.forall(shares, lambda s: s >= 0) & (total > 0), "expected_share must be non-negative with a positive sum"),
-        (rising, "bin_edges must be strictly increasing"),
+    return f"array({', '.join(f'{(first[i + 1] - first[i]) / points!r}D' for i in range(bins))})"
+
+
+def checked_edges(bins: int, edges: str = "bin_edges", shares: str = "expected_share") -> Column:
+    """The stored edges; computing them stops the job when the stored reference cannot be used.
+
+    This is a value rather than a filter, because a filter would be pushed into the expression that
+    computes the edges and repeat it in every condition.
+    """
+    finite = "x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf')"
+    conditions = {
+        "at least two bins are required for PSI": f"size({edges}) >= 3",
+        "expected_share must have one value per bin": f"size({shares}) = size({edges}) - 1",
+        f"stored profile must have {bins} bins": f"size({edges}) = {bins + 1}",
+        "PSI reference values must be finite": f"forall({edges}, {finite}) AND forall({shares}, {finite})",
+        "expected_share must be non-negative with a positive sum": f"forall({shares}, x -> x >= 0) "
+        f"AND aggregate({shares}, 0D, (a, b) -> a + b) > 0",
+        "bin_edges must be strictly increasing": f"forall(sequence(1, size({edges}) - 1), i -> {edges}[i] > {edges}[i - 1])",
+    }
+    failures = [
+        f"WHEN NOT coalesce({condition}, false) THEN cast(raise_error('{message}') AS array<double>)"
+        for message, condition in conditions.items()
     ]
+    return F.expr(f"CASE {' '.join(failures)} ELSE {edges} END")

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions import errors
@@ -16,13 +16,13 @@ def _check_coverage(coverage: float) -> None:
         raise ValueError("coverage must be between zero and one")
 
 
-def radius_rank(n: Column, coverage: float) -> Column:
-    """Zero-based rank of the radius: the "higher" quantile at level ceil((n + 1) * coverage) / n.
+def radius_rank(coverage: float) -> str:
+    """Zero-based rank of the radius among the n errors of a group, as SQL.
 
-    This may lie one above the textbook rank ceil((n + 1) * coverage) - 1.
+    It is the "higher" quantile at level ceil((n + 1) * coverage) / n, which may lie one above the
+    textbook rank ceil((n + 1) * coverage) - 1.
     """
-    level = F.least(F.lit(1.0), F.ceil((n + 1) * F.lit(coverage)) / n)
-    return F.ceil((n - 1) * level)
+    return f"ceil((value_count - 1) * least(1D, ceil((value_count + 1) * {coverage!r}D) / value_count))"
 
 
 def conformal_radius(
@@ -38,9 +38,9 @@ def conformal_radius(
     found = order_statistics(
         calibration,
         errors.absolute_error(F.col(actual).cast("double"), F.col(predicted).cast("double")),
-        {"interval_radius": lambda n: radius_rank(n, coverage)},
+        {"interval_radius": radius_rank(coverage)},
         by,
-    ).drop("n")
+    ).drop("value_count")
     return attach(checked, found, by).select(*by, "calibration_rows", "interval_radius")
 
 

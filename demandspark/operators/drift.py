@@ -5,14 +5,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.functions.guards import attach, ensure, group_window, is_finite, join_on
+from demandspark.functions.guards import attach, is_finite, join_on
 from demandspark.functions.histogram import (
+    bin_shares,
+    checked_edges,
     counts_at_least,
-    shares_from_counts,
     spread_edges,
     spread_shares,
     stability_index,
-    valid_bins,
 )
 from demandspark.operators.metrics import checked_aggregate
 
@@ -21,61 +21,56 @@ SMALLEST_STD = 1e-6
 
 def _psi(df: DataFrame, profile: DataFrame, value: str, by: Sequence[str], bins: int) -> DataFrame:
     """`psi` per group; the profile holds one row per group with `bin_edges` and `expected_share`."""
-    for condition, message in valid_bins(F.col("bin_edges"), F.col("expected_share"), bins):
-        profile = profile.filter(ensure(condition, message))
-    profile = profile.select(*by, "bin_edges", "expected_share")
-    rows = attach(df.select(*by, F.col(value).cast("double").alias(value)), profile.drop("expected_share"), by)
-    above = counts_at_least(F.col(value), F.col("bin_edges"), bins)
-    counts = checked_aggregate(
-        rows, (value,), {"__n": F.count(F.lit(1)), **{f"__above_{i}": c for i, c in above.items()}}, by
-    )
-    joined = attach(counts, profile.drop("bin_edges"), by)
-    total = F.aggregate("expected_share", F.lit(0.0), lambda a, b: a + b)
-    expected = [F.get("expected_share", F.lit(i)) / F.col("__total") for i in range(bins)]
-    return joined.withColumn("__total", total).select(
-        *by, stability_index(expected, shares_from_counts(F.col("__n"), bins)).alias("psi")
+    edges = profile.select(*by, checked_edges(bins).alias("bin_edges"))
+    rows = attach(df.select(*by, F.col(value).cast("double").alias(value)), edges, by)
+    counts = checked_aggregate(rows, (value,), {"__n": F.count(F.lit(1)), **counts_at_least(value, bins)}, by)
+    observed = counts.select(*by, bin_shares("__n", bins).alias("__observed"))
+    return attach(observed, profile, by, {"expected_share": "__expected"}).select(
+        *by, stability_index("__expected", "__observed").alias("psi")
     )
 
 
-def psi_from_bins(
-    df: DataFrame, profile: DataFrame, value: str = "predicted_units", by: Sequence[str] = (), bins: int = 10
-) -> DataFrame:
-    """Population stability index against stored bin edges and shares."""
+def _check_bins(bins: int) -> None:
     if bins < 2:
         raise ValueError("bins must be at least 2")
-    return _psi(df, profile, value, by, bins)
 
 
-def _spread_profile(profile: DataFrame, bins: int) -> tuple[Column, Column]:
-    return (
-        spread_edges(F.col("mean"), F.col("std"), bins),
-        F.array(*[F.lit(share) for share in spread_shares(bins)]),
-    )
+def psi_from_bins(
+    df: DataFrame, profile: DataFrame, value: str = "predicted_units", by: Sequence[str] = (), bins: int = 10
+) -> DataFrame:
+    """Population stability index against stored bin edges and shares."""
+    _check_bins(bins)
+    return _psi(df, profile.select(*by, "bin_edges", "expected_share"), value, by, bins)
 
 
 def psi_from_stats(
     df: DataFrame, profile: DataFrame, value: str = "predicted_units", by: Sequence[str] = (), bins: int = 10
 ) -> DataFrame:
     """Population stability index against an even spread over mean +/- 3 deviations."""
-    if bins < 2:
-        raise ValueError("bins must be at least 2")
-    edges, shares = _spread_profile(profile, bins)
-    return _psi(df, profile.select(*by, edges.alias("bin_edges"), shares.alias("expected_share")), value, by, bins)
+    _check_bins(bins)
+    spread = profile.selectExpr(
+        *by, f"{spread_edges(bins)} AS bin_edges", f"{spread_shares(bins)} AS expected_share"
+    )
+    return _psi(df, spread, value, by, bins)
 
 
 def psi(
     df: DataFrame, profile: DataFrame, value: str = "predicted_units", by: Sequence[str] = (), bins: int = 10
 ) -> DataFrame:
     """Use the stored bins of a group where both arrays exist, otherwise its mean and deviation."""
-    if bins < 2:
-        raise ValueError("bins must be at least 2")
+    _check_bins(bins)
     present = set(profile.columns)
-    edges, shares = _spread_profile(profile, bins) if {"mean", "std"} <= present else (F.lit(None), F.lit(None))
-    if {"bin_edges", "expected_share"} <= present:
-        stored = F.col("bin_edges").isNotNull() & F.col("expected_share").isNotNull()
-        edges = F.when(stored, F.col("bin_edges")).otherwise(edges)
-        shares = F.when(stored, F.col("expected_share")).otherwise(shares)
-    return _psi(df, profile.select(*by, edges.alias("bin_edges"), shares.alias("expected_share")), value, by, bins)
+    if not {"bin_edges", "expected_share"} <= present:
+        return psi_from_stats(df, profile, value, by, bins)
+    if not {"mean", "std"} <= present:
+        return psi_from_bins(df, profile, value, by, bins)
+    stored = "bin_edges IS NOT NULL AND expected_share IS NOT NULL"
+    chosen = profile.selectExpr(
+        *by,
+        f"CASE WHEN {stored} THEN bin_edges ELSE {spread_edges(bins)} END AS bin_edges",
+        f"CASE WHEN {stored} THEN expected_share ELSE {spread_shares(bins)} END AS expected_share",
+    )
+    return _psi(df, chosen, value, by, bins)
 
 
 def coalesce_reference(baseline: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -84,10 +79,10 @@ def coalesce_reference(baseline: DataFrame, by: Sequence[str] = ()) -> DataFrame
     return baseline.select(*by, chosen.alias("chosen")).select(*by, "chosen.*")
 
 
-def _number(name: str) -> Column:
-    """Text that is no number counts as missing."""
-    value = F.col(name).try_cast("double")
-    return F.when(is_finite(value), value)
+def _number(name: str) -> str:
+    """SQL of a column as a finite number; text that is no number counts as missing."""
+    value = f"try_cast(`{name}` AS double)"
+    return f"CASE WHEN NOT isnan({value}) AND abs({value}) < double('inf') THEN {value} END"
 
 
 def feature_mean_shift(
@@ -102,14 +97,9 @@ def feature_mean_shift(
     present = [c for c in features if c in observed.columns]
     if not present:
         raise ValueError("none of the features is present in the prediction log")
-    wide = observed.groupBy(*by).agg(*[F.avg(_number(c)).alias(f"__mean_{i}") for i, c in enumerate(present)])
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.col(f"__mean_{i}").alias("observed_mean"))
-            for i, c in enumerate(present)
-        ]
-    )
-    means = wide.select(*by, F.inline(pairs)).filter(F.col("observed_mean").isNotNull())
+    wide = observed.groupBy(*by).agg(*[F.expr(f"avg({_number(c)}) AS __mean_{i}") for i, c in enumerate(present)])
+    pairs = ", ".join(f"struct('{c}' AS feature, __mean_{i} AS observed_mean)" for i, c in enumerate(present))
+    means = wide.selectExpr(*by, f"inline(array({pairs}))").filter("observed_mean IS NOT NULL")
     order = ["position"] if "position" in profile.columns else []
     keys = [c for c in by if c in profile.columns] + ["feature"]
     reference = profile.select(*keys, *order, F.col("mean").alias("reference_mean"), F.col("std").alias("reference_std"))

@@ -4,10 +4,9 @@ All series windows are row based and end at the previous row, so a row never see
 They share one partitioning and one order, which Spark plans as one exchange and one sort.  The input
 must be unique on (date, store, SKU), as a bronze table is: a series then holds at most one row per
 calendar day, which bounds every window partition by the length of the calendar, whatever the table
-size.  `assert_unique_days` turns that requirement into a run-time check inside the same window.
+size.  The requirement is checked at run time inside the same window.
 """
 
-from collections.abc import Mapping
 from math import pi
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -64,28 +63,30 @@ def cyclic_columns() -> dict[str, Column]:
     return {"day_sin": F.sin(day), "day_cos": F.cos(day), "month_sin": F.sin(month), "month_cos": F.cos(month)}
 
 
-def add_series_features(silver: DataFrame) -> DataFrame:
-    """Lags, rolling means and deviations, the window delta and the expanding series mean."""
+def add_series_features(silver: DataFrame, check_days: bool = True) -> DataFrame:
+    """Lags, rolling means and deviations, the window delta and the expanding series mean.
+
+    `check_days` stops the job when a series has two rows for one day; it costs one more column in the
+    same window.
+    """
     window = series_window()
-    columns: Mapping[str, Column] = {
+    columns: dict[str, Column] = {
         **lag_columns(window),
         **rolling_mean_columns(window),
         **rolling_std_columns(window),
         "sku_avg_units": expanding_mean(F.col(TARGET_COLUMN), window),
     }
-    return silver.withColumns(dict(columns)).withColumn(
+    if check_days:
+        # Rows of the same day, from the window alone: a check that read `date` itself could be merged
+        # with a caller's filter on `date` and then reject rows that filter was meant to drop.
+        columns["__copies"] = F.count("date").over(window.rangeBetween(Window.currentRow, Window.currentRow))
+    frame = silver.withColumns(columns).withColumn(
         "rolling_mean_delta_7_28", F.col("rolling_7_mean_units") - F.col("rolling_28_mean_units")
     )
-
-
-def assert_unique_days(silver: DataFrame) -> DataFrame:
-    """Stop the job when a series has two rows for one day."""
-    repeated = F.lag("date").over(series_window()) == F.col("date")
-    return (
-        silver.withColumn("__repeated", F.coalesce(repeated, F.lit(False)))
-        .filter(ensure(~F.col("__repeated"), "silver table has two rows for one date, store and SKU"))
-        .drop("__repeated")
-    )
+    if not check_days:
+        return frame
+    unique = ensure(F.col("__copies") <= 1, "silver table has two rows for one date, store and SKU")
+    return frame.filter(unique).drop("__copies")
 
 
 def sku_price_means(silver: DataFrame) -> DataFrame:
@@ -145,7 +146,7 @@ def build_features(silver: DataFrame, check_days: bool = True) -> DataFrame:
     """The feature table: silver columns, the numeric features and `entity_id`."""
     require_columns(silver, SILVER_REQUIRED, "silver table")
     frame = silver.withColumn("date", F.to_date("date"))
-    series = add_series_features(assert_unique_days(frame) if check_days else frame)
+    series = add_series_features(frame, check_days)
     local = series.withColumns({**cyclic_columns(), "promotion_price": F.col("promotion") * F.col("price")})
     priced = add_price_position(local, frame)
     joined = add_store_history(priced, frame)

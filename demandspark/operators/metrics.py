@@ -85,7 +85,7 @@ def regression_metrics(
         {"median_absolute_error": 0.5, "p90_absolute_error": 0.9},
         by,
         method,
-    ).drop("n")
+    ).drop("value_count")
     return attach(sums, tails, by).select(*by, *METRIC_COLUMNS)
 
 
@@ -209,5 +209,5 @@ def residual_summary(
     sums = checked_aggregate(
         frame, (actual, predicted), {"mean": F.avg(error), "max_abs": F.max(F.abs(error))}, by
     )
-    tails = quantiles(frame, error, {"median": 0.5, "p10": 0.1, "p90": 0.9}, by, method).drop("n")
+    tails = quantiles(frame, error, {"median": 0.5, "p10": 0.1, "p90": 0.9}, by, method).drop("value_count")
     return attach(sums, tails, by).select(*by, "mean", "median", "p10", "p90", "max_abs")

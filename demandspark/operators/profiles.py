@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions import errors
 from demandspark.functions.guards import attach, require_columns
-from demandspark.functions.histogram import counts_at_least, repair_edges, shares_from_counts
+from demandspark.functions.histogram import bin_shares, counts_at_least, repair_edges
 from demandspark.operators.metrics import METRIC_COLUMNS, checked_aggregate, regression_metrics
 from demandspark.operators.quantiles import quantiles
 from demandspark.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, TARGET_COLUMN
@@ -23,7 +23,7 @@ def distribution(df: DataFrame, value: str, by: Sequence[str] = (), method: str
         {"rows": F.count(F.lit(1)), "mean": F.avg(value), "std": F.stddev_pop(value)},
         by,
     )
-    return attach(sums, quantiles(df, value, SPREAD, by, method).drop("n"), by)
+    return attach(sums, quantiles(df, value, SPREAD, by, method).drop("value_count"), by)
 
 
 def prediction_profile(predictions: DataFrame, by: Sequence[str] = (), method: str = "select") -> DataFrame:
@@ -49,22 +49,15 @@ def training_profile(train: DataFrame, target: str = TARGET_COLUMN, by: Sequence
 
 def numeric_profile(frame: DataFrame, features: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
     """(`position`, `feature`, `mean`, `std`) from one wide aggregation, turned into rows afterwards."""
-    wide = frame.agg(
-        *[F.avg(c).alias(f"mean_{i}") for i, c in enumerate(features)],
-        *[F.stddev_samp(c).alias(f"std_{i}") for i, c in enumerate(features)],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(c).alias("feature"),
-                F.col(f"mean_{i}").alias("mean"),
-                F.col(f"std_{i}").alias("std"),
-            )
-            for i, c in enumerate(features)
-        ]
-    )
-    return wide.select(F.inline(rows))
+    moments = [
+        F.expr(f"{function}(`{c}`) AS {name}_{i}")
+        for i, c in enumerate(features)
+        for name, function in (("mean", "avg"), ("std", "stddev_samp"))
+    ]
+    rows = [
+        f"struct({i} AS position, '{c}' AS feature, mean_{i} AS mean, std_{i} AS std)" for i, c in enumerate(features)
+    ]
+    return frame.agg(*moments).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def category_profile(
@@ -121,10 +114,9 @@ def reference_distribution(
     step = 1.0 / bins
     steps = {f"edge_{i}": i * step if i < bins else 1.0 for i in range(bins + 1)}
     found = quantiles(df, value, {**SPREAD, **steps}, by, method).select(
-        *by, *SPREAD, repair_edges(F.array(*[F.col(c) for c in steps])).alias("bin_edges")
+        *by, *SPREAD, repair_edges(f"array({', '.join(steps)})").alias("bin_edges")
     )
     rows = attach(df.select(*by, F.col(value).cast("double").alias(value)), found.drop(*SPREAD), by)
-    above = counts_at_least(F.col(value), F.col("bin_edges"), bins)
     counts = checked_aggregate(
         rows,
         (value,),
@@ -132,10 +124,10 @@ def reference_distribution(
             "rows": F.count(F.lit(1)),
             "mean": F.avg(value),
             "std": F.stddev_pop(value),
-            **{f"__above_{i}": c for i, c in above.items()},
+            **counts_at_least(value, bins),
         },
         by,
-    ).select(*by, "rows", "mean", "std", F.array(*shares_from_counts(F.col("rows"), bins)).alias("expected_share"))
+    ).select(*by, "rows", "mean", "std", bin_shares("rows", bins).alias("expected_share"))
     return attach(counts, found, by).select(*by, "rows", "mean", "std", *SPREAD, "bin_edges", "expected_share")
 
 

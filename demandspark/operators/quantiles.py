@@ -12,9 +12,9 @@ the wanted rank, splits that bucket again, and only then sorts the few distinct
 Buckets are monotone functions of the value, so every step is exact and repeatable.
 """
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.functions.guards import group_window, is_finite, join_on
@@ -37,16 +37,23 @@ def linear_bucket(value: Column, low: Column, high: Column) -> Column:
     return F.when(high > low, F.floor(share * FINE_BUCKETS)).otherwise(F.lit(0)).cast("bigint")
 
 
+def _running(by: Sequence[str], order: str) -> Column:
+    """Counts up to and including each row; the order column is unique within a group."""
+    return F.sum("__n").over(group_window(by, F.col(order)).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def _pick(rank: str, running: str) -> str:
+    """The row whose counts cover the wanted rank, given the counts up to and including the row."""
+    return f"{rank} >= {running} - __n AND {rank} < {running}"
+
+
 def order_statistics(
-    df: DataFrame,
-    value: Column | str,
-    ranks: Mapping[str, Callable[[Column], Column]],
-    by: Sequence[str] = (),
+    df: DataFrame, value: Column | str, ranks: Mapping[str, str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per group: `n` and, for each name, the value at a zero-based rank.
+    """One row per group: `value_count` and, for each name, the value at a zero-based rank.
 
-    `ranks` maps an output name to a function from the group's row count to the rank.  Values that are
-    not finite are left out.
+    `ranks` maps an output name to the rank as a SQL expression of `value_count`.  Values that
+    are not finite are left out.
     """
     by = list(by)
     value = F.col(value) if isinstance(value, str) else value
@@ -57,28 +64,22 @@ def order_statistics(
         .agg(F.count(F.lit(1)).alias("__n"))
         .select("*", magnitude_bucket(F.col("__v")).alias("__coarse"))
     )
-    counts = values.groupBy(*by, "__coarse").agg(
-        F.sum("__n").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
-    )
-    running = group_window(by, F.col("__coarse"))
-    total = F.sum("__n").over(group_window(by))
-    wanted = F.array(
-        *[F.struct(F.lit(name).alias("name"), rank(F.col("n")).cast("bigint").alias("rank")) for name, rank in ranks.items()]
-    )
+    wanted = ", ".join(f"struct('{name}' AS __name, cast({rank} AS bigint) AS __rank)" for name, rank in ranks.items())
+    whole = group_window(by, F.col("__coarse")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     coarse = (
-        counts.withColumns({"n": total, "__upto": F.sum("__n").over(running)})
-        .withColumn("__want", F.explode(wanted))
-        .filter((F.col("__want.rank") >= F.col("__upto") - F.col("__n")) & (F.col("__want.rank") < F.col("__upto")))
+        values.groupBy(*by, "__coarse")
+        .agg(F.sum("__n").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
         .select(
-            *by,
-            "__coarse",
-            "n",
-            F.col("__want.name").alias("__name"),
-            (F.col("__want.rank") - F.col("__upto") + F.col("__n")).alias("__rank"),
-            "__low",
-            "__high",
+            "*",
+            F.sum("__n").over(whole).alias("value_count"),
+            _running(by, "__coarse").alias("__upto"),
         )
+        .selectExpr("*", f"inline(array({wanted}))")
+        .filter(_pick("__rank", "__upto"))
+        .selectExpr(*by, "__coarse", "value_count", "__name", "__rank - __upto + __n AS __rank", "__low", "__high")
     )
+    if not by:
+        coarse = F.broadcast(coarse)  # one row per rank, whatever the size of the data
     inside = join_on(values, coarse, by + ["__coarse"]).withColumn(
         "__fine", linear_bucket(F.col("__v"), F.col("__low"), F.col("__high"))
     )
@@ -86,18 +87,19 @@ def order_statistics(
     fine = (
         inside.groupBy(*slots, "__fine")
         .agg(F.sum("__n").alias("__n"), F.max("__rank").alias("__rank"))
-        .withColumn("__upto", F.sum("__n").over(group_window(slots, F.col("__fine"))))
-        .filter((F.col("__rank") >= F.col("__upto") - F.col("__n")) & (F.col("__rank") < F.col("__upto")))
-        .select(*slots, "__fine", (F.col("__rank") - F.col("__upto") + F.col("__n")).alias("__left"))
+        .select("*", _running(slots, "__fine").alias("__upto"))
+        .filter(_pick("__rank", "__upto"))
+        .selectExpr(*slots, "__fine", "__rank - __upto + __n AS __left")
     )
+    if not by:
+        fine = F.broadcast(fine)
     picked = (
         join_on(inside, fine, slots + ["__fine"])
-        .withColumn("__upto", F.sum("__n").over(group_window(slots, F.col("__v"))))
-        .filter((F.col("__left") >= F.col("__upto") - F.col("__n")) & (F.col("__left") < F.col("__upto")))
+        .select("*", _running(slots, "__v").alias("__upto"))
+        .filter(_pick("__left", "__upto"))
     )
     return picked.groupBy(*by).agg(
-        F.max("n").alias("n"),
-        *[F.max(F.when(F.col("__name") == name, F.col("__v"))).alias(name) for name in ranks],
+        F.max("value_count").alias("value_count"), *[F.expr(f"max(CASE WHEN __name = '{name}' THEN __v END) AS `{name}`") for name in ranks]
     )
 
 
@@ -109,7 +111,7 @@ def quantiles(
     method: str = "select",
     accuracy: int = 10000,
 ) -> DataFrame:
-    """One row per group: `n` and the linearly interpolated quantiles.
+    """One row per group: `value_count` and the linearly interpolated quantiles.
 
     method "select"   exact, for groups of any size (see `order_statistics`)
            "inline"   exact, the built-in `percentile`: for groups known to be small
@@ -121,22 +123,19 @@ def quantiles(
         finite = df.select(*by, value.cast("double").alias("__v")).filter(is_finite(F.col("__v")))
         function = F.percentile if method == "inline" else lambda c, p: F.percentile_approx(c, p, accuracy)
         return finite.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"),
+            F.count(F.lit(1)).alias("value_count"),
             *[function(F.col("__v"), F.lit(p)).alias(name) for name, p in probabilities.items()],
         )
     if method != "select":
         raise ValueError("method must be select, inline or approx")
-    ranks: dict[str, Callable[[Column], Column]] = {}
+    ranks, columns = {}, []
     for name, p in probabilities.items():
-        ranks[f"{name}__lower"] = lambda n, p=p: F.floor((n - 1) * F.lit(p))
-        ranks[f"{name}__upper"] = lambda n, p=p: F.ceil((n - 1) * F.lit(p))
-    found = order_statistics(df, value, ranks, by)
-    columns = []
-    for name, p in probabilities.items():
-        low, high = F.col(f"{name}__lower"), F.col(f"{name}__upper")
-        position = (F.col("n") - 1) * F.lit(p)
-        share = position - F.floor(position)
+        position = f"((value_count - 1) * {p!r}D)"
+        ranks[f"{name}__low"], ranks[f"{name}__high"] = f"floor({position})", f"ceil({position})"
         # Interpolate from the nearer end, which keeps equal neighbours exact at both ends.
-        between = F.when(share >= 0.5, high - (high - low) * (F.lit(1.0) - share)).otherwise(low + (high - low) * share)
-        columns.append(between.alias(name))
-    return found.select(*by, "n", *columns)
+        low, high, share = f"`{name}__low`", f"`{name}__high`", f"({position} - floor({position}))"
+        columns.append(
+            f"CASE WHEN {share} >= 0.5D THEN {high} - ({high} - {low}) * (1D - {share}) "
+            f"ELSE {low} + ({high} - {low}) * {share} END AS `{name}`"
+        )
+    return order_statistics(df, value, ranks, by).selectExpr(*by, "value_count", *columns)

@@ -102,7 +102,7 @@ def prediction_summary(predictions: DataFrame, by: Sequence[str] = (), method: s
     )
     spread = quantiles(
         predictions, "predicted_units", {"p50_predicted_units": 0.5, "p90_predicted_units": 0.9}, by, method
-    ).drop("n")
+    ).drop("value_count")
     return attach(sums, spread, by).select(
         *by,
         "rows",

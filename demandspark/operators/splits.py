@@ -18,6 +18,25 @@ def split_label(date: Column, last_date: Column, validation_days: int, test_days
     )
 
 
+def time_slice(df: DataFrame, name: str, validation_days: int = 21, test_days: int = 21) -> DataFrame:
+    """Rows of one split, as a plain date range, so that the scan can skip the other files and row groups."""
+    require_columns(df, ["date"], "feature table")
+    if name not in ("train", "validation", "test"):
+        raise ValueError("name must be train, validation or test")
+    if validation_days < 1 or test_days < 1:
+        raise ValueError("validation_days and test_days must be positive")
+    date = F.col("date")
+    last = df.agg(F.max("date"))
+    test_start = last.select(F.date_sub("max(date)", test_days - 1)).scalar()
+    validation_start = last.select(F.date_sub("max(date)", test_days - 1 + validation_days)).scalar()
+    wanted = {
+        "train": date < validation_start,
+        "validation": (date >= validation_start) & (date < test_start),
+        "test": date >= test_start,
+    }
+    return df.filter(wanted[name])
+
+
 def time_split(df: DataFrame, validation_days: int = 21, test_days: int = 21, strict: bool = False) -> DataFrame:
     """Add `split` = train, validation or test by calendar days before the last date.
 

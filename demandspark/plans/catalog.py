@@ -241,7 +241,7 @@ def model_matrix(spark, sf_dir):
 
 @query
 def time_split(spark, sf_dir):
-    return splits.time_split(tables.features(spark, sf_dir).drop("split"), 21, 21).select(*KEY, "split")
+    return splits.time_split(tables.features(spark, sf_dir), 21, 21).select(*KEY, "split")
 
 
 @query
@@ -352,7 +352,7 @@ def model_vs_baseline(spark, sf_dir):
 
 @query
 def backtest_naive(spark, sf_dir):
-    history = tables.features(spark, sf_dir).filter(F.col("split") != "test")
+    history = tables.history(spark, sf_dir)
     return models.backtest_naive(history, 21, 3)
 
 
@@ -364,7 +364,7 @@ def gbt_forecast(spark, sf_dir):
 
 @query
 def backtest_gbt(spark, sf_dir):
-    history = tables.features(spark, sf_dir).filter(F.col("split") != "test").drop("split")
+    history = tables.history(spark, sf_dir).drop("split")
     return models.backtest_trees(history, 21, 3, rounds=QUERY_ROUNDS)
 
 
@@ -420,7 +420,7 @@ def training_profile(spark, sf_dir):
 
 @query
 def feature_profile(spark, sf_dir):
-    return profiles.feature_profile(tables.features(spark, sf_dir), where=F.col("split") == "train")
+    return profiles.feature_profile(tables.labelled(spark, sf_dir), where=F.col("split") == "train")
 
 
 @query
@@ -446,28 +446,25 @@ def edge_repair(spark, sf_dir):
             ).alias("edges")
         )
     )
-    repaired = edges.select("sku_id", F.posexplode(repair_edges(F.col("edges"))).alias("position", "edge"))
+    repaired = edges.select("sku_id", F.posexplode(repair_edges("edges")).alias("position", "edge"))
     return repaired.select("sku_id", "position", "edge")
 
 
 @query
 def psi_from_bins(spark, sf_dir):
-    reference = profiles.reference_distribution(tables.forecasts(spark, sf_dir, "validation"), by=MODEL)
-    return drift.psi_from_bins(tables.forecasts(spark, sf_dir, "test"), reference, by=MODEL)
+    return drift.psi_from_bins(tables.forecasts(spark, sf_dir, "test"), tables.baseline(spark, sf_dir), by=MODEL)
 
 
 @query
 def psi_from_stats(spark, sf_dir):
-    reference = profiles.distribution(tables.forecasts(spark, sf_dir, "validation"), "predicted_units", MODEL)
-    return drift.psi_from_stats(tables.forecasts(spark, sf_dir, "test"), reference, by=MODEL)
+    return drift.psi_from_stats(tables.forecasts(spark, sf_dir, "test"), tables.baseline(spark, sf_dir), by=MODEL)
 
 
 @query
 def psi_dispatch(spark, sf_dir):
     """The naive model keeps its stored bins; the other one has only mean and deviation."""
-    reference = profiles.reference_distribution(tables.forecasts(spark, sf_dir, "validation"), by=MODEL)
     keep = F.col("model_version") == "naive"
-    mixed = reference.withColumns(
+    mixed = tables.baseline(spark, sf_dir).withColumns(
         {
             "bin_edges": F.when(keep, F.col("bin_edges")),
             "expected_share": F.when(keep, F.col("expected_share")),
@@ -602,7 +599,7 @@ def current_champion(spark, sf_dir):
 
 @query
 def run_params_long(spark, sf_dir):
-    counts = tables.features(spark, sf_dir).agg(
+    counts = tables.labelled(spark, sf_dir).agg(
         *[F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in ("train", "validation", "test")]
     )
     settings = {
@@ -616,7 +613,7 @@ def run_params_long(spark, sf_dir):
 @query
 def run_metrics_long(spark, sf_dir):
     held_out = {s: tables.naive(spark, sf_dir, s) for s in ("validation", "test")}
-    history = tables.features(spark, sf_dir).filter(F.col("split") != "test")
+    history = tables.history(spark, sf_dir)
     return governance.run_metrics(
         "run-1",
         {

@@ -82,28 +82,33 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature table with its time split, stored by split so that a slice reads only its own files."""
-    return _share(
-        spark,
-        sf_dir,
-        "features",
-        lambda: splits.time_split(feature_ops.build_features(silver(spark, sf_dir)), VALIDATION_DAYS, TEST_DAYS),
-        ["split"],
-    )
+    return _share(spark, sf_dir, "features", lambda: feature_ops.build_features(silver(spark, sf_dir)))
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature table with its `split` column."""
+    return splits.time_split(features(spark, sf_dir), VALIDATION_DAYS, TEST_DAYS)
 
 
 def slice_of(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
-    return features(spark, sf_dir).filter(F.col("split") == split)
+    """One split of the feature table, with its `split` column."""
+    rows = splits.time_slice(features(spark, sf_dir), split, VALIDATION_DAYS, TEST_DAYS)
+    return rows.withColumn("split", F.lit(split))
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training and validation rows."""
+    return labelled(spark, sf_dir).filter(F.col("split") != "test")
 
 
 def forecasts(spark: SparkSession, sf_dir: str, split: str | None = None) -> DataFrame:
     """Predictions of every model, long; optionally of one split."""
-    frame = features(spark, sf_dir) if split is None else slice_of(spark, sf_dir, split)
+    frame = labelled(spark, sf_dir) if split is None else slice_of(spark, sf_dir, split)
     return models.column_forecasts(frame, MODELS)
 
 
 def naive(spark: SparkSession, sf_dir: str, split: str | None = None) -> DataFrame:
-    frame = features(spark, sf_dir) if split is None else slice_of(spark, sf_dir, split)
+    frame = labelled(spark, sf_dir) if split is None else slice_of(spark, sf_dir, split)
     return models.naive_forecast(frame).withColumn("actual_units", F.col("units_sold").cast("double"))
 
 

@@ -74,11 +74,11 @@ def demand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("store_"), F.lpad(F.col("n_regionkey").cast("string"), 2, "0")).alias("store_id"),
         )
     )
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
     category = F.element_at(
         F.array(*[F.lit(c) for c in CATEGORIES]),
         (F.substring("p_brand", 7, 10).cast("int") % len(CATEGORIES)) + 1,
     )
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice", category.alias("category"))
     return (
         lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -86,7 +86,7 @@ def demand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_shipdate").cast("date").alias("date"),
             "store_id",
             F.col("p_brand").alias("sku_id"),
-            category.alias("category"),
+            "category",
             F.col("p_retailprice").alias("price"),
             F.when(F.col("l_discount") >= 0.08, 1).otherwise(0).alias("promotion"),
             F.when(F.col("l_quantity") <= 2, 1).otherwise(0).alias("stockout"),
