@@ -54,7 +54,24 @@ def conformal_summary(
 ) -> DataFrame:
     """Calibrate on one slice and report coverage, misses and interval score on another."""
     radius = conformal_radius(calibration, coverage, actual, predicted, by)
-    rows = attach(evaluation, radius, by)
+    return interval_summary(evaluation, radius, coverage, actual, predicted, by)
+
+
+def interval_summary(
+    evaluation: DataFrame,
+    radius: DataFrame,
+    coverage: float = 0.90,
+    actual: str = "actual_units",
+    predicted: str = "predicted_units",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Coverage, misses and interval score of calibrated radii (`conformal_radius`) on other rows.
+
+    A radius table read from storage has a known size: Spark then broadcasts it when it is small enough
+    instead of shuffling the evaluation rows.
+    """
+    _check_coverage(coverage)
+    rows = attach(evaluation.select(*by, actual, predicted), radius, by)
     a, p, r = F.col(actual), F.col(predicted), F.col("interval_radius")
     below, above = a < p - r, a > p + r
     penalty = 2.0 / (1.0 - coverage)

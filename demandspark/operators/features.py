@@ -12,7 +12,7 @@ from math import pi
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from demandspark.functions.guards import ensure, group_window, require_columns
+from demandspark.functions.guards import ensure, require_columns
 from demandspark.schemas import FEATURE_COLUMNS, SERIES_COLUMNS, SILVER_REQUIRED, TARGET_COLUMN
 
 LAGS = (1, 7, 14)
@@ -120,10 +120,13 @@ def store_history(silver: DataFrame) -> DataFrame:
 
 
 def join_many_to_one(left: DataFrame, right: DataFrame, keys: list[str], strict: bool = False) -> DataFrame:
-    """Left join whose right side must be unique on the keys; `strict` verifies it at run time."""
+    """Left join whose right side must be unique on the keys; `strict` verifies it at run time.
+
+    The check is one aggregation with map-side combine, so a heavily repeated key cannot overload a task.
+    """
     if strict:
-        counted = right.withColumn("__copies", F.count(F.lit(1)).over(group_window(keys)))
-        right = counted.filter(ensure(F.col("__copies") == 1, f"right side is not unique on {keys}")).drop("__copies")
+        copies = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).agg(F.max("copies")).scalar()
+        right = right.filter(ensure(copies == 1, f"right side is not unique on {keys}"))
     return left.join(right, keys, "left")
 
 

@@ -313,8 +313,8 @@ def conformal_radius_by_store(spark, sf_dir):
 
 @query
 def conformal_summary(spark, sf_dir):
-    return conformal.conformal_summary(
-        tables.forecasts(spark, sf_dir, "validation"), tables.forecasts(spark, sf_dir, "test"), by=MODEL
+    return conformal.interval_summary(
+        tables.forecasts(spark, sf_dir, "test"), tables.radius(spark, sf_dir), tables.COVERAGE, by=MODEL
     )
 
 

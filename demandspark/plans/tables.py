@@ -1,7 +1,7 @@
 """The layer tables of one data folder, built once per session and shared by the queries.
 
-Silver, features, the prediction log and the baseline profile are read several times by the queries
-that follow them, so each is a written table, as in any layered store.  They are written as Parquet to
+Silver, features, calibration radii, the prediction log and the baseline profile are read by several
+queries that follow them, so each is a written table, as in any layered store.  They are written as Parquet to
 the shared folder that `spark.checkpoint.dir` names and read back, which cuts the lineage and survives
 lost executors.  Where the setting is absent, a local session uses a temporary folder and a cluster
 session persists the table instead.
@@ -114,7 +114,12 @@ def naive(spark: SparkSession, sf_dir: str, split: str | None = None) -> DataFra
 
 def radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conformal radius per model, calibrated on the validation slice."""
-    return conformal.conformal_radius(forecasts(spark, sf_dir, "validation"), COVERAGE, by=["model_version"])
+    return _share(
+        spark,
+        sf_dir,
+        "radius",
+        lambda: conformal.conformal_radius(forecasts(spark, sf_dir, "validation"), COVERAGE, by=["model_version"]),
+    )
 
 
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
