@@ -1,6 +1,6 @@
 """Forecasts: naive column forecasts, boosted trees, and their evaluation over time."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor
@@ -21,10 +21,15 @@ DEFAULT_RATE = 0.055
 DEFAULT_SEED = 42
 
 
+def column_forecast(features: DataFrame, column: str, output: str = "predicted_units") -> DataFrame:
+    """Use a feature column as the forecast."""
+    require_columns(features, [column], "feature table")
+    return features.withColumn(output, F.col(column).cast("double"))
+
+
 def naive_forecast(features: DataFrame, output: str = "predicted_units") -> DataFrame:
     """Forecast the mean of the previous seven rows."""
-    require_columns(features, [NAIVE_COLUMN], "feature table")
-    return features.withColumn(output, F.col(NAIVE_COLUMN).cast("double"))
+    return column_forecast(features, NAIVE_COLUMN, output)
 
 
 def column_forecasts(features: DataFrame, models: Mapping[str, str]) -> DataFrame:
@@ -100,14 +105,23 @@ def backtest_summary(report: DataFrame) -> DataFrame:
     )
 
 
-def backtest_naive(features: DataFrame, horizon_days: int = 21, folds: int = 3) -> DataFrame:
-    """Rolling-origin backtest of the naive forecast; each row is scored at most once."""
-    rows = naive_forecast(rolling_origin(features, horizon_days, folds, split="validation"))
+def backtest_forecast(
+    features: DataFrame,
+    forecast: Callable[[DataFrame], DataFrame],
+    horizon_days: int = 21,
+    folds: int = 3,
+) -> DataFrame:
+    """Rolling-origin backtest of a forecast that needs no fitting; each row is scored at most once."""
+    rows = forecast(rolling_origin(features, horizon_days, folds, split="validation"))
     return backtest_report(
         rows.withColumn("actual_units", F.col(TARGET_COLUMN).cast("double")), features, horizon_days, folds
     )
 
 
+def backtest_naive(features: DataFrame, horizon_days: int = 21, folds: int = 3) -> DataFrame:
+    return backtest_forecast(features, naive_forecast, horizon_days, folds)
+
+
 def backtest_trees(
     features: DataFrame,
     horizon_days: int = 21,

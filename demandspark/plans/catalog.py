@@ -612,15 +612,26 @@ def run_params_long(spark, sf_dir):
 
 @query
 def run_metrics_long(spark, sf_dir):
-    held_out = {s: tables.naive(spark, sf_dir, s) for s in ("validation", "test")}
-    history = tables.history(spark, sf_dir)
+    """The lag-7 forecast is the candidate, the naive one its baseline."""
+    held_out = tables.forecasts(spark, sf_dir).filter(F.col("split") != "train")
+    is_baseline = F.col("model_version") == "naive"
+    compared = models.compare_models(held_out, "naive").select(
+        F.concat(F.when(is_baseline, "baseline_").otherwise(""), "split").alias("metric_group"),
+        *metrics.METRIC_COLUMNS,
+        F.when(~is_baseline & (F.col("split") == "validation"), F.col("mae_vs_baseline")).alias("mae_vs_baseline"),
+    )
+    candidate = F.col("model_version") == "lag_7"
+    tested = tables.forecasts(spark, sf_dir, "test").filter(candidate)
+    radius = tables.radius(spark, sf_dir).filter(candidate).drop("model_version")
+    folds = models.backtest_forecast(
+        tables.history(spark, sf_dir), lambda rows: models.column_forecast(rows, tables.MODELS["lag_7"]), 21, 3
+    )
     return governance.run_metrics(
         "run-1",
         {
-            "validation": metrics.regression_metrics(held_out["validation"]),
-            "test": metrics.regression_metrics(held_out["test"]),
-            "residuals": metrics.residual_summary(held_out["test"]),
-            "prediction_interval": conformal.conformal_summary(held_out["validation"], held_out["test"]),
-            "rolling_origin": models.backtest_summary(models.backtest_naive(history, 21, 3)),
+            "residuals": metrics.residual_summary(tested),
+            "prediction_interval": conformal.interval_summary(tested, radius, tables.COVERAGE),
+            "rolling_origin": models.backtest_summary(folds),
         },
+        compared,
     )

@@ -352,8 +352,11 @@ folds AS (
   SELECT fold, date, CASE WHEN position < total - 21 * (3 - fold) - 21 THEN 'train' ELSE 'validation' END AS part
   FROM days, range(1, 4) AS r(fold) WHERE position < total - 21 * (3 - fold))"""
 
-BACKTEST = f"""
-history_rows AS (SELECT *, rolling_7_mean_units AS predicted_units, cast(units_sold AS double) AS actual_units FROM split WHERE split <> 'test'),
+
+
+def backtest(column: str) -> str:
+    return f"""
+history_rows AS (SELECT *, cast({column} AS double) AS predicted_units, cast(units_sold AS double) AS actual_units FROM split WHERE split <> 'test'),
 {FOLDS.strip()},
 fold_parts AS (
   SELECT fold, max(date) FILTER (part = 'train') AS train_end, min(date) FILTER (part = 'validation') AS validation_start,
@@ -572,7 +575,7 @@ oracle(
     "backtest_naive",
     f"SELECT cast(fold AS bigint) AS fold, {day('train_end')}, {day('validation_start')}, {day('validation_end')}, train_rows, validation_rows, "
     f"{nums(*METRICS)} FROM fold_parts JOIN fold_metrics USING (fold)",
-    (*GOLD, BACKTEST),
+    (*GOLD, backtest("rolling_7_mean_units")),
 )
 INT_FEATURES = ("promotion", "stockout", "is_weekend")
 FEATURE_OUT = ", ".join(
@@ -764,8 +767,10 @@ oracle(
     "run_metrics_long",
     " UNION ALL ".join(
         [
-            _long("validation", METRICS, "held_validation"),
+            _long("validation", (*METRICS, "mae_vs_baseline"), "held_validation"),
             _long("test", METRICS, "held_test"),
+            _long("baseline_validation", METRICS, "base_validation"),
+            _long("baseline_test", METRICS, "base_test"),
             _long("residuals", RESIDUAL_OUT, "held_residuals"),
             _long("prediction_interval", ("target_coverage", *CONFORMAL, "calibration_rows", "test_rows"), "held_interval"),
             _long("rolling_origin", ("mean_mae", "mean_wape", "mae_std"), "held_folds"),
@@ -773,12 +778,15 @@ oracle(
     ),
     (
         *SCORED,
-        BACKTEST,
-        f"held_validation AS (SELECT {METRIC_LIST} FROM naive WHERE split = 'validation')",
-        f"held_test AS (SELECT {METRIC_LIST} FROM naive WHERE split = 'test')",
-        f"held_residuals AS (SELECT {', '.join(f'{e} AS {n}' for n, e in RESIDUAL_OUT.items())} FROM naive WHERE split = 'test')",
+        backtest("lag_7_units"),
+        f"base_validation AS (SELECT {METRIC_LIST} FROM naive WHERE split = 'validation')",
+        f"base_test AS (SELECT {METRIC_LIST} FROM naive WHERE split = 'test')",
+        f"held_validation AS (SELECT *, mae / (SELECT mae FROM base_validation) AS mae_vs_baseline FROM "
+        f"(SELECT {METRIC_LIST} FROM forecasts WHERE model_version = 'lag_7' AND split = 'validation'))",
+        f"held_test AS (SELECT {METRIC_LIST} FROM forecasts WHERE model_version = 'lag_7' AND split = 'test')",
+        f"held_residuals AS (SELECT {', '.join(f'{e} AS {n}' for n, e in RESIDUAL_OUT.items())} FROM log WHERE model_version = 'lag_7')",
         f"held_interval AS (SELECT 0.9e0 AS target_coverage, {', '.join(f'{e} AS {n}' for n, e in CONFORMAL.items())}, "
-        "max(calibration_rows) AS calibration_rows, count(*) AS test_rows FROM log WHERE model_version = 'naive')",
+        "max(calibration_rows) AS calibration_rows, count(*) AS test_rows FROM log WHERE model_version = 'lag_7')",
         "held_folds AS (SELECT avg(mae) AS mean_mae, avg(wape) AS mean_wape, stddev_pop(mae) AS mae_std FROM fold_metrics)",
     ),
 )
