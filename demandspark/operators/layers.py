@@ -73,11 +73,6 @@ def silver(bronze_table: DataFrame) -> DataFrame:
     return add_calendar(clipped.withColumn("revenue", F.col("price") * F.col("units_sold")))
 
 
-def bronze_check_columns() -> dict[str, Column]:
-    """Checks observed while a bronze table is written."""
-    return {"rows": F.count(F.lit(1))}
-
-
 def silver_check_columns() -> dict[str, Column]:
     """Checks of a silver table, as aggregates usable in `agg` or `observe`."""
     return {

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The step each alert type asks for, in the order steps are listed.
@@ -44,6 +44,11 @@ def retraining_steps(alerts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return found.select(*by, steps_of(F.col("types")).alias("next_steps"))
 
 
+def plan_from_report(spark: SparkSession, path: str, created_at: str, by: Sequence[str] = ("model_version",)) -> DataFrame:
+    """Plan of a monitoring report written as a table; a missing report is an error."""
+    return retraining_plan(spark.read.parquet(path), path, created_at, by=by)
+
+
 def retraining_plan(
     report: DataFrame,
     source_report: str,

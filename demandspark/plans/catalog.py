@@ -29,10 +29,10 @@ from demandspark.schemas import (
     CATEGORICAL_COLUMNS,
     FEATURE_COLUMNS,
     KEY_COLUMNS,
-    RAW_COLUMNS,
     SERIES_COLUMNS,
 )
 from demandspark.sources import demand
+from demandspark.streaming.scoring import score_stream as score_records_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -395,6 +395,17 @@ def score_records(spark, sf_dir):
     )
 
 
+@query
+def score_stream(spark, sf_dir):
+    """Stream the feature table through the scorer into a prediction log, then read the log."""
+    path = tables.new_path(spark, "scored_stream")
+    stream = tables.feature_stream(spark, sf_dir)
+    score_records_stream(
+        stream, models.naive_forecast, "naive", path, tables.new_path(spark, "stream_checkpoint"), radius=10.0
+    ).awaitTermination()
+    return spark.read.parquet(path)
+
+
 @query
 def prediction_summary(spark, sf_dir):
     return scoring.prediction_summary(tables.prediction_log(spark, sf_dir), by=MODEL)

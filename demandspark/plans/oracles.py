@@ -563,7 +563,6 @@ oracle(
 
 # --- models and scoring
 oracle("naive_forecast", f"SELECT {KEYS}, {num('rolling_7_mean_units', 'predicted_units')} FROM features", (*LAYERS, FEATURES))
-METRIC_NAMES = ", ".join(f"scored.{n}" for n in METRICS)
 oracle(
     "model_vs_baseline",
     f"SELECT model_version, split, {nums(*METRICS)}, {num('mae / baseline_mae', 'mae_vs_baseline')} FROM ("
@@ -594,6 +593,12 @@ oracle(
     f"{num('predicted_units + 10', 'prediction_upper')}, 0.9e0 AS prediction_interval_coverage FROM naive WHERE split = 'test'",
     SCORED,
 )
+oracle(
+    "score_stream",
+    f"SELECT {KEYS}, 'naive' AS model_version, {num('predicted_units')}, {num('greatest(predicted_units - 10, 0)', 'prediction_lower')}, "
+    f"{num('predicted_units + 10', 'prediction_upper')}, 0.9e0 AS prediction_interval_coverage FROM naive",
+    SCORED,
+)
 SUMMARY_OUT = (
     "count(*) AS rows, count(DISTINCT store_id) AS unique_stores, count(DISTINCT sku_id) AS unique_skus, true AS has_actuals, "
     f"{num('min(predicted_units)', 'min_predicted_units')}, {num('quantile_cont(predicted_units, 0.5)', 'p50_predicted_units')}, "

@@ -28,6 +28,7 @@ SCORED_AT = "2026-01-01T00:00:00+00:00"
 MODELS = {"naive": "rolling_7_mean_units", "lag_7": "lag_7_units"}
 
 _shared: dict[tuple[str, str, str], DataFrame] = {}
+_paths: dict[tuple[str, str, str], str] = {}
 
 
 @cache
@@ -43,6 +44,14 @@ def _folder(spark: SparkSession) -> str | None:
     return _local_folder().name if spark.sparkContext.master.startswith("local") else None
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder."""
+    folder = _folder(spark)
+    if folder is None:
+        raise ValueError("spark.checkpoint.dir must name a shared folder")
+    return f"{folder}/demandspark/{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+
+
 def _share(
     spark: SparkSession,
     sf_dir: str,
@@ -52,11 +61,11 @@ def _share(
 ) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _shared:
-        table, folder = build(), _folder(spark)
-        if folder:
-            path = f"{folder}/demandspark/{key[0]}/{name}-{uuid4().hex}"
-            write_table(table, path, mode="errorifexists", partition_by=partition_by)
-            table = spark.read.parquet(path)
+        table = build()
+        if _folder(spark):
+            _paths[key] = new_path(spark, name)
+            write_table(table, _paths[key], mode="errorifexists", partition_by=partition_by)
+            table = spark.read.parquet(_paths[key])
         else:
             table = table.persist()
         _shared[key] = table
@@ -67,6 +76,7 @@ def release(spark: SparkSession) -> None:
     """Forget the shared tables, so that the next query builds them again."""
     for key in [k for k in _shared if k[0] == spark.sparkContext.applicationId]:
         _shared.pop(key).unpersist()
+        _paths.pop(key, None)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +95,15 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _share(spark, sf_dir, "features", lambda: feature_ops.build_features(silver(spark, sf_dir)))
 
 
+def feature_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of the feature table as a stream."""
+    schema = features(spark, sf_dir).schema
+    path = _paths.get((spark.sparkContext.applicationId, sf_dir, "features"))
+    if path is None:
+        raise ValueError("streaming the feature table needs spark.checkpoint.dir")
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table with its `split` column."""
     return splits.time_split(features(spark, sf_dir), VALIDATION_DAYS, TEST_DAYS)

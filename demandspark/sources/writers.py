@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.functions.guards import ensure, is_finite
+from demandspark.operators.layers import bronze
 
 
 def write_table(
@@ -27,21 +28,37 @@ def write_table(
 def write_layer(df: DataFrame, path: str, layer: str, source: str, checks: dict, fmt: str = "parquet") -> DataFrame:
     """Write one layer and return its manifest row.
 
-    `checks` maps a check name to an aggregate Column; the checks are observed while the table is
-    written, so the data is not read twice.
+    `checks` maps a check name to an aggregate Column.  The checks are observed by the tasks that write
+    the table, so the data is not read twice, and a retried task is not counted twice.
     """
-    observation = Observation(f"{layer}_checks")
-    observed = df.observe(observation, *[expr.alias(name) for name, expr in checks.items()])
-    write_table(observed, path, fmt)
-    found = observation.get
-    spark = df.sparkSession
-    return spark.range(1).select(
+    return _manifest(df, layer, source, path, _observed_write(df, path, checks, fmt))
+
+
+def write_bronze(raw: DataFrame, path: str, source: str, ingest_order: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """Deduplicate and write the bronze layer and return its manifest row.
+
+    The raw rows are counted by their own job: an observation before the shuffle would count the rows of
+    a stage again when lost executors make Spark repeat it.
+    """
+    kept = bronze(raw, ingest_order)
+    rows = _observed_write(kept, path, {"rows": F.count(F.lit(1))}, fmt)["rows"]
+    checks = {"rows": rows, "columns": ",".join(kept.columns), "duplicates_removed": raw.count() - rows}
+    return _manifest(raw, "bronze", source, path, checks)
+
+
+def _observed_write(df: DataFrame, path: str, checks: dict, fmt: str) -> dict:
+    observation = Observation()
+    write_table(df.observe(observation, *[expr.alias(name) for name, expr in checks.items()]), path, fmt)
+    return observation.get
+
+
+def _manifest(df: DataFrame, layer: str, source: str, path: str, checks: dict) -> DataFrame:
+    entries = [F.lit(part) for name, value in checks.items() for part in (name, None if value is None else str(value))]
+    return df.sparkSession.range(1).select(
         F.lit(layer).alias("layer"),
         F.lit(source).alias("source"),
         F.lit(path).alias("path"),
-        F.create_map(
-            *[F.lit(part) for name in checks for part in (name, None if found[name] is None else str(found[name]))]
-        ).alias("checks"),
+        F.create_map(*entries).alias("checks"),
     )
 
 

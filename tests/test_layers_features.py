@@ -54,6 +54,23 @@ def test_bronze_limits_rows_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_bronze_of_one_heavily_repeated_key(spark):
+    """A third of the rows share one key; the result equals a plain per-key minimum."""
+    raw = spark.range(30_000).selectExpr(
+        "date_add(date'2025-01-01', cast(CASE WHEN id % 3 = 0 THEN 0 ELSE id % 97 END AS int)) AS date",
+        "CASE WHEN id % 3 = 0 THEN 's0' ELSE concat('s', id % 5) END AS store_id",
+        "CASE WHEN id % 3 = 0 THEN 'a' ELSE concat('k', id % 11) END AS sku_id",
+        "'g' AS category", "1D AS price", "0 AS promotion", "0 AS stockout", "60D AS temperature",
+        "id AS units_sold", "(id * 7919) % 30000 AS line",
+    )
+    expected = {}
+    for row in raw.collect():
+        key = (row.date, row.store_id, row.sku_id)
+        expected[key] = min(expected.get(key, (10**9, None)), (row.line, row.units_sold))
+    found = {(r.date, r.store_id, r.sku_id): r.units_sold for r in layers.bronze(raw, ["line"]).collect()}
+    assert found == {key: units for key, (_, units) in expected.items()}
+
+
 def test_bronze_order_puts_missing_dates_last(spark):
     frame = layers.sort_bronze(raw_table(spark, [raw_row(None), raw_row(1), raw_row(0)]))
     assert [r.date for r in frame.collect()] == [START, START + dt.timedelta(1), None]
@@ -121,6 +138,22 @@ def test_layer_manifest_is_observed_while_writing(spark, tmp_path):
     assert demand.read_silver(spark, str(tmp_path / "silver")).count() == 10
 
 
+def test_bronze_manifest_counts_duplicates(spark, tmp_path):
+    raw = spark.createDataFrame([raw_row(units=u) + (u,) for u in (3, 1, 2)] + [raw_row(1) + (9,)], f"{RAW_TYPES}, line int")
+    manifest = writers.write_bronze(raw, str(tmp_path / "bronze"), "raw", ["line"])
+    writers.append_manifest(manifest, str(tmp_path / "manifest"))
+    row = spark.read.parquet(str(tmp_path / "manifest")).first()
+    assert row.checks == {"rows": "2", "columns": ",".join(RAW_COLUMNS), "duplicates_removed": "2"}
+    assert {r.units_sold for r in spark.read.parquet(str(tmp_path / "bronze")).collect()} == {1, 10}
+
+
+def test_feature_table_round_trip_in_series_order(spark, tmp_path):
+    table = features.build_features(two_series(spark, 20))
+    writers.write_table(table, str(tmp_path / "gold"))
+    stored = layers.sort_series(demand.read_features(spark, str(tmp_path / "gold"))).collect()
+    assert len(stored) == 12 and stored == sorted(stored, key=lambda r: (r.store_id, r.sku_id, r.date))
+
+
 def test_sinks_reject_bad_formats_and_numbers(spark, tmp_path):
     with pytest.raises(ValueError, match="delta or parquet"):
         writers.write_table(spark.range(1), str(tmp_path / "t"), "orc")

@@ -254,7 +254,7 @@ def test_thresholds_are_checked(name, value):
         alerts.Thresholds(**{name: value})
 
 
-def test_monitoring_from_log_to_plan(spark):
+def test_monitoring_from_log_to_plan(spark, tmp_path):
     log = spark.createDataFrame(
         [("m1", p, p + 8.0, 0.1) for p in (10.0, 11.0, 12.0)] + [("m2", p, p, 0.1) for p in (9.0, 10.0, 11.0)],
         "model_version string, predicted_units double, actual_units double, price double",
@@ -274,6 +274,11 @@ def test_monitoring_from_log_to_plan(spark):
     assert (plans["m1"].priority, plans["m1"].status) == ("high", "ready_to_retrain")
     assert plans["m1"].alert_types == ["error_degradation", "forecast_bias"]
     assert plans["m1"].next_steps == [retraining.STEPS["error_degradation"], retraining.STEPS["forecast_bias"]]
+    report.write.parquet(str(tmp_path / "report"))
+    stored = retraining.plan_from_report(spark, str(tmp_path / "report"), "now").filter("triggered").first()
+    assert (stored.model_version, stored.source_report) == ("m1", str(tmp_path / "report"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        retraining.plan_from_report(spark, str(tmp_path / "missing"), "now")
     assert (plans["m2"].priority, plans["m2"].status, plans["m2"].next_steps, plans["m2"].retrain_command) == ("low", "no_action", [], "")
 
 
@@ -333,7 +338,18 @@ def test_current_champion(spark):
         governance.require_champion(none).collect()
 
 
+def test_version_records_carry_their_scorecard(spark):
+    gated = governance.promotion_gate(candidate(spark, champion=1.9)).withColumn("model_version", F.lit("v7"))
+    row = governance.version_records(gated, "t", "runs/7", "models/7", ["price"], governance.GateLimits()).first()
+    assert (row.version, row.stage, row.source_run, row.model_path) == ("v7", "candidate", "runs/7", "models/7")
+    assert row.feature_columns == ["price"]
+    assert row.promotion_scorecard.mae_delta_vs_champion == pytest.approx(0.1)
+
+
 def test_run_records(spark):
+    assert tuple(governance.run_record(spark, "r1", "demand", "now").first()) == ("r1", "demand", "now")
+    with pytest.raises(ValueError, match="experiment_name"):
+        governance.run_record(spark, "r1", " ", "now")
     counts = spark.sql("SELECT 12L AS train_rows")
     rows = governance.run_parameters(spark, "r1", {"a": {"b": 1, "c": {"d": "x"}}, "e": 0.5}, counts).collect()
     assert {(r.run_id, r.name, r.value) for r in rows} == {
