@@ -2,10 +2,12 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from demandspark.llm import simhash
+from demandspark.llm import blocks, packing, simhash
 from demandspark.llm.common import bound_batches, table
+from demandspark.llm.tokenization import SharedTokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,3 +27,15 @@ def query(function: Query) -> Query:
 @query
 def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
+@query
+def op7_best_fit_packing(spark, sf_dir):
+    tokenizer = SharedTokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer, packing.Capacity(tokens=2048))
+
+
+@query
+def op8_token_blocks(spark, sf_dir):
+    tokenizer = SharedTokenizer(spark, public_tokenizers.path("word_bpe_49k.json"))
+    return blocks.round_trip(table(spark, sf_dir, "documents"), tokenizer)
