@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from demandspark.llm import blocks, packing, simhash
+from demandspark.llm import blocks, decontaminate, packing, simhash
 from demandspark.llm.common import bound_batches, table
 from demandspark.llm.tokenization import SharedTokenizer
 
@@ -29,6 +29,13 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
+@query
+def op2_decontamination(spark, sf_dir):
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10
+    )
+
+
 @query
 def op7_best_fit_packing(spark, sf_dir):
     tokenizer = SharedTokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
