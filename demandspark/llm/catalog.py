@@ -4,8 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandspark.llm import blocks, decontaminate, packing, simhash
+from demandspark.llm import blocks, decontaminate, lines, packing, quality, simhash, urls
 from demandspark.llm.common import bound_batches, table
 from demandspark.llm.tokenization import SharedTokenizer
 
@@ -46,3 +47,147 @@ def op7_best_fit_packing(spark, sf_dir):
 def op8_token_blocks(spark, sf_dir):
     tokenizer = SharedTokenizer(spark, public_tokenizers.path("word_bpe_49k.json"))
     return blocks.round_trip(table(spark, sf_dir, "documents"), tokenizer)
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op3_quality_rules"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+split AS (
+    SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+    FROM docs),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM split),
+windows AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM places),
+hit AS (
+    SELECT doc_id, count(DISTINCT i + o) AS n
+    FROM (SELECT doc_id, i, unnest([0, 1, 2]) AS o FROM windows WHERE n > 1) GROUP BY doc_id),
+measured AS (
+    SELECT s.doc_id, len(w)::BIGINT AS n_words,
+        length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+        coalesce(h.n, 0) AS n_repeat_words,
+        length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+    FROM split s LEFT JOIN hit h USING (doc_id)),
+judged AS (
+    SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+        (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END)
+        + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END)
+        + (CASE WHEN n_lines >= 4 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END)
+        + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END)
+        + (CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)
+        + (CASE WHEN 2 * n_upper > word_chars THEN 64 ELSE 0 END) AS failures
+    FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_upper,
+    failures::BIGINT AS failures, base_failed, failures = 0 AS kept
+FROM judged
+"""
+
+
+@query
+def op4_line_dedup(spark, sf_dir):
+    return lines.line_report(table(spark, sf_dir, "documents"), "source")
+
+
+ORACLES["op4_line_dedup"] = r"""
+WITH cut AS (
+    SELECT doc_id, source, generate_subscripts(parts, 1) AS i, unnest(parts) AS line
+    FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+trimmed AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS bare FROM cut),
+totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+common AS (
+    SELECT source, bare FROM trimmed JOIN totals USING (source) WHERE bare <> ''
+    GROUP BY source, bare, pages HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT doc_id) / pages > 0.05),
+kept AS (
+    SELECT t.doc_id, count(*) AS n_lines, count(c.bare) AS n_dropped,
+        coalesce(string_agg(CASE WHEN c.bare IS NULL THEN t.line END, chr(10) ORDER BY i), '') AS body
+    FROM trimmed t LEFT JOIN common c ON t.source = c.source AND t.bare = c.bare GROUP BY t.doc_id)
+SELECT doc_id, n_lines, n_dropped, sha256(body) AS kept_sha256 FROM kept
+"""
+
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+@query
+def op10_url_reputation(spark, sf_dir):
+    """A page's number in its path names the document it renders, whose label says whether the page is good."""
+    pages = table(spark, sf_dir, "pages")
+    labels = table(spark, sf_dir, "labels").select(
+        "doc_id", ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good")
+    )
+    number = F.expr("try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) as bigint)")
+    outcomes = pages.select("url", number.alias("doc_id")).join(labels, "doc_id").select("url", "good")
+    return urls.judge(pages, outcomes, URL_RULES)
+
+
+def _strength_sql(level: str) -> str:
+    """Prior observations of a level, as `urls._strength` has them."""
+    return f"""(
+    SELECT (1 - rho) / rho FROM (
+        SELECT least(greatest(coalesce(CASE WHEN t > 0 AND room > 0 THEN excess / room ELSE 0.01 END, 0.01), 0.01), 0.5) AS rho
+        FROM (
+            SELECT t, q - t * mean * mean - mean * (1 - mean) * (groups - 1) AS excess,
+                mean * (1 - mean) * (t - squares / t - groups + 1) AS room
+            FROM (
+                SELECT sum(good)::DOUBLE / sum(n) AS mean, sum(n)::DOUBLE AS t, count(*)::DOUBLE AS groups,
+                    sum(n * n)::DOUBLE AS squares, sum(good::DOUBLE * good / n) AS q
+                FROM {level} WHERE n > 0))))"""
+
+
+_URL_RULE_SQL = "\n".join(
+    f"        WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.verdict} {r.text}'"
+    for r in sorted(URL_RULES, key=lambda r: -len(r.text))
+)
+
+ORACLES["op10_url_reputation"] = rf"""
+WITH parsed AS (
+    SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+        try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) AS BIGINT) AS number
+    FROM pages),
+per_host AS (
+    SELECT host, coalesce(sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality IS NOT NULL THEN 0 END), 0) AS good,
+        count(quality) AS n,
+        CASE WHEN regexp_extract(host, '(?:[^.]+\.)?(?:ac|co|com|edu|gov|net|org)\.[a-z]{{2}}$') <> ''
+            THEN regexp_extract(host, '(?:[^.]+\.)?(?:ac|co|com|edu|gov|net|org)\.[a-z]{{2}}$')
+            ELSE regexp_extract(host, '(?:[^.]+\.)?[^.]*$') END AS domain
+    FROM parsed LEFT JOIN labels ON number = doc_id GROUP BY host),
+per_domain AS (
+    SELECT domain, CASE WHEN contains(domain, '.') THEN regexp_replace(domain, '^[^.]*\.', '') ELSE domain END AS suffix,
+        sum(good) AS good, sum(n) AS n FROM per_host GROUP BY domain),
+per_suffix AS (SELECT suffix, sum(good) AS good, sum(n) AS n FROM per_domain GROUP BY suffix),
+suffixes AS (
+    SELECT suffix, (m * k + good) / (k + n) AS m
+    FROM (SELECT *, {_strength_sql("per_suffix")} AS k,
+        (SELECT (sum(good) + 1)::DOUBLE / (sum(n) + 2) FROM per_suffix) AS m FROM per_suffix)),
+domains AS (
+    SELECT domain, (m * k + good) / (k + n) AS m
+    FROM (SELECT d.domain, d.good, d.n, s.m, {_strength_sql("per_domain")} AS k
+        FROM per_domain d JOIN suffixes s USING (suffix))),
+hosts AS (
+    SELECT host, mean + sqrt(mean * (1 - mean) / (k + n + 1)) AS upper
+    FROM (SELECT host, n, k, (m * k + good) / (k + n) AS mean
+        FROM (SELECT h.host, h.good, h.n, d.m, {_strength_sql("per_host")} AS k
+            FROM per_host h JOIN domains d USING (domain)))),
+ruled AS (
+    SELECT page_id, host, path, upper, CASE
+{_URL_RULE_SQL}
+        END AS fit
+    FROM parsed JOIN hosts USING (host))
+SELECT page_id, host, path, string_split(fit, ' ')[2] AS rule,
+    coalesce(string_split(fit, ' ')[1], CASE WHEN upper < 0.7 THEN 'block' ELSE 'allow' END) AS verdict,
+    round(upper, 9) AS good_upper
+FROM ruled
+"""

@@ -62,8 +62,7 @@ def text_bytes(column: str = "text") -> Column:
 
 def word_array(text: Column) -> Column:
     """Words between white space as an array; NULL and empty texts have none."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{BLANKS}+|{BLANKS}+$", "")
-    return F.when(F.length(trimmed) > 0, F.split(trimmed, f"{BLANKS}+")).otherwise(F.array().cast("array<string>"))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{BLANKS}+"), "")
 
 
 def records(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
