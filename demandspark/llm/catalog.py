@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm import blocks, chat, decontaminate, lines, packing, quality, simhash, suffixes, urls
+from demandspark.llm import blocks, chat, classifier, decontaminate, lines, packing, quality, simhash, suffixes, urls
 from demandspark.llm.common import bound_batches, table
 from demandspark.llm.tokenization import SharedTokenizer
 
@@ -226,3 +226,8 @@ FROM escaped GROUP BY conv_id
 @query
 def op5_suffix_dedup(spark, sf_dir):
     return suffixes.removal_report(table(spark, sf_dir, "documents"), size=100)
+
+
+@query
+def op6_quality_classifier(spark, sf_dir):
+    return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
