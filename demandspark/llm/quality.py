@@ -136,4 +136,5 @@ def keep_good(docs: DataFrame, policy: Policy | None = None) -> DataFrame:
     policy = policy or POLICIES[CURRENT]
     whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("body"))
     judged = verdicts(whole.select(F.col("doc").alias("doc_id"), F.col("body").alias("text")), policy)
-    return judged.filter("kept").select("doc_id.*")
+    # A filter on the row number stays above the measurements; pushed below them, it would repeat them per word.
+    return judged.withColumn("row", F.monotonically_increasing_id()).filter("kept and row >= 0").select("doc_id.*")
