@@ -21,6 +21,8 @@ _ODD = re.compile("[\0\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u20
 _PAIRS = ("  ", "\n\n", " \n", "\n ")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 _PLAIN = re.compile(r" [^\W_]+[.,]?").fullmatch
+# A full stop or comma after anything but a letter or digit may belong to a longer run of marks.
+_MARKS = re.compile(r"[.,](?<![^\W_][.,])")
 
 
 class PieceTokenizer:
@@ -42,8 +44,12 @@ class PieceTokenizer:
         if _ODD.search(text) or any(pair in text for pair in _PAIRS) or text[:1] in ("", " ", "\n") or text[-1] in " \n":
             return _SAFE_CUT.split(text)
         if self.drops_blanks:
-            return (" " + text.replace("\n", " ").replace(" ", "\0 ")).split("\0")
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+            cut = " " + text.replace("\n", " ").replace(" ", "\0 ")
+        else:
+            cut = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+        if not _MARKS.search(text):
+            cut = cut.replace(".\0", "\0.\0").replace(",\0", "\0,\0")
+        return cut.split("\0")
 
     def _joined(self, pieces: list[str]) -> Iterable[tuple[str, bytes]]:
         """Ids of plain words after a blank, encoded as one running text and cut by the offsets."""
