@@ -135,7 +135,7 @@ def _strength_sql(level: str) -> str:
     """Prior observations of a level, as `urls._strength` has them."""
     return f"""(
     SELECT (1 - rho) / rho FROM (
-        SELECT least(greatest(coalesce(CASE WHEN t > 0 AND room > 0 THEN excess / room ELSE 0.01 END, 0.01), 0.01), 0.5) AS rho
+        SELECT least(greatest(coalesce(CASE WHEN t > 0 AND room > 0 THEN excess / room ELSE 0.5 END, 0.5), 0.01), 0.5) AS rho
         FROM (
             SELECT t, q - t * mean * mean - mean * (1 - mean) * (groups - 1) AS excess,
                 mean * (1 - mean) * (t - squares / t - groups + 1) AS room

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MIN_GOOD = 0.7
 Z = 1.0
-# Correlation kept inside these bounds, so that a level neither ignores nor copies the one above.
+# Correlation kept inside these bounds, so that a level neither ignores nor copies the one above; the
+# highest, hence the weakest prior, where the counts cannot tell.
 LOWEST_RHO, HIGHEST_RHO = 0.01, 0.5
 # Labels that make a two-letter country domain part of the public suffix, as in co.uk.
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
@@ -66,8 +67,8 @@ def _strength(counts: DataFrame) -> DataFrame:
     # sum n (p - m)^2 = sum good^2 / n - t m^2
     excess = F.col("q") - F.col("t") * mean * mean - spread * (F.col("groups") - 1)
     room = spread * (F.col("t") - F.col("squares") / F.col("t") - F.col("groups") + 1)
-    rho = F.when((F.col("t") > 0) & (room > 0), excess / room).otherwise(F.lit(LOWEST_RHO))
-    rho = F.least(F.greatest(F.coalesce(rho, F.lit(LOWEST_RHO)), F.lit(LOWEST_RHO)), F.lit(HIGHEST_RHO))
+    rho = F.when((F.col("t") > 0) & (room > 0), excess / room).otherwise(F.lit(HIGHEST_RHO))
+    rho = F.least(F.greatest(F.coalesce(rho, F.lit(HIGHEST_RHO)), F.lit(LOWEST_RHO)), F.lit(HIGHEST_RHO))
     return rates.select(((1 - rho) / rho).alias("k"))
 
 
@@ -109,7 +110,7 @@ def judge(
     known = outcomes.select(host_of(F.col("url")).alias("host"), F.col("good"))
     scores = reputation(known, parsed.select("host").distinct(), z)
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for r in sorted(rules, key=lambda r: len(r.text)):
+    for r in sorted(reversed(rules), key=lambda r: len(r.text)):
         fits = r.fits(F.col("host"), F.col("path"))
         rule, verdict = F.when(fits, F.lit(r.text)).otherwise(rule), F.when(fits, F.lit(r.verdict)).otherwise(verdict)
     ruled = parsed.withColumns({"rule": rule, "ruled": verdict}).join(scores.select("host", "upper"), "host", "left")
