@@ -19,9 +19,10 @@ def is_finite(value: Column) -> Column:
     return F.coalesce(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), F.lit(False))
 
 
-def ensure(condition: Column, message: str) -> Column:
+def ensure(condition: Column, message: Column | str) -> Column:
     """A filter predicate that keeps every row and stops the job when `condition` does not hold."""
-    return F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
+    text = F.lit(message) if isinstance(message, str) else message
+    return F.when(condition, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -54,17 +55,29 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
 
 
 def attach(
-    df: DataFrame, row: DataFrame, by: Sequence[str] = (), columns: Mapping[str, str] | None = None
+    df: DataFrame,
+    row: DataFrame,
+    by: Sequence[str] = (),
+    columns: Mapping[str, str] | None = None,
+    required: str | None = None,
 ) -> DataFrame:
-    """Add the columns of a one-row-per-group table to every row of `df`.
+    """Add the columns of a one-row-per-group table to every row of `df`; no row of `df` is lost.
 
-    With grouping keys this is an equi-join.  Without keys the one-row table becomes a scalar
-    subquery, so nothing is joined or shuffled.  `columns` maps source names to output names.
+    With grouping keys this is a left equi-join.  Without keys the one-row table becomes a scalar
+    subquery, so nothing is joined or shuffled.  `columns` maps source names to output names.  A row
+    without a partner gets NULL, or stops the job with `required` and the group's key.
     """
     names = dict(columns) if columns else {c: c for c in row.columns if c not in by}
     renamed = [f"`{source}` AS `{target}`" for source, target in names.items()]
     if by:
-        return join_on(df, row.selectExpr(*[f"`{c}`" for c in by], *renamed), by)
-    packed = row.selectExpr(f"struct({', '.join(renamed)})").scalar()
-    unpacked = [f"__attached.`{target}` AS `{target}`" for target in names.values()]
-    return df.withColumn("__attached", packed).selectExpr("*", *unpacked).drop("__attached")
+        keyed = row.selectExpr(*[f"`{c}`" for c in by], *renamed, *(["true AS __found"] if required else []))
+        joined = join_on(df, keyed, by, "left")
+    else:
+        packed = row.selectExpr(f"struct({', '.join(renamed)})").scalar()
+        unpacked = [f"__attached.`{target}` AS `{target}`" for target in names.values()]
+        found = ["__attached IS NOT NULL AS __found"] if required else []
+        joined = df.withColumn("__attached", packed).selectExpr("*", *unpacked, *found).drop("__attached")
+    if not required:
+        return joined
+    key = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in by]) if by else F.lit("all rows")
+    return joined.filter(ensure(F.coalesce("__found", F.lit(False)), F.concat(F.lit(f"{required}: "), key))).drop("__found")

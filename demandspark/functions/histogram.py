@@ -36,6 +36,18 @@ def bin_shares(total: str, bins: int) -> Column:
     return F.expr(f"array({', '.join(f'({above[i]} - {above[i + 1]}) / `{total}`' for i in range(bins))})")
 
 
+def bin_of(value: str, edges: str = "bin_edges") -> Column:
+    """Zero-based bin of a value: the number of inner edges at or below it; NULL without edges."""
+    inner = f"slice({edges}, 2, greatest(size({edges}) - 2, 0))"
+    return F.expr(f"CASE WHEN {edges} IS NOT NULL THEN size(filter({inner}, e -> `{value}` >= e)) END")
+
+
+def shares_of(counts: str, total: str, like: str) -> Column:
+    """Share of each bin, for as many bins as the array `like` has, from (bin, count) structs; NULL without `like`."""
+    one = f"aggregate({counts}, 0D, (sum, c) -> sum + CASE WHEN c.__bin = i THEN c.__n ELSE 0 END)"
+    return F.expr(f"CASE WHEN {like} IS NOT NULL THEN transform({like}, (e, i) -> {one} / `{total}`) END")
+
+
 def stability_index(expected: str, observed: str) -> Column:
     """Sum of (o - e) ln(o / e) over two arrays of shares.
 
@@ -62,7 +74,7 @@ def spread_shares(bins: int) -> str:
     return f"array({', '.join(f'{(first[i + 1] - first[i]) / points!r}D' for i in range(bins))})"
 
 
-def checked_edges(bins: int, edges: str = "bin_edges", shares: str = "expected_share") -> Column:
+def checked_edges(edges: str = "bin_edges", shares: str = "expected_share") -> Column:
     """The stored edges; computing them stops the job when the stored reference cannot be used.
 
     This is a value rather than a filter, because a filter would be pushed into the expression that
@@ -70,13 +82,12 @@ def checked_edges(bins: int, edges: str = "bin_edges", shares: str = "expected_s
     """
     finite = "x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf')"
     conditions = {
-        "at least two bins are required for PSI": f"size({edges}) >= 3",
-        "expected_share must have one value per bin": f"size({shares}) = size({edges}) - 1",
-        f"stored profile must have {bins} bins": f"size({edges}) = {bins + 1}",
-        "PSI reference values must be finite": f"forall({edges}, {finite}) AND forall({shares}, {finite})",
-        "expected_share must be non-negative with a positive sum": f"forall({shares}, x -> x >= 0) "
+        "a stored profile needs two bins or more": f"size({edges}) >= 3",
+        "a stored profile needs one share for each bin": f"size({shares}) = size({edges}) - 1",
+        "a stored profile has a number that is not finite": f"forall({edges}, {finite}) AND forall({shares}, {finite})",
+        "stored shares must not be negative, nor all zero": f"forall({shares}, x -> x >= 0) "
         f"AND aggregate({shares}, 0D, (a, b) -> a + b) > 0",
-        "bin_edges must be strictly increasing": f"forall(sequence(1, size({edges}) - 1), i -> {edges}[i] > {edges}[i - 1])",
+        "stored edges must rise from bin to bin": f"forall(sequence(1, size({edges}) - 1), i -> {edges}[i] > {edges}[i - 1])",
     }
     failures = [
         f"WHEN NOT coalesce({condition}, false) THEN cast(raise_error('{message}') AS array<double>)"

@@ -13,15 +13,19 @@ from demandspark.operators.quantiles import order_statistics
 
 def _check_coverage(coverage: float) -> None:
     if not 0.0 < coverage < 1.0:
-        raise ValueError("coverage must be between zero and one")
+        raise ValueError("coverage is a share above 0 and below 1")
 
 
-def radius_rank(coverage: float) -> str:
+def radius_rank(coverage: float, rank: str = "higher") -> str:
     """Zero-based rank of the radius among the n errors of a group, as SQL.
 
-    It is the "higher" quantile at level ceil((n + 1) * coverage) / n, which may lie one above the
-    textbook rank ceil((n + 1) * coverage) - 1.
+    "higher" is the quantile of that kind at level ceil((n + 1) * coverage) / n, which may lie one above the
+    "textbook" rank ceil((n + 1) * coverage) - 1.
     """
+    if rank == "textbook":
+        return f"least(value_count - 1, ceil((value_count + 1) * {coverage!r}D) - 1)"
+    if rank != "higher":
+        raise ValueError("rank is higher or textbook")
     return f"ceil((value_count - 1) * least(1D, ceil((value_count + 1) * {coverage!r}D) / value_count))"
 
 
@@ -31,6 +35,7 @@ def conformal_radius(
     actual: str = "actual_units",
     predicted: str = "predicted_units",
     by: Sequence[str] = (),
+    rank: str = "higher",
 ) -> DataFrame:
     """Half-width of a symmetric interval, from the absolute errors of the calibration rows."""
     _check_coverage(coverage)
@@ -38,7 +43,7 @@ def conformal_radius(
     found = order_statistics(
         calibration,
         errors.absolute_error(F.col(actual).cast("double"), F.col(predicted).cast("double")),
-        {"interval_radius": radius_rank(coverage)},
+        {"interval_radius": radius_rank(coverage, rank)},
         by,
     ).drop("value_count")
     return attach(checked, found, by).select(*by, "calibration_rows", "interval_radius")
@@ -71,7 +76,7 @@ def interval_summary(
     instead of shuffling the evaluation rows.
     """
     _check_coverage(coverage)
-    rows = attach(evaluation.select(*by, actual, predicted), radius, by)
+    rows = attach(evaluation.select(*by, actual, predicted), radius, by, required="no calibrated radius for")
     a, p, r = F.col(actual), F.col(predicted), F.col("interval_radius")
     below, above = a < p - r, a > p + r
     penalty = 2.0 / (1.0 - coverage)
@@ -117,10 +122,11 @@ def add_intervals(
 ) -> DataFrame:
     """Attach `prediction_lower` (never negative), `prediction_upper` and the target coverage.
 
-    `radius` is a number or a table of `interval_radius` per `by` key.
+    `radius` is a number or a table of `interval_radius` per `by` key.  Rows of a key without a radius stay, with
+    NULL bounds and NULL coverage.
     """
     _check_coverage(coverage)
-    message = "stored prediction interval calibration is invalid"
+    message = "an interval radius must be zero or more"
     if isinstance(radius, DataFrame):
         valid = radius.filter(ensure(F.col("interval_radius") >= 0, message))
         rows, r = attach(df, valid, by, {"interval_radius": "__radius"}), F.col("__radius")
@@ -130,8 +136,8 @@ def add_intervals(
         rows, r = df, F.lit(float(radius))
     return rows.withColumns(
         {
-            "prediction_lower": F.greatest(F.col(predicted) - r, F.lit(0.0)),
+            "prediction_lower": F.when(r.isNotNull(), F.greatest(F.col(predicted) - r, F.lit(0.0))),
             "prediction_upper": F.col(predicted) + r,
-            "prediction_interval_coverage": F.lit(coverage),
+            "prediction_interval_coverage": F.when(r.isNotNull(), F.lit(coverage)),
         }
     ).drop("__radius")

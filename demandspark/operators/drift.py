@@ -5,27 +5,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.functions.guards import attach, is_finite, join_on
+from demandspark.functions.guards import attach, ensure, is_finite, join_on
 from demandspark.functions.histogram import (
-    bin_shares,
+    bin_of,
     checked_edges,
-    counts_at_least,
+    shares_of,
     spread_edges,
     spread_shares,
     stability_index,
 )
-from demandspark.operators.metrics import checked_aggregate
 
 SMALLEST_STD = 1e-6
 
 
-def _psi(df: DataFrame, profile: DataFrame, value: str, by: Sequence[str], bins: int) -> DataFrame:
-    """`psi` per group; the profile holds one row per group with `bin_edges` and `expected_share`."""
-    edges = profile.select(*by, checked_edges(bins).alias("bin_edges"))
-    rows = attach(df.select(*by, F.col(value).cast("double").alias(value)), edges, by)
-    counts = checked_aggregate(rows, (value,), {"__n": F.count(F.lit(1)), **counts_at_least(value, bins)}, by)
-    observed = counts.select(*by, bin_shares("__n", bins).alias("__observed"))
-    return attach(observed, profile, by, {"expected_share": "__expected"}).select(
+def _psi(df: DataFrame, profile: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """`psi` per group; the profile holds one row per group with `bin_edges` and `expected_share`, in any number of bins.
+
+    A group without a profile gets NULL.
+    """
+    edges = profile.select(*by, checked_edges().alias("bin_edges"), "expected_share")
+    rows = attach(df.select(*by, F.col(value).cast("double").alias("__value")), edges.drop("expected_share"), by)
+    binned = rows.groupBy(*by, bin_of("__value").alias("__bin")).agg(
+        F.count(F.lit(1)).alias("__n"), F.count_if(~is_finite(F.col("__value"))).alias("__bad")
+    )
+    counts = binned.groupBy(*by).agg(
+        F.sum("__n").alias("__rows"),
+        F.sum("__bad").alias("__bad"),
+        F.collect_list(F.struct("__bin", "__n")).alias("__counts"),  # one entry per bin
+    )
+    valid = ensure(F.coalesce("__rows", F.lit(0)) > 0, "PSI needs at least one prediction") & ensure(
+        F.col("__bad") == 0, "PSI needs finite predictions"
+    )
+    known = attach(counts.filter(valid), edges, by, {"expected_share": "__expected"})
+    return known.withColumn("__observed", shares_of("__counts", "__rows", "__expected")).select(
         *by, stability_index("__expected", "__observed").alias("psi")
     )
 
@@ -36,11 +48,10 @@ def _check_bins(bins: int) -> None:
 
 
 def psi_from_bins(
-    df: DataFrame, profile: DataFrame, value: str = "predicted_units", by: Sequence[str] = (), bins: int = 10
+    df: DataFrame, profile: DataFrame, value: str = "predicted_units", by: Sequence[str] = ()
 ) -> DataFrame:
     """Population stability index against stored bin edges and shares."""
-    _check_bins(bins)
-    return _psi(df, profile.select(*by, "bin_edges", "expected_share"), value, by, bins)
+    return _psi(df, profile.select(*by, "bin_edges", "expected_share"), value, by)
 
 
 def psi_from_stats(
@@ -51,7 +62,7 @@ def psi_from_stats(
     spread = profile.selectExpr(
         *by, f"{spread_edges(bins)} AS bin_edges", f"{spread_shares(bins)} AS expected_share"
     )
-    return _psi(df, spread, value, by, bins)
+    return _psi(df, spread, value, by)
 
 
 def psi(
@@ -63,18 +74,21 @@ def psi(
     if not {"bin_edges", "expected_share"} <= present:
         return psi_from_stats(df, profile, value, by, bins)
     if not {"mean", "std"} <= present:
-        return psi_from_bins(df, profile, value, by, bins)
+        return psi_from_bins(df, profile, value, by)
     stored = "bin_edges IS NOT NULL AND expected_share IS NOT NULL"
     chosen = profile.selectExpr(
         *by,
         f"CASE WHEN {stored} THEN bin_edges ELSE {spread_edges(bins)} END AS bin_edges",
         f"CASE WHEN {stored} THEN expected_share ELSE {spread_shares(bins)} END AS expected_share",
     )
-    return _psi(df, chosen, value, by, bins)
+    return _psi(df, chosen, value, by)
 
 
 def coalesce_reference(baseline: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Profile to compare predictions with: `prediction_reference`, or `target` where it is missing."""
+    """Profile to compare predictions with: `prediction_reference`, or `target` where it is missing.
+
+    `psi` accepts the result: a target profile has a mean and a deviation but no bins.
+    """
     chosen = F.coalesce("prediction_reference", "target") if "prediction_reference" in baseline.columns else F.col("target")
     return baseline.select(*by, chosen.alias("chosen")).select(*by, "chosen.*")
 
@@ -96,7 +110,7 @@ def feature_mean_shift(
     """
     present = [c for c in features if c in observed.columns]
     if not present:
-        raise ValueError("none of the features is present in the prediction log")
+        observed, present = observed.limit(0).withColumn("__none", F.lit(None).cast("double")), ["__none"]
     wide = observed.groupBy(*by).agg(*[F.expr(f"avg({_number(c)}) AS __mean_{i}") for i, c in enumerate(present)])
     pairs = ", ".join(f"struct('{c}' AS feature, __mean_{i} AS observed_mean)" for i, c in enumerate(present))
     means = wide.selectExpr(*by, f"inline(array({pairs}))").filter("observed_mean IS NOT NULL")

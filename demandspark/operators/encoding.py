@@ -11,23 +11,28 @@ from demandspark.functions.guards import require_columns
 from demandspark.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS
 
 
-def vocabulary(df: DataFrame, columns: Sequence[str] = CATEGORICAL_COLUMNS, limit: int = 5000) -> dict[str, list[str]]:
-    """Sorted distinct values per column, for the wide encoding.
+def category_features(df: DataFrame, columns: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
+    """`feature`: the distinct names `column_value` of the categories in `df`, as a table of any length."""
+    return df.select(F.explode(_names(columns)).alias("feature")).distinct()
 
-    Wide columns only suit small vocabularies: beyond `limit` values this fails and the sparse vector
-    encoding (`encoder_stages`) has to be used, which has no such bound.
+
+def _names(columns: Sequence[str]):
+    """Array of the row's `column_value` names; missing categories have none."""
+    return F.array_compact(F.array(*[F.concat(F.lit(f"{c}_"), F.col(c)) for c in columns]))
+
+
+def one_hot_long(df: DataFrame, known: DataFrame, keep: Sequence[str] = (), columns: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
+    """The one-hot encoding in sparse form: `feature` and `value` 1.0 for every known category of a row.
+
+    `known` comes from `category_features` of the training rows.  Unseen and missing categories have no row, so any
+    number of categories fits; a dense form is the vector of `encoder_stages`.
     """
-    found: dict[str, list[str]] = {}
-    for column in columns:
-        values = [row[0] for row in df.select(column).dropna().distinct().limit(limit + 1).collect()]
-        if len(values) > limit:
-            raise ValueError(f"{column} has more than {limit} values; use the vector encoding")
-        found[column] = sorted(values)
-    return found
+    long = df.select(*keep, F.explode(_names(columns)).alias("feature"))
+    return long.join(known.select("feature").distinct(), "feature", "left_semi").select(*keep, "feature", F.lit(1.0).alias("value"))
 
 
 def one_hot_wide(df: DataFrame, values: Mapping[str, Sequence[str]], keep: Sequence[str] = ()) -> DataFrame:
-    """0/1 columns named `column_value`; unseen and missing categories are zero everywhere."""
+    """0/1 columns named `column_value` for a given list of values; unseen and missing categories are zero everywhere."""
     return df.select(
         *keep,
         *[

@@ -149,26 +149,22 @@ def build_features(silver: DataFrame, check_days: bool = True) -> DataFrame:
     """The feature table: silver columns, the numeric features and `entity_id`."""
     require_columns(silver, SILVER_REQUIRED, "silver table")
     frame = silver.withColumn("date", F.to_date("date"))
-    series = add_series_features(frame, check_days)
+    # Both aggregates join the narrow rows, so that the wide ones are shuffled once, by the window.
+    joined = add_store_history(add_price_position(frame), frame)
+    series = add_series_features(joined, check_days)
     local = series.withColumns({**cyclic_columns(), "promotion_price": F.col("promotion") * F.col("price")})
-    priced = add_price_position(local, frame)
-    joined = add_store_history(priced, frame)
-    return drop_incomplete(joined.withColumn("entity_id", entity_id()))
+    return drop_incomplete(local.withColumn("entity_id", entity_id()))
 
 
 def build_reduced_features(silver: DataFrame) -> DataFrame:
     """The smaller feature set: Sunday = 0, no minimum row counts, and every column must be present."""
-    window = Window.partitionBy(*SERIES_COLUMNS).orderBy("date")
-    frame = silver.withColumn("date", F.to_date("date"))
-    windowed = frame.withColumns(
-        {
-            "lag_1_units": F.lag(TARGET_COLUMN, 1).over(window),
-            "lag_7_units": F.lag(TARGET_COLUMN, 7).over(window),
-            "rolling_7_mean_units": F.avg(TARGET_COLUMN).over(window.rowsBetween(-7, -1)),
-            "rolling_14_mean_units": F.avg(TARGET_COLUMN).over(window.rowsBetween(-14, -1)),
-            "rolling_7_std_units": F.stddev_samp(TARGET_COLUMN).over(window.rowsBetween(-7, -1)),
-            "day_of_week": F.dayofweek("date") - 1,
-            "month": F.month("date"),
-        }
-    )
-    return windowed.withColumns({**cyclic_columns(), "entity_id": F.concat_ws("::", *SERIES_COLUMNS)}).dropna()
+    window = series_window()
+    units = F.col(TARGET_COLUMN)
+    lags = {name: column for name, column in lag_columns(window).items() if name != "lag_14_units"}
+    frames = {days: window.rowsBetween(-days, -1) for days in (7, 14)}
+    means = {f"rolling_{days}_mean_units": F.avg(units).over(frame) for days, frame in frames.items()}
+    spread = {"rolling_7_std_units": F.stddev_samp(units).over(frames[7])}
+    dated = silver.withColumn("date", F.to_date("date"))
+    calendar = {"day_of_week": F.dayofweek("date") - 1, "month": F.month("date")}
+    complete = dated.withColumns(calendar).withColumns({**lags, **means, **spread}).dropna()
+    return complete.withColumns({**cyclic_columns(), "entity_id": entity_id()})

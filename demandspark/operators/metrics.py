@@ -6,11 +6,11 @@ Each evaluator makes one pass of partial and final aggregation; the exact quanti
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.functions import errors
-from demandspark.functions.guards import attach, ensure, is_finite, require_columns
+from demandspark.functions.guards import attach, ensure, group_window, is_finite, require_columns
 from demandspark.operators.quantiles import quantiles
 
 MACHINE_EPSILON = 2.0**-52
@@ -97,7 +97,7 @@ def pinball_loss(
     by: Sequence[str] = (),
 ) -> DataFrame:
     if not 0.0 < quantile < 1.0:
-        raise ValueError("quantile must be between zero and one")
+        raise ValueError("quantile is a share above 0 and below 1")
     return checked_aggregate(
         df, (actual, predicted), {"pinball_loss": errors.pinball(F.col(actual), F.col(predicted), quantile)}, by
     )
@@ -113,7 +113,7 @@ def inventory_cost(
 ) -> DataFrame:
     """Cost of shortages and excess stock under asymmetric unit costs."""
     if underage_cost < 0 or overage_cost < 0 or underage_cost + overage_cost == 0:
-        raise ValueError("inventory costs must be non-negative with a positive total")
+        raise ValueError("both unit costs are zero or more, and one of them is above zero")
     zero = F.lit(0.0)
     shortage = F.greatest(F.col(actual) - F.col(predicted), zero)
     excess = F.greatest(F.col(predicted) - F.col(actual), zero)
@@ -144,11 +144,15 @@ def seasonal_scale(
 
     A series that is too short, not finite or without seasonal change stops the job, or gets a NULL scale
     when `strict` is off.  A series is ordered by `order` and holds one row per time step, so a window partition is bounded by
-    the calendar.
+    the calendar; without series keys the steps are counted first, and a repeated one stops the job.
     """
     if seasonality < 1:
-        raise ValueError("seasonality must be positive")
-    window = Window.partitionBy(*series) if series else Window.partitionBy(F.lit(0))
+        raise ValueError("seasonality is at least 1")
+    if not series:
+        steps = history.groupBy(*order).agg(F.count(F.lit(1)).alias("__copies"), F.max(value).alias(value))
+        single = ensure(F.col("__copies") == 1, "a history without series keys needs one row for each time step")
+        history = steps.filter(single).drop("__copies")
+    window = group_window(series)
     step = F.abs(F.col(value) - F.lag(value, seasonality).over(window.orderBy(*order)))
     scaled = (
         history.withColumn(value, F.col(value).cast("double"))
@@ -188,13 +192,15 @@ def mean_absolute_scaled_error(
 ) -> DataFrame:
     """MAE divided by the in-sample error of the seasonal naive forecast, per series key `by`.
 
-    With `strict` off, series whose scale is undefined get a NULL instead of stopping the whole job.
+    With `strict` off, series whose scale is undefined, or that have no history at all, get a NULL instead of stopping the
+    whole job.
     """
     errors_per_series = checked_aggregate(
         df, (actual, predicted), {"mae": errors.mae(F.col(actual), F.col(predicted))}, by
     )
     scale = seasonal_scale(history, seasonality, history_value, by, order, strict)
-    return attach(errors_per_series, scale, by).select(*by, (F.col("mae") / F.col("scale")).alias("mase"))
+    required = "no training history for" if strict else None
+    return attach(errors_per_series, scale, by, required=required).select(*by, (F.col("mae") / F.col("scale")).alias("mase"))
 
 
 def residual_summary(

@@ -106,11 +106,14 @@ def row_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name:
     The rows before a prefix of the order columns are counted level by level from pre-aggregated counts,
     and only rows that agree on all but the last column are numbered by a window.  With
     (date, store_id, sku_id) that window holds one store and day, however many rows a day or a store has.
+    A single order column has no such prefix: its rows are dealt into ranges, which are numbered on their own.
     """
     require_columns(df, [*order, *by], "prediction log")
     if not order:
         raise ValueError("order must name at least one column")
     by, order = list(by), list(order)
+    if len(order) == 1:
+        return _ranged_index(df, order[0], by, name)
     rows = df
     total = F.lit(0).cast("bigint")
     if len(order) > 1:
@@ -134,6 +137,22 @@ def row_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), name:
     return rows.withColumn(name, total + inner - 1).drop("__before")
 
 
+def _ranged_index(df: DataFrame, order: str, by: list[str], name: str) -> DataFrame:
+    """`row_index` by one column: rows before a range are counted per range, those inside it by their place.
+
+    The sorted ranges are checkpointed, so that both steps see the same ones even if an executor is lost.
+    """
+    place = F.monotonically_increasing_id()  # range number in the upper bits, place in it in the lower 33
+    dealt = df.repartitionByRange(*by, F.col(order).asc_nulls_last()).sortWithinPartitions(*by, F.col(order).asc_nulls_last())
+    dealt = dealt.withColumn("__place", place).withColumn("__range", F.shiftright("__place", 33)).checkpoint()
+    ranges = dealt.groupBy(*by, "__range").agg(F.count(F.lit(1)).alias("__n"), F.min("__place").alias("__first"))
+    earlier = F.sum("__n").over(group_window(by, F.col("__range")).rowsBetween(Window.unboundedPreceding, -1))
+    ranges = ranges.withColumn("__before", F.coalesce(earlier, F.lit(0))).drop("__n")
+    numbered = join_on(dealt, ranges, [*by, "__range"])
+    index = F.col("__before") + F.col("__place") - F.col("__first")
+    return numbered.withColumn(name, index).drop("__place", "__range", "__before", "__first")
+
+
 def rolling_quality(
     predictions: DataFrame,
     window_size: int = 50,

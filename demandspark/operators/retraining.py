@@ -15,7 +15,6 @@ STEPS = {
     "interval_undercoverage": "recalibrate forecast intervals on a recent labeled validation window",
 }
 FALLBACK_STEP = "review the drift report before starting a retraining run"
-DEFAULT_COMMAND = "demandspark retrain"
 
 
 def priority_of(severities: Column) -> Column:
@@ -44,19 +43,24 @@ def retraining_steps(alerts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return found.select(*by, steps_of(F.col("types")).alias("next_steps"))
 
 
-def plan_from_report(spark: SparkSession, path: str, created_at: str, by: Sequence[str] = ("model_version",)) -> DataFrame:
+def plan_from_report(
+    spark: SparkSession, path: str, created_at: str, command: str, by: Sequence[str] = ("model_version",)
+) -> DataFrame:
     """Plan of a monitoring report written as a table; a missing report is an error."""
-    return retraining_plan(spark.read.parquet(path), path, created_at, by=by)
+    return retraining_plan(spark.read.parquet(path), path, created_at, command, by)
 
 
 def retraining_plan(
     report: DataFrame,
     source_report: str,
     created_at: str,
-    command: str = DEFAULT_COMMAND,
+    command: str,
     by: Sequence[str] = ("model_version",),
 ) -> DataFrame:
-    """One plan per row of a monitoring report; rows without alerts get `no_action` and priority low."""
+    """One plan per row of a monitoring report; rows without alerts get `no_action` and priority low.
+
+    `command` is what the caller's deployment runs to retrain.
+    """
     triggered = F.col("retrain_recommended")
     empty = F.array().cast("array<string>")
     return report.select(

@@ -1,6 +1,6 @@
 """Batch scoring: predictions with version, time stamp, intervals and, if known, the actuals."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -51,6 +51,31 @@ def batch_score(
     return log
 
 
+def champion_scores(
+    features: DataFrame,
+    champion: DataFrame,
+    models: Mapping[str, str],
+    radius: DataFrame | None = None,
+    coverage: float = 0.90,
+) -> DataFrame:
+    """Score a feature table with the registered champion among column models.
+
+    `champion` is the one-row table of `current_champion` as `model_version`; `models` maps each version to its forecast
+    column, `radius` holds an `interval_radius` per version.  The version is a scalar subquery, so nothing is joined.
+    """
+    forecast = F.lit(None).cast("double")
+    for version, column in models.items():
+        forecast = F.when(F.col("model_version") == version, F.col(column).cast("double")).otherwise(forecast)
+    scored = features.withColumn("model_version", champion.select("model_version").scalar())
+    scored = scored.withColumn("predicted_units", F.greatest(forecast, F.lit(0.0)))
+    if TARGET_COLUMN in features.columns:
+        scored = scored.withColumn("actual_units", F.col(TARGET_COLUMN).cast("double"))
+    if radius is None:
+        return scored
+    own = radius.join(champion, "model_version", "left_semi").select("interval_radius")
+    return add_intervals(scored, own, coverage)
+
+
 def score_records(
     records: DataFrame,
     predictor: Predictor,

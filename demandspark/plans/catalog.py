@@ -1,11 +1,13 @@
 """Registered queries: name -> function of (session, data folder)."""
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandspark.functions.guards import is_finite
 from demandspark.functions.histogram import repair_edges
 from demandspark.operators import (
     alerts,
@@ -23,15 +25,15 @@ from demandspark.operators import (
     splits,
 )
 from demandspark.operators import features as feature_ops
+from demandspark.operators.quantiles import quantiles
 from demandspark.plans import tables
 from demandspark.schemas import (
     CALENDAR_COLUMNS,
-    CATEGORICAL_COLUMNS,
     FEATURE_COLUMNS,
     KEY_COLUMNS,
     SERIES_COLUMNS,
 )
-from demandspark.sources import demand
+from demandspark.sources import demand, writers
 from demandspark.streaming.scoring import score_stream as score_records_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,9 +42,6 @@ QUERIES: dict[str, Query] = {}
 KEY = list(KEY_COLUMNS)
 MODEL = ["model_version"]
 
-# Boosting rounds of the registered tree queries; the operators default to the full number.
-QUERY_ROUNDS = 10
-
 ROUNDING_SHIFT = 1e-9
 
 # Gate limits loose enough for the test data, whose demand carries no learnable signal (r2 is below zero).
@@ -60,6 +59,8 @@ def presented(df: DataFrame) -> DataFrame:
         kind, column = field.dataType.typeName(), F.col(f"`{field.name}`")
         if kind == "double":
             column = F.round(column + ROUNDING_SHIFT, 6)
+        elif kind == "timestamp":
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
         elif kind == "date":
             column = F.date_format(column, "yyyy-MM-dd")
         elif kind == "integer":
@@ -96,7 +97,7 @@ def bronze_dedup(spark, sf_dir):
 
 @query
 def bronze_sorted(spark, sf_dir):
-    return layers.sort_bronze(tables.bronze(spark, sf_dir).select(*KEY, "units_sold"))
+    return layers.sort_bronze(tables.bronze(spark, sf_dir))
 
 
 @query
@@ -217,13 +218,14 @@ def feature_table_reduced(spark, sf_dir):
 
 @query
 def one_hot_wide(spark, sf_dir):
-    frame = tables.features(spark, sf_dir)
-    return encoding.one_hot_wide(frame, encoding.vocabulary(frame), keep=KEY)
+    """In sparse form, which has room for any number of categories: a row per category that is set."""
+    known = encoding.category_features(tables.slice_of(spark, sf_dir, "train"))
+    return encoding.one_hot_long(tables.features(spark, sf_dir), known, keep=KEY)
 
 
 @query
 def align_columns(spark, sf_dir):
-    trained = ["price", "lag_7_units", "sku_id_never_seen", "rolling_7_mean_units"]
+    trained = [*FEATURE_COLUMNS, "sku_id_never_seen"]
     return encoding.align_columns(tables.features(spark, sf_dir), trained, keep=KEY)
 
 
@@ -296,6 +298,15 @@ def mase_by_series(spark, sf_dir):
     )
 
 
+@query
+def mase_without_history(spark, sf_dir):
+    """Series of which some have no training history: those get NULL."""
+    history = tables.slice_of(spark, sf_dir, "train").filter(F.col("sku_id") > "Brand#2")
+    return metrics.mean_absolute_scaled_error(
+        tables.naive(spark, sf_dir, "test"), history, 7, by=list(SERIES_COLUMNS), strict=False
+    )
+
+
 @query
 def residual_summary(spark, sf_dir):
     return metrics.residual_summary(tables.forecasts(spark, sf_dir), by=MODEL)
@@ -356,16 +367,35 @@ def backtest_naive(spark, sf_dir):
     return models.backtest_naive(history, 21, 3)
 
 
+def _finite(*names: str):
+    """Whether all of the columns hold numbers."""
+    return reduce(lambda a, b: a & b, [is_finite(F.col(n)) for n in names])
+
+
 @query
 def gbt_forecast(spark, sf_dir):
-    model = models.fit(tables.slice_of(spark, sf_dir, "train"), rounds=QUERY_ROUNDS)
-    return models.predict(model, tables.slice_of(spark, sf_dir, "test")).select(*KEY, "units_sold", "predicted_units")
+    """The forecasts of the full model, by what any SQL engine can state of them; their quality is a unit test."""
+    scored = models.predict(tables.tree_model(spark, sf_dir), tables.slice_of(spark, sf_dir, "test"))
+    return scored.select(*KEY, "units_sold", _finite("predicted_units").alias("is_number"))
 
 
 @query
 def backtest_gbt(spark, sf_dir):
-    history = tables.history(spark, sf_dir).drop("split")
-    return models.backtest_trees(history, 21, 3, rounds=QUERY_ROUNDS)
+    """Folds of the full model: dates, rows, and the relations that hold between any metrics."""
+    report = models.backtest_trees(tables.history(spark, sf_dir).drop("split"), 21, 3)
+    share = [F.col(c).between(0.0, 1.0) for c in ("under_forecast_rate", "over_forecast_rate")]
+    return report.select(
+        "fold",
+        "train_end",
+        "validation_start",
+        "validation_end",
+        "train_rows",
+        "validation_rows",
+        _finite(*metrics.METRIC_COLUMNS).alias("all_numbers"),
+        ((F.col("mae") <= F.col("rmse")) & (F.abs("bias") <= F.col("mae"))).alias("errors_ordered"),
+        (F.col("median_absolute_error") <= F.col("p90_absolute_error")).alias("quantiles_ordered"),
+        (share[0] & share[1]).alias("rates_are_shares"),
+    )
 
 
 @query
@@ -375,24 +405,33 @@ def batch_score_naive(spark, sf_dir):
 
 @query
 def batch_score(spark, sf_dir):
-    model = models.fit(tables.slice_of(spark, sf_dir, "train"), rounds=QUERY_ROUNDS)
+    """The log of the full model over the feature table: keys, actuals, and the relations of its numbers."""
+    model = tables.tree_model(spark, sf_dir)
     calibration = models.predict(model, tables.slice_of(spark, sf_dir, "validation")).withColumn(
         "actual_units", F.col("units_sold").cast("double")
     )
-    return scoring.batch_score(
-        tables.slice_of(spark, sf_dir, "test"),
-        model,
-        "trees",
-        tables.SCORED_AT,
-        conformal.conformal_radius(calibration),
+    log = scoring.batch_score(
+        tables.features(spark, sf_dir), model, "trees", tables.SCORED_AT, conformal.conformal_radius(calibration)
+    )
+    forecast, low, high = F.col("predicted_units"), F.col("prediction_lower"), F.col("prediction_upper")
+    return log.select(
+        *KEY,
+        "category",
+        *MODEL,
+        "prediction_timestamp",
+        "actual_units",
+        "prediction_interval_coverage",
+        _finite("predicted_units", "prediction_lower", "prediction_upper").alias("all_numbers"),
+        ((forecast >= 0) & (low >= 0)).alias("not_negative"),
+        forecast.between(low, high).alias("inside_interval"),
+        (F.col("absolute_error") == F.abs(forecast - F.col("actual_units"))).alias("error_agrees"),
     )
 
 
 @query
 def score_records(spark, sf_dir):
-    return scoring.score_records(
-        tables.slice_of(spark, sf_dir, "test"), models.naive_forecast, "naive", radius=10.0, keep=KEY
-    )
+    radius = tables.naive_radius(spark, sf_dir)
+    return scoring.score_records(tables.features(spark, sf_dir), models.naive_forecast, "naive", radius, keep=KEY)
 
 
 @query
@@ -401,7 +440,12 @@ def score_stream(spark, sf_dir):
     path = tables.new_path(spark, "scored_stream")
     stream = tables.feature_stream(spark, sf_dir)
     score_records_stream(
-        stream, models.naive_forecast, "naive", path, tables.new_path(spark, "stream_checkpoint"), radius=10.0
+        stream,
+        models.naive_forecast,
+        "naive",
+        path,
+        tables.new_path(spark, "stream_checkpoint"),
+        tables.naive_radius(spark, sf_dir),
     ).awaitTermination()
     return spark.read.parquet(path)
 
@@ -442,21 +486,10 @@ def reference_bins(spark, sf_dir):
 
 @query
 def edge_repair(spark, sf_dir):
-    """Smallest and largest units of each SKU as edges, each of them twice."""
-    edges = (
-        tables.silver(spark, sf_dir)
-        .groupBy("sku_id")
-        .agg(
-            F.array(
-                *[
-                    F.min("units_sold").cast("double"),
-                    F.min("units_sold").cast("double"),
-                    F.max("units_sold").cast("double"),
-                    F.max("units_sold").cast("double"),
-                ]
-            ).alias("edges")
-        )
-    )
+    """Twentieths of each SKU's units as edges; whole units tie often."""
+    steps = {f"edge_{i}": i / 20 for i in range(21)}
+    found = quantiles(tables.silver(spark, sf_dir), "units_sold", steps, ["sku_id"])
+    edges = found.select("sku_id", F.array(*steps).alias("edges"))
     repaired = edges.select("sku_id", F.posexplode(repair_edges("edges")).alias("position", "edge"))
     return repaired.select("sku_id", "position", "edge")
 
@@ -492,14 +525,30 @@ def feature_mean_shift(spark, sf_dir):
 
 @query
 def feature_schema_report(spark, sf_dir):
-    observed = tables.slice_of(spark, sf_dir, "test").select("price", "lag_7_units", "category")
-    report = drift.feature_schema_report(observed, ["price", "lag_7_units", "category", "humidity"])
+    observed = tables.features(spark, sf_dir)
+    report = drift.feature_schema_report(observed, [*FEATURE_COLUMNS, "category", "humidity"])
     lists = ["missing_features", "non_numeric_features", "non_finite_features"]
     return report.select(
         "expected_feature_count", "present_feature_count", "coverage", *joined(lists), "valid"
     )
 
 
+@query
+def log_round_trip(spark, sf_dir):
+    """The prediction log appended to a store, one folder per model, and read back."""
+    path = tables.new_path(spark, "log")
+    writers.write_predictions(tables.naive_scores(spark, sf_dir), path)
+    return writers.read_predictions(spark, path).select(*KEY, *MODEL, "predicted_units", "actual_units")
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """Raw demand as CSV files, scanned by the contract reader."""
+    path = tables.new_path(spark, "raw_csv")
+    demand.conform(tables.raw(spark, sf_dir)).write.option("header", True).csv(path)
+    return demand.read_raw(spark, path, fmt="csv", strict=True)
+
+
 # --- quality and alerts -------------------------------------------------------------------------
 
 
@@ -518,6 +567,15 @@ def rolling_quality(spark, sf_dir):
     return quality.rolling_quality(tables.forecasts(spark, sf_dir), 50, KEY, MODEL)
 
 
+@query
+def row_positions(spark, sf_dir):
+    """Position of every raw row by one column, its line number over the whole table."""
+    raw = tables.raw(spark, sf_dir)
+    number = (F.col("l_orderkey") * 1000 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")
+    rows = raw.select(number.alias("line")).distinct()
+    return quality.row_index(rows, ["line"])
+
+
 def _signals(spark, sf_dir) -> DataFrame:
     reference = profiles.numeric_profile(tables.slice_of(spark, sf_dir, "train"))
     return alerts.monitoring_signals(
@@ -525,6 +583,8 @@ def _signals(spark, sf_dir) -> DataFrame:
     )
 
 
+RETRAIN_COMMAND = "spark-submit retrain.py"
+
 # Tight limits, so that the steady test data raises alerts of several kinds.
 TIGHT = alerts.Thresholds(
     psi=0.01, mae_degradation_ratio=1.01, bias_ratio=0.01, feature_mean_shift=0.05, interval_coverage_ratio=1.0
@@ -536,6 +596,45 @@ def monitoring_alerts(spark, sf_dir):
     return alerts.monitoring_alerts(_signals(spark, sf_dir), TIGHT, MODEL)
 
 
+@query
+def monitor_metrics(spark, sf_dir):
+    """The twelve metrics of the full monitoring report."""
+    return _monitoring(spark, sf_dir)["metrics"]
+
+
+@query
+def monitor_blocks(spark, sf_dir):
+    return _monitoring(spark, sf_dir)["blocks"]
+
+
+def _monitoring(spark, sf_dir) -> dict[str, DataFrame]:
+    reference = profiles.numeric_profile(tables.slice_of(spark, sf_dir, "train"))
+    return alerts.monitoring_tables(
+        tables.prediction_log(spark, sf_dir), tables.baseline(spark, sf_dir), reference, FEATURE_COLUMNS, limits=TIGHT
+    )
+
+
+@query
+def monitor_unlabelled(spark, sf_dir):
+    """Signals of a log that has no actuals yet."""
+    log = tables.prediction_log(spark, sf_dir).drop("actual_units", "units_sold")
+    reference = profiles.numeric_profile(tables.slice_of(spark, sf_dir, "train"))
+    return alerts.monitoring_signals(log, tables.baseline(spark, sf_dir), reference, FEATURE_COLUMNS)
+
+
+@query
+def monitor_new_model(spark, sf_dir):
+    """Signals of a log in which one model has neither a radius nor a baseline."""
+    return alerts.monitoring_signals(tables.wider_log(spark, sf_dir), tables.baseline(spark, sf_dir))
+
+
+@query
+def intervals_new_model(spark, sf_dir):
+    """Rows and bounded rows per model of that log: no row is lost."""
+    log = tables.wider_log(spark, sf_dir)
+    return log.groupBy(*MODEL).agg(F.count("*").alias("rows"), F.count("prediction_upper").alias("bounded_rows"))
+
+
 @query
 def monitor_summary(spark, sf_dir):
     report = alerts.monitor_report(_signals(spark, sf_dir), TIGHT)
@@ -557,7 +656,7 @@ def retraining_steps(spark, sf_dir):
 @query
 def retraining_plan(spark, sf_dir):
     report = alerts.monitor_report(_signals(spark, sf_dir), TIGHT)
-    plan = retraining.retraining_plan(report, "monitor_summary", tables.SCORED_AT)
+    plan = retraining.retraining_plan(report, "monitor_summary", tables.SCORED_AT, RETRAIN_COMMAND)
     lists = ["alert_types", "next_steps"]
     return plan.select(*[c for c in plan.columns if c not in lists], *joined(lists))
 
@@ -594,7 +693,8 @@ def promotion_scorecard(spark, sf_dir):
 
 def _versions(spark, sf_dir) -> DataFrame:
     gated = governance.promotion_gate(_candidates(spark, sf_dir), OPEN_GATE)
-    stamped = gated.withColumn("registered_at", F.substring("model_version", 1, 2))
+    day = F.concat(F.lit("2026-01-0"), F.substring("model_version", 2, 1))  # one version a day, in their order
+    stamped = gated.withColumn("registered_at", F.to_timestamp(F.concat(day, F.lit(" 06:00:00"))))
     return governance.version_records(stamped)
 
 
@@ -608,6 +708,17 @@ def current_champion(spark, sf_dir):
     return governance.current_champion(_versions(spark, sf_dir))
 
 
+@query
+def champion_scores(spark, sf_dir):
+    """The feature table scored by the registered champion, with the bounds of its own calibration."""
+    champion = governance.require_champion(_versions(spark, sf_dir)).select(F.col("version").alias("model_version"))
+    calibration = models.column_forecasts(tables.slice_of(spark, sf_dir, "validation"), VERSIONS)
+    radius = conformal.conformal_radius(calibration, tables.COVERAGE, by=MODEL)
+    return scoring.champion_scores(tables.features(spark, sf_dir), champion, VERSIONS, radius, tables.COVERAGE).select(
+        *KEY, *MODEL, "predicted_units", "actual_units", "prediction_lower", "prediction_upper"
+    )
+
+
 @query
 def run_params_long(spark, sf_dir):
     counts = tables.labelled(spark, sf_dir).agg(
@@ -615,7 +726,7 @@ def run_params_long(spark, sf_dir):
     )
     settings = {
         "model_type": "naive",
-        "feature_count": len(FEATURE_COLUMNS) + len(CATEGORICAL_COLUMNS),
+        "feature_count": len(encoding.model_matrix(tables.slice_of(spark, sf_dir, "train"))[1]),
         "training": {"validation_days": tables.VALIDATION_DAYS, "test_days": tables.TEST_DAYS},
     }
     return governance.run_parameters(spark, "run-1", settings, counts)

@@ -139,7 +139,8 @@ log AS (
   SELECT forecasts.*, greatest(predicted_units - interval_radius, 0) AS prediction_lower,
          predicted_units + interval_radius AS prediction_upper, 0.9e0 AS prediction_interval_coverage,
          interval_radius, calibration_rows
-  FROM forecasts JOIN radii USING (model_version) WHERE split = 'test')"""
+  FROM forecasts LEFT JOIN radii USING (model_version)),
+test_log AS (SELECT * FROM log WHERE split = 'test')"""
 
 METRICS = {
     "mae": "avg(abs(predicted_units - actual_units))",
@@ -172,7 +173,23 @@ CONFORMAL = {
 
 # Bins: sorted values per model, interpolated edges, repaired left to right, counts per half-open bin.
 STEPS = ", ".join(f"{i * 0.1!r}e0" if i < 10 else "1e0" for i in range(11))
-BINS = f"""
+def psi_over(source: str) -> str:
+    """Observed shares and PSI of the rows of a table, for models that have bins."""
+    return f"""
+observed AS (
+  SELECT bins.model_version, bin, any_value(expected_share) AS expected_share,
+         count(*) FILTER ((bin = 0 OR predicted_units >= lower_edge) AND (bin = 9 OR predicted_units < upper_edge))
+           / count(*)::double AS observed_share
+  FROM bins JOIN {source} AS seen ON seen.model_version = bins.model_version
+  GROUP BY bins.model_version, bin),
+psi_bins AS (
+  SELECT model_version,
+         sum((least(greatest(observed_share, 1e-6), 1) - least(greatest(expected_share, 1e-6), 1))
+             * ln(least(greatest(observed_share, 1e-6), 1) / least(greatest(expected_share, 1e-6), 1))) AS psi
+  FROM observed GROUP BY model_version)"""
+
+
+EDGES = f"""
 sorted AS (
   SELECT model_version, list(predicted_units ORDER BY predicted_units) AS v, count(*) AS n
   FROM forecasts WHERE split = 'validation' GROUP BY model_version),
@@ -194,18 +211,8 @@ edges AS (
 bins AS (
   SELECT model_version, i - 1 AS bin, bin_edges[i] AS lower_edge, bin_edges[i + 1] AS upper_edge, n,
          len(list_filter(v, lambda x: (i = 1 OR x >= bin_edges[i]) AND (i = 10 OR x < bin_edges[i + 1]))) / n::double AS expected_share
-  FROM edges, range(1, 11) AS r(i)),
-observed AS (
-  SELECT bins.model_version, bin, any_value(expected_share) AS expected_share,
-         count(*) FILTER ((bin = 0 OR predicted_units >= lower_edge) AND (bin = 9 OR predicted_units < upper_edge))
-           / count(*)::double AS observed_share
-  FROM bins JOIN forecasts ON forecasts.model_version = bins.model_version AND split = 'test'
-  GROUP BY bins.model_version, bin),
-psi_bins AS (
-  SELECT model_version,
-         sum((least(greatest(observed_share, 1e-6), 1) - least(greatest(expected_share, 1e-6), 1))
-             * ln(least(greatest(observed_share, 1e-6), 1) / least(greatest(expected_share, 1e-6), 1))) AS psi
-  FROM observed GROUP BY model_version)"""
+  FROM edges, range(1, 11) AS r(i))"""
+BINS = f"{EDGES},{psi_over('test_log')}"
 
 STATS = """
 moments AS (
@@ -273,9 +280,9 @@ signals AS (
   SELECT quality.model_version, quality.rows, quality.mae, quality.wape, quality.bias, psi,
          (SELECT max(abs(standardized_shift)) FROM shifts WHERE shifts.model_version = quality.model_version) AS max_feature_shift,
          observed_coverage AS interval_coverage, segment AS worst_segment, ranked_segments.mae AS segment_mae,
-         reference_mae, 0.9e0 AS target_coverage
-  FROM quality JOIN reference USING (model_version) JOIN psi_bins USING (model_version)
-  JOIN intervals USING (model_version)
+         reference_mae, CASE WHEN reference_mae IS NOT NULL THEN 0.9e0 END AS target_coverage
+  FROM quality LEFT JOIN reference USING (model_version) LEFT JOIN psi_bins USING (model_version)
+  LEFT JOIN intervals USING (model_version)
   LEFT JOIN ranked_segments ON ranked_segments.model_version = quality.model_version AND place = 1)"""
 
 ALERTS = """
@@ -316,7 +323,7 @@ steps AS (
   SELECT model_version, row_number() OVER (PARTITION BY model_version ORDER BY place) - 1 AS position, step
   FROM (SELECT DISTINCT model_version, place, step FROM alerts JOIN known_steps USING (type)))"""
 
-MONITOR = (BINS, TRAIN_STATS, _shift("log", "model_version"), SEGMENTS, INTERVALS, SIGNALS, ALERTS)
+MONITOR = (EDGES, psi_over("log"), TRAIN_STATS, _shift("log", "model_version"), SEGMENTS, INTERVALS, SIGNALS, ALERTS)
 
 VERSIONS = (
     "versions AS ("
@@ -380,7 +387,7 @@ RAW_OUT = f"{day()}, store_id, sku_id, category, {nums('price')}, cast(promotion
 CALENDAR_OUT = "cast(is_weekend AS bigint) AS is_weekend, cast(day_of_week AS bigint) AS day_of_week, cast(month AS bigint) AS month, cast(week_of_year AS bigint) AS week_of_year"
 oracle("raw_scan", f"SELECT {RAW_OUT} FROM raw", (RAW,))
 oracle("bronze_dedup", f"SELECT {RAW_OUT} FROM bronze", (RAW, BRONZE))
-oracle("bronze_sorted", f"SELECT {KEYS}, units_sold FROM bronze ORDER BY 1, 2, 3", (RAW, BRONZE))
+oracle("bronze_sorted", f"SELECT {RAW_OUT} FROM bronze ORDER BY 1, 2, 3", (RAW, BRONZE))
 COPIES = (
     "SELECT count(*) AS rows, sum(copies) - count(*) AS removed "
     "FROM (SELECT count(*) AS copies FROM raw GROUP BY date, store_id, sku_id)"
@@ -463,20 +470,19 @@ oracle(
 )
 
 # --- encoding and splits
-STORES = [f"store_{i:02d}" for i in range(5)]
-SKUS = [f"Brand#{i}" for i in range(1, 26)]
-GROUPS = ["grocery", "home", "personal_care", "seasonal"]
-ONE_HOTS = ", ".join(
-    f"CASE WHEN {c} = '{v}' THEN 1e0 ELSE 0e0 END AS \"{c}_{v}\""
-    for c, values in zip(CATEGORICAL_COLUMNS, (STORES, SKUS, GROUPS))
-    for v in values
-)
-oracle("one_hot_wide", f"SELECT {KEYS}, {ONE_HOTS} FROM features", (*LAYERS, FEATURES))
-oracle(
-    "align_columns",
-    f"SELECT {KEYS}, {num('price')}, lag_7_units, 0e0 AS sku_id_never_seen, {num('rolling_7_mean_units')} FROM features",
-    (*LAYERS, FEATURES),
+oracle(
+    "one_hot_wide",
+    " UNION ALL ".join(
+        f"SELECT {KEYS}, '{c}_' || {c} AS feature, 1e0 AS value FROM features WHERE {c} IN (SELECT {c} FROM split WHERE split = 'train')"
+        for c in CATEGORICAL_COLUMNS
+    ),
+    GOLD,
+)
+INT_FEATURES = ("promotion", "stockout", "is_weekend")
+FEATURE_OUT = ", ".join(
+    f"cast({c} AS bigint) AS {c}" if c in INT_FEATURES else c if c in COUNTS else num(c) for c in FEATURE_COLUMNS
 )
+oracle("align_columns", f"SELECT {KEYS}, {FEATURE_OUT}, 0e0 AS sku_id_never_seen FROM features", (*LAYERS, FEATURES))
 oracle(
     "model_matrix",
     f"SELECT {KEYS}, cast({len(FEATURE_COLUMNS)} + stores + skus + groups AS bigint) AS width, "
@@ -516,12 +522,15 @@ oracle(
     "mase_by_series",
     f"""SELECT store_id, sku_id, {num('CASE WHEN steps > 0 AND scale > 2.220446049250313e-16 THEN mae / scale END', 'mase')} FROM
   (SELECT store_id, sku_id, avg(abs(predicted_units - actual_units)) AS mae FROM naive WHERE split = 'test' GROUP BY ALL)
-  JOIN (SELECT store_id, sku_id, avg(step) AS scale, count(step) AS steps FROM
+  LEFT JOIN (SELECT store_id, sku_id, avg(step) AS scale, count(step) AS steps FROM
           (SELECT store_id, sku_id, abs(units_sold - lag(units_sold, 7) OVER (PARTITION BY store_id, sku_id ORDER BY date)) AS step
            FROM split WHERE split = 'train') GROUP BY ALL)
   USING (store_id, sku_id)""",
     SCORED,
 )
+ORACLES["mase_without_history"] = ORACLES["mase_by_series"].replace(
+    "FROM split WHERE split = 'train')", "FROM split WHERE split = 'train' AND sku_id > 'Brand#2')"
+)
 RESIDUAL = "predicted_units - actual_units"
 RESIDUAL_OUT = {
     "mean": f"avg({RESIDUAL})",
@@ -549,7 +558,7 @@ CONFORMAL_OUT = ", ".join(num(e, n) for n, e in CONFORMAL.items())
 oracle(
     "conformal_summary",
     f"SELECT model_version, 0.9e0 AS target_coverage, {CONFORMAL_OUT}, max(calibration_rows) AS calibration_rows, count(*) AS test_rows "
-    "FROM log GROUP BY model_version",
+    "FROM test_log GROUP BY model_version",
     SCORED,
 )
 BOUNDS_OUT = f"{nums('prediction_lower', 'prediction_upper')}, prediction_interval_coverage"
@@ -557,7 +566,7 @@ oracle("prediction_intervals", f"SELECT {KEYS}, model_version, {num('predicted_u
 oracle(
     "test_predictions",
     f"SELECT {KEYS}, units_sold, {num('predicted_units', 'prediction')}, {num(f'abs({RESIDUAL})', 'absolute_error')}, "
-    f"{nums('prediction_lower', 'prediction_upper')} FROM log WHERE model_version = 'naive'",
+    f"{nums('prediction_lower', 'prediction_upper')} FROM test_log WHERE model_version = 'naive'",
     SCORED,
 )
 
@@ -576,10 +585,6 @@ oracle(
     f"{nums(*METRICS)} FROM fold_parts JOIN fold_metrics USING (fold)",
     (*GOLD, backtest("rolling_7_mean_units")),
 )
-INT_FEATURES = ("promotion", "stockout", "is_weekend")
-FEATURE_OUT = ", ".join(
-    f"cast({c} AS bigint) AS {c}" if c in INT_FEATURES else c if c in COUNTS else num(c) for c in FEATURE_COLUMNS
-)
 oracle(
     "batch_score_naive",
     f"SELECT {KEYS}, category, {FEATURE_OUT}, model_version, '2026-01-01T00:00:00+00:00' AS prediction_timestamp, "
@@ -587,16 +592,17 @@ oracle(
     "FROM log WHERE model_version = 'naive'",
     SCORED,
 )
+NAIVE_RADIUS = "(SELECT interval_radius FROM radii WHERE model_version = 'naive')"
 oracle(
     "score_records",
-    f"SELECT {KEYS}, 'naive' AS model_version, {num('predicted_units')}, {num('greatest(predicted_units - 10, 0)', 'prediction_lower')}, "
-    f"{num('predicted_units + 10', 'prediction_upper')}, 0.9e0 AS prediction_interval_coverage FROM naive WHERE split = 'test'",
+    f"SELECT {KEYS}, 'naive' AS model_version, {num('predicted_units')}, {num(f"greatest(predicted_units - {NAIVE_RADIUS}, 0)", "prediction_lower")}, "
+    f"{num(f"predicted_units + {NAIVE_RADIUS}", "prediction_upper")}, 0.9e0 AS prediction_interval_coverage FROM naive",
     SCORED,
 )
 oracle(
     "score_stream",
-    f"SELECT {KEYS}, 'naive' AS model_version, {num('predicted_units')}, {num('greatest(predicted_units - 10, 0)', 'prediction_lower')}, "
-    f"{num('predicted_units + 10', 'prediction_upper')}, 0.9e0 AS prediction_interval_coverage FROM naive",
+    f"SELECT {KEYS}, 'naive' AS model_version, {num('predicted_units')}, {num(f"greatest(predicted_units - {NAIVE_RADIUS}, 0)", "prediction_lower")}, "
+    f"{num(f"predicted_units + {NAIVE_RADIUS}", "prediction_upper")}, 0.9e0 AS prediction_interval_coverage FROM naive",
     SCORED,
 )
 SUMMARY_OUT = (
@@ -638,13 +644,14 @@ oracle(
     f"SELECT model_version, cast(bin AS bigint) AS bin, {nums('lower_edge', 'upper_edge', 'expected_share')} FROM bins",
     (*SCORED, BINS),
 )
+TWENTIETHS = ", ".join(f"{i / 20!r}e0" for i in range(21))
 oracle(
     "edge_repair",
-    f"""SELECT sku_id, cast(i - 1 AS bigint) AS position, {num('e[i] + CASE i WHEN 1 THEN -1e-6 WHEN 4 THEN 1e-6 ELSE 0 END', 'edge')} FROM (
-  SELECT sku_id, list_reduce(list_transform([lo, lo, hi, hi], lambda x: [x]), lambda done, x:
+    f"""SELECT sku_id, cast(i - 1 AS bigint) AS position, {num('e[i] + CASE i WHEN 1 THEN -1e-6 WHEN 21 THEN 1e-6 ELSE 0 END', 'edge')} FROM (
+  SELECT sku_id, list_reduce(list_transform(q, lambda x: [x]), lambda done, x:
            list_append(done, CASE WHEN x[1] <= done[-1] THEN done[-1] + 1e-6 ELSE x[1] END)) AS e
-  FROM (SELECT sku_id, cast(min(units_sold) AS double) AS lo, cast(max(units_sold) AS double) AS hi FROM silver GROUP BY sku_id)),
-range(1, 5) AS r(i)""",
+  FROM (SELECT sku_id, quantile_cont(cast(units_sold AS double), [{TWENTIETHS}]) AS q FROM silver GROUP BY sku_id)),
+range(1, 22) AS r(i)""",
     LAYERS,
 )
 oracle("psi_from_bins", f"SELECT model_version, {num('psi')} FROM psi_bins", (*SCORED, BINS))
@@ -661,20 +668,23 @@ oracle(
     f"{num('abs(standardized_shift)', 'absolute_standardized_shift')} FROM shifts",
     (*GOLD, TRAIN_STATS, "test_rows AS (SELECT * FROM split WHERE split = 'test')", _shift("test_rows")),
 )
+EXPECTED = sorted([*FEATURE_COLUMNS, "category"])
 oracle(
     "feature_schema_report",
-    """SELECT cast(4 AS bigint) AS expected_feature_count, cast(3 AS bigint) AS present_feature_count, 0.75e0 AS coverage,
-       'humidity' AS missing_features,
-       concat_ws('; ', CASE WHEN category_numbers = 0 THEN 'category' END, CASE WHEN lag_numbers = 0 THEN 'lag_7_units' END,
-                 CASE WHEN price_numbers = 0 THEN 'price' END) AS non_numeric_features,
-       concat_ws('; ', CASE WHEN category_numbers BETWEEN 1 AND rows - 1 THEN 'category' END,
-                 CASE WHEN lag_numbers BETWEEN 1 AND rows - 1 THEN 'lag_7_units' END,
-                 CASE WHEN price_numbers BETWEEN 1 AND rows - 1 THEN 'price' END) AS non_finite_features,
+    f"""SELECT cast({len(EXPECTED) + 1} AS bigint) AS expected_feature_count, cast({len(EXPECTED)} AS bigint) AS present_feature_count,
+       {num(f'{len(EXPECTED)}e0 / {len(EXPECTED) + 1}', 'coverage')}, 'humidity' AS missing_features,
+       concat_ws('; ', {', '.join(f"CASE WHEN numbers_{c} = 0 THEN '{c}' END" for c in EXPECTED)}) AS non_numeric_features,
+       concat_ws('; ', {', '.join(f"CASE WHEN numbers_{c} BETWEEN 1 AND rows - 1 THEN '{c}' END" for c in EXPECTED)}) AS non_finite_features,
        false AS valid
-FROM (SELECT count(*) AS rows, count(price) AS price_numbers, count(lag_7_units) AS lag_numbers,
-             count(try_cast(category AS double)) AS category_numbers FROM split WHERE split = 'test')""",
-    GOLD,
+FROM (SELECT count(*) AS rows, {', '.join(f"count(try_cast({c} AS double)) AS numbers_{c}" for c in EXPECTED)} FROM features)""",
+    (*LAYERS, FEATURES),
+)
+oracle(
+    "log_round_trip",
+    f"SELECT {KEYS}, model_version, {nums('predicted_units', 'actual_units')} FROM naive",
+    SCORED,
 )
+oracle("csv_round_trip", f"SELECT {RAW_OUT} FROM raw", (RAW,))
 
 # --- quality and alerts
 oracle(
@@ -696,6 +706,49 @@ FROM (SELECT *, (row_number() OVER (PARTITION BY model_version ORDER BY date, st
 GROUP BY model_version, block""",
     SCORED,
 )
+ORACLES["monitor_blocks"] = ORACLES["rolling_quality"]
+oracle(
+    "row_positions",
+    """SELECT line, row_number() OVER (ORDER BY line) - 1 AS row_index
+FROM (SELECT DISTINCT (l_orderkey * 1000 + l_linenumber) * 1000000 + l_partkey AS line FROM raw)""",
+    (RAW,),
+)
+oracle("monitor_metrics", f"SELECT model_version, {METRIC_OUT} FROM log GROUP BY model_version", SCORED)
+BLANK = "cast(NULL AS double)"
+oracle(
+    "monitor_unlabelled",
+    f"SELECT model_version, rows, {BLANK} AS mae, {BLANK} AS wape, {BLANK} AS bias, {nums('psi', 'max_feature_shift')}, "
+    f"{BLANK} AS interval_coverage, {num('target_coverage')}, {num('reference_mae')}, {BLANK} AS segment_mae, "
+    "cast(NULL AS varchar) AS worst_segment FROM signals",
+    (*SCORED, *MONITOR),
+)
+WIDER = LOG.replace(
+    "cast(units_sold AS double) AS actual_units FROM split),",
+    "cast(units_sold AS double) AS actual_units FROM split\n  UNION ALL\n"
+    "  SELECT *, 'lag_14' AS model_version, cast(lag_14_units AS double) AS predicted_units,\n"
+    "         cast(units_sold AS double) AS actual_units FROM split),",
+).replace("GROUP BY model_version),\nlog AS", "AND model_version <> 'lag_14' GROUP BY model_version),\nlog AS")
+NEW_MODEL = (
+    *GOLD,
+    WIDER,
+    EDGES.replace("WHERE split = 'validation'", "WHERE split = 'validation' AND model_version <> 'lag_14'"),
+    psi_over("log"),
+    SEGMENTS,
+    INTERVALS.replace("FROM log", "FROM log WHERE prediction_upper IS NOT NULL"),
+    "shifts AS (SELECT '' AS model_version, 0e0 AS standardized_shift WHERE false)",
+    SIGNALS.replace("WHERE split = 'validation'", "WHERE split = 'validation' AND model_version <> 'lag_14'"),
+)
+oracle(
+    "monitor_new_model",
+    f"SELECT model_version, rows, {nums('mae', 'wape', 'bias', 'psi')}, {BLANK} AS max_feature_shift, "
+    f"{nums('interval_coverage', 'target_coverage', 'reference_mae', 'segment_mae')}, worst_segment FROM signals",
+    NEW_MODEL,
+)
+oracle(
+    "intervals_new_model",
+    "SELECT model_version, count(*) AS rows, count(prediction_upper) AS bounded_rows FROM log GROUP BY model_version",
+    (*GOLD, WIDER),
+)
 oracle(
     "monitoring_alerts",
     f"SELECT model_version, cast(ordinal AS bigint) AS ordinal, type, severity, {nums('value', 'threshold')}, segment, message FROM alerts",
@@ -718,7 +771,7 @@ oracle(
        coalesce(first_message, 'no retraining trigger crossed') AS reason, coalesce(priority, 'low') AS priority,
        coalesce(replace(alert_types, ',', '; '), '') AS alert_types,
        coalesce((SELECT string_agg(step, '; ' ORDER BY position) FROM steps WHERE steps.model_version = signals.model_version), '') AS next_steps,
-       CASE WHEN alert_count IS NOT NULL THEN 'demandspark retrain' ELSE '' END AS retrain_command,
+       CASE WHEN alert_count IS NOT NULL THEN 'spark-submit retrain.py' ELSE '' END AS retrain_command,
        'monitor_summary' AS source_report
 FROM signals LEFT JOIN fired USING (model_version)""",
     (*SCORED, *MONITOR),
@@ -740,7 +793,7 @@ oracle(
 )
 STAGED = (
     "SELECT model_version AS version, CASE WHEN reason = 'candidate passed validation quality gates' THEN 'champion' ELSE 'candidate' END AS stage, "
-    "mae, r2, reason AS promotion_reason, substr(model_version, 1, 2) AS registered_at FROM gated"
+    "mae, r2, reason AS promotion_reason, '2026-01-0' || substr(model_version, 2, 1) || ' 06:00:00' AS registered_at FROM gated"
 )
 oracle(
     "model_versions",
@@ -752,10 +805,43 @@ oracle(
     f"SELECT version, {nums('mae', 'r2')}, registered_at FROM ({STAGED}) WHERE stage = 'champion' ORDER BY registered_at DESC, version DESC LIMIT 1",
     (*GOLD, VERSIONS),
 )
+oracle(
+    "champion_scores",
+    f"""SELECT {KEYS}, version AS model_version, {num('greatest(forecast, 0)', 'predicted_units')}, {num('cast(units_sold AS double)', 'actual_units')},
+       {num('greatest(greatest(forecast, 0) - interval_radius, 0)', 'prediction_lower')}, {num('greatest(forecast, 0) + interval_radius', 'prediction_upper')}
+FROM (SELECT *, CASE version WHEN 'v1_rolling_7' THEN rolling_7_mean_units WHEN 'v2_rolling_28' THEN rolling_28_mean_units
+                             WHEN 'v3_lag_1' THEN lag_1_units ELSE sku_avg_units END AS forecast
+      FROM features, champion)""",
+    (
+        *GOLD,
+        VERSIONS,
+        f"champion_version AS (SELECT version FROM ({STAGED}) WHERE stage = 'champion' ORDER BY registered_at DESC, version DESC LIMIT 1)",
+        "champion_errors AS (SELECT abs(predicted_units - actual_units) AS error, row_number() OVER (ORDER BY abs(predicted_units - actual_units)) - 1 AS position, "
+        "count(*) OVER () AS n FROM versions WHERE model_version = (SELECT version FROM champion_version))",
+        "champion AS (SELECT version, error AS interval_radius FROM champion_version, champion_errors "
+        "WHERE position = ceil((n - 1) * least(1e0, ceil((n + 1) * 0.9e0) / n)))",
+    ),
+)
+oracle("gbt_forecast", f"SELECT {KEYS}, units_sold, true AS is_number FROM split WHERE split = 'test'", GOLD)
+oracle(
+    "backtest_gbt",
+    f"SELECT cast(fold AS bigint) AS fold, {day('train_end')}, {day('validation_start')}, {day('validation_end')}, train_rows, validation_rows, "
+    "true AS all_numbers, true AS errors_ordered, true AS quantiles_ordered, true AS rates_are_shares FROM fold_parts",
+    (*GOLD, backtest("rolling_7_mean_units")),
+)
+oracle(
+    "batch_score",
+    f"SELECT {KEYS}, category, 'trees' AS model_version, '2026-01-01T00:00:00+00:00' AS prediction_timestamp, "
+    f"{num('cast(units_sold AS double)', 'actual_units')}, 0.9e0 AS prediction_interval_coverage, true AS all_numbers, "
+    "true AS not_negative, true AS inside_interval, true AS error_agrees FROM features",
+    (*LAYERS, FEATURES),
+)
 oracle(
     "run_params_long",
     """SELECT 'run-1' AS run_id, unnest(['model_type', 'feature_count', 'training.validation_days', 'training.test_days']) AS name,
-       unnest(['naive', '25', '21', '21']) AS value
+       unnest(['naive', width, '21', '21']) AS value
+FROM (SELECT cast(22 + count(DISTINCT store_id) + count(DISTINCT sku_id) + count(DISTINCT category) AS varchar) AS width
+      FROM split WHERE split = 'train')
 UNION ALL
 SELECT 'run-1', concat(split, '_rows'), cast(count(*) AS varchar) FROM split GROUP BY split""",
     GOLD,
@@ -789,9 +875,9 @@ oracle(
         f"held_validation AS (SELECT *, mae / (SELECT mae FROM base_validation) AS mae_vs_baseline FROM "
         f"(SELECT {METRIC_LIST} FROM forecasts WHERE model_version = 'lag_7' AND split = 'validation'))",
         f"held_test AS (SELECT {METRIC_LIST} FROM forecasts WHERE model_version = 'lag_7' AND split = 'test')",
-        f"held_residuals AS (SELECT {', '.join(f'{e} AS {n}' for n, e in RESIDUAL_OUT.items())} FROM log WHERE model_version = 'lag_7')",
+        f"held_residuals AS (SELECT {', '.join(f'{e} AS {n}' for n, e in RESIDUAL_OUT.items())} FROM test_log WHERE model_version = 'lag_7')",
         f"held_interval AS (SELECT 0.9e0 AS target_coverage, {', '.join(f'{e} AS {n}' for n, e in CONFORMAL.items())}, "
-        "max(calibration_rows) AS calibration_rows, count(*) AS test_rows FROM log WHERE model_version = 'lag_7')",
+        "max(calibration_rows) AS calibration_rows, count(*) AS test_rows FROM test_log WHERE model_version = 'lag_7')",
         "held_folds AS (SELECT avg(mae) AS mean_mae, avg(wape) AS mean_wape, stddev_pop(mae) AS mae_std FROM fold_metrics)",
     ),
 )

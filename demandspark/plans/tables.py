@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from functools import cache
 from uuid import uuid4
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,10 +74,19 @@ def _share(
 
 
 def release(spark: SparkSession) -> None:
-    """Forget the shared tables, so that the next query builds them again."""
+    """Forget the shared tables and delete their files, so that the next query builds them again."""
+    jvm = spark.sparkContext._jvm
     for key in [k for k in _shared if k[0] == spark.sparkContext.applicationId]:
         _shared.pop(key).unpersist()
-        _paths.pop(key, None)
+        path = _paths.pop(key, None)
+        if path is not None:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def by_date(table: DataFrame) -> DataFrame:
+    """Rows in date ranges, sorted, so that the files and row groups of a written table cover few dates each."""
+    return table.repartitionByRange("date").sortWithinPartitions("date", "store_id", "sku_id")
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,11 +98,11 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _share(spark, sf_dir, "silver", lambda: layers.silver(bronze(spark, sf_dir)))
+    return _share(spark, sf_dir, "silver", lambda: by_date(layers.silver(bronze(spark, sf_dir))))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _share(spark, sf_dir, "features", lambda: feature_ops.build_features(silver(spark, sf_dir)))
+    return _share(spark, sf_dir, "features", lambda: by_date(feature_ops.build_features(silver(spark, sf_dir))))
 
 
 def feature_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,13 +152,13 @@ def radius(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored test slice of every model, with calibrated bounds, stored by model version."""
+    """The whole feature table scored by every model, with calibrated bounds, stored by model version."""
     return _share(
         spark,
         sf_dir,
         "prediction_log",
         lambda: conformal.add_intervals(
-            forecasts(spark, sf_dir, "test"), radius(spark, sf_dir), COVERAGE, by=["model_version"]
+            forecasts(spark, sf_dir), radius(spark, sf_dir), COVERAGE, by=["model_version"]
         ),
         ["model_version"],
     )
@@ -167,8 +177,27 @@ def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def naive_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch scoring of the test slice with the naive model."""
+    """Batch scoring of the feature table with the naive model."""
     own = radius(spark, sf_dir).filter(F.col("model_version") == "naive").select("interval_radius")
-    return scoring.batch_score(
-        slice_of(spark, sf_dir, "test"), models.naive_forecast, "naive", SCORED_AT, own, COVERAGE
-    )
+    return scoring.batch_score(features(spark, sf_dir), models.naive_forecast, "naive", SCORED_AT, own, COVERAGE)
+
+
+def wider_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with a third model that has neither a radius nor a baseline."""
+    models_now = {**MODELS, "lag_14": "lag_14_units"}
+    scored = models.column_forecasts(labelled(spark, sf_dir), models_now)
+    return conformal.add_intervals(scored, radius(spark, sf_dir), COVERAGE, by=["model_version"])
+
+
+def naive_radius(spark: SparkSession, sf_dir: str) -> float:
+    """The naive model's calibrated radius, one number."""
+    return radius(spark, sf_dir).filter(F.col("model_version") == "naive").first()["interval_radius"]
+
+
+def tree_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    """The boosted trees of the training slice, fitted once, stored, and loaded from the store."""
+    key = (spark.sparkContext.applicationId, sf_dir, "trees")
+    if key not in _paths:
+        _paths[key] = new_path(spark, "trees")
+        models.fit(slice_of(spark, sf_dir, "train")).write().overwrite().save(_paths[key])
+    return PipelineModel.load(_paths[key])

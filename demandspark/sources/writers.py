@@ -1,9 +1,11 @@
 """Table and report sinks."""
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StructType
 
 from demandspark.functions.guards import ensure, is_finite
 from demandspark.operators.layers import bronze
@@ -66,14 +68,28 @@ def append_manifest(manifest: DataFrame, path: str) -> None:
     manifest.write.mode("append").parquet(path)
 
 
+def all_finite(value: Column, kind: DataType) -> Column | None:
+    """Whether every number in a value is NULL or finite, in structs, arrays and maps too; None where there are none."""
+    if isinstance(kind, (DoubleType, FloatType)):
+        return value.isNull() | is_finite(value)
+    if isinstance(kind, StructType):
+        parts = [all_finite(value[f.name], f.dataType) for f in kind.fields]
+        parts = [p for p in parts if p is not None]
+        return reduce(lambda a, b: a & b, parts) if parts else None
+    if isinstance(kind, MapType):
+        return all_finite(F.map_values(value), ArrayType(kind.valueType))
+    if isinstance(kind, ArrayType) and all_finite(F.lit(None), kind.elementType) is not None:
+        return F.coalesce(F.forall(value, lambda x: all_finite(x, kind.elementType)), F.lit(True))
+    return None
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Write report rows as JSON lines; NULL fields are kept and non-finite numbers stop the job."""
-    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
     checked = df
-    for name in doubles:
-        checked = checked.filter(
-            ensure(F.col(name).isNull() | is_finite(F.col(name)), f"report column {name} is not finite")
-        )
+    for field in df.schema.fields:
+        finite = all_finite(F.col(f"`{field.name}`"), field.dataType)
+        if finite is not None:
+            checked = checked.filter(ensure(finite, f"report column {field.name} is not finite"))
     checked.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 

@@ -258,15 +258,17 @@ def test_reduced_features_start_the_week_on_sunday(spark):
 
 def test_one_hot_columns_and_alignment(spark):
     frame = features.build_features(two_series(spark))
-    values = encoding.vocabulary(frame)
-    assert values == {"store_id": ["s1"], "sku_id": ["a", "b"], "category": ["grocery"]}
+    known = encoding.category_features(frame)
+    assert sorted(r.feature for r in known.collect()) == ["category_grocery", "sku_id_a", "sku_id_b", "store_id_s1"]
+    values = {"store_id": ["s1"], "sku_id": ["a", "b"], "category": ["grocery"]}
     unseen = frame.withColumn("sku_id", F.lit("new")).withColumn("category", F.lit(None).cast("string"))
     wide = encoding.one_hot_wide(unseen, values).first().asDict()
     assert wide == {"store_id_s1": 1.0, "sku_id_a": 0.0, "sku_id_b": 0.0, "category_grocery": 0.0}
     aligned = encoding.align_columns(frame, ["price", "sku_id_gone"])
     assert aligned.columns == ["price", "sku_id_gone"] and aligned.first().sku_id_gone == 0.0
-    with pytest.raises(ValueError, match="vector encoding"):
-        encoding.vocabulary(frame, ["sku_id"], limit=1)
+    sparse = encoding.one_hot_long(unseen.limit(1), known, keep=["date"]).collect()
+    assert [(r.feature, r.value) for r in sparse] == [("store_id_s1", 1.0)]
+    assert encoding.one_hot_long(frame, known).count() == 3 * frame.count()
 
 
 def test_model_matrix_names_match_the_vector(spark):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import math
 import random
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandspark.functions.histogram import repair_edges, spread_shares
-from demandspark.operators import alerts, drift, features, governance, models, profiles, quality, retraining, scoring
+from demandspark.operators import alerts, conformal, drift, features, governance, models, profiles, quality, retraining, scoring
 from demandspark.schemas import FEATURE_COLUMNS
 from demandspark.streaming.scoring import score_stream
 from tests.test_layers_features import silver_table, raw_row, two_series
@@ -36,42 +37,41 @@ def numpy_psi(edges, shares, data):
 
 def test_psi_from_bins(spark):
     profile = bins(spark, [0.0, 5.0, 10.0], [0.5, 0.5])
-    near = drift.psi_from_bins(values(spark, [1, 2, 8, 9]), profile, bins=2).first().psi
+    near = drift.psi_from_bins(values(spark, [1, 2, 8, 9]), profile).first().psi
     far_values = [8, 9, 9.5, 9.8]
-    far = drift.psi_from_bins(values(spark, far_values), profile, bins=2).first().psi
+    far = drift.psi_from_bins(values(spark, far_values), profile).first().psi
     assert near == pytest.approx(0.0)
     assert far == pytest.approx(numpy_psi([0, 5, 10], [0.5, 0.5], far_values))
     assert far > near
     outside = [-50, 0, 5, 5, 10, 400]
-    found = drift.psi_from_bins(values(spark, outside), bins(spark, [0.0, 5.0, 7.0, 10.0], [1.0, 1.0, 2.0]), bins=3)
+    found = drift.psi_from_bins(values(spark, outside), bins(spark, [0.0, 5.0, 7.0, 10.0], [1.0, 1.0, 2.0]))
     assert found.first().psi == pytest.approx(numpy_psi([0, 5, 7, 10], [1, 1, 2], outside))
 
 
 @pytest.mark.parametrize(
     "edges, shares, message",
     [
-        ([0.0, 1.0, 2.0], [0.0, 0.0], "positive sum"),
+        ([0.0, 1.0, 2.0], [0.0, 0.0], "nor all zero"),
         ([0.0, 1.0, 2.0], [float("nan"), 1.0], "finite"),
-        ([0.0, 1.0, 2.0], [-1.0, 2.0], "non-negative"),
-        ([0.0, 1.0, 2.0], [1.0], "one value per bin"),
-        ([0.0, 1.0], [1.0], "at least two bins"),
-        ([0.0, 1.0, 1.0], [0.5, 0.5], "strictly increasing"),
-        ([0.0, 1.0, 2.0, 3.0], [0.2, 0.3, 0.5], "must have 2 bins"),
+        ([0.0, 1.0, 2.0], [-1.0, 2.0], "not be negative"),
+        ([0.0, 1.0, 2.0], [1.0], "one share for each bin"),
+        ([0.0, 1.0], [1.0], "two bins or more"),
+        ([0.0, 1.0, 1.0], [0.5, 0.5], "rise from bin to bin"),
     ],
 )
 def test_psi_rejects_unusable_references(spark, edges, shares, message):
     with pytest.raises(Exception, match=message):
-        drift.psi_from_bins(values(spark, [0.5, 1.5]), bins(spark, edges, shares), bins=2).collect()
+        drift.psi_from_bins(values(spark, [0.5, 1.5]), bins(spark, edges, shares)).collect()
 
 
 def test_psi_rejects_unusable_values(spark):
     profile = bins(spark, [0.0, 5.0, 10.0], [0.5, 0.5])
     with pytest.raises(Exception, match="finite"):
-        drift.psi_from_bins(values(spark, [1, float("nan")]), profile, bins=2).collect()
-    with pytest.raises(Exception, match="empty"):
-        drift.psi_from_bins(values(spark, [1]).limit(0), profile, bins=2).collect()
+        drift.psi_from_bins(values(spark, [1, float("nan")]), profile).collect()
+    with pytest.raises(Exception, match="at least one prediction"):
+        drift.psi_from_bins(values(spark, [1]).limit(0), profile).collect()
     with pytest.raises(ValueError, match="bins"):
-        drift.psi_from_bins(values(spark, [1]), profile, bins=1)
+        drift.psi_from_stats(values(spark, [1]), profile, bins=1)
 
 
 def test_psi_from_stats_and_dispatch(spark):
@@ -137,8 +137,7 @@ def test_feature_mean_shift_ranks_movement(spark):
     rows = drift.feature_mean_shift(observed, profile, names).collect()
     assert [r.feature for r in rows] == ["price", "promotion", "flat"]
     assert rows[0].standardized_shift == pytest.approx(5.5) and rows[1].standardized_shift == pytest.approx(0.75)
-    with pytest.raises(ValueError, match="none of the features"):
-        drift.feature_mean_shift(observed, profile, ["absent"])
+    assert drift.feature_mean_shift(observed, profile, ["absent"]).count() == 0
 
 
 def test_feature_schema_report(spark):
@@ -270,15 +269,15 @@ def test_monitoring_from_log_to_plan(spark, tmp_path):
     assert rows["m1"].retrain_recommended and rows["m1"].reason == alerts.ALERTS["error_degradation"][1]
     assert [a.type for a in rows["m1"].alerts] == ["error_degradation", "forecast_bias"]
     assert not rows["m2"].retrain_recommended and rows["m2"].reason == alerts.QUIET_REASON
-    plans = {r.model_version: r for r in retraining.retraining_plan(report, "report", "now").collect()}
+    plans = {r.model_version: r for r in retraining.retraining_plan(report, "report", "now", "retrain").collect()}
     assert (plans["m1"].priority, plans["m1"].status) == ("high", "ready_to_retrain")
     assert plans["m1"].alert_types == ["error_degradation", "forecast_bias"]
     assert plans["m1"].next_steps == [retraining.STEPS["error_degradation"], retraining.STEPS["forecast_bias"]]
     report.write.parquet(str(tmp_path / "report"))
-    stored = retraining.plan_from_report(spark, str(tmp_path / "report"), "now").filter("triggered").first()
+    stored = retraining.plan_from_report(spark, str(tmp_path / "report"), "now", "retrain").filter("triggered").first()
     assert (stored.model_version, stored.source_report) == ("m1", str(tmp_path / "report"))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        retraining.plan_from_report(spark, str(tmp_path / "missing"), "now")
+        retraining.plan_from_report(spark, str(tmp_path / "missing"), "now", "retrain")
     assert (plans["m2"].priority, plans["m2"].status, plans["m2"].next_steps, plans["m2"].retrain_command) == ("low", "no_action", [], "")
 
 
@@ -465,3 +464,120 @@ def test_baseline_profile_reads_from_json(spark, tmp_path):
     reference = drift.coalesce_reference(baseline)
     assert reference.first().mean == 10.0
     assert drift.psi(values(spark, [10, 11, 12]), reference).first().psi > 0
+
+
+# --- nothing is lost ------------------------------------------------------------------------------
+
+LOG_COLUMNS = "model_version string, store_id string, category string, price double, predicted_units double, actual_units double"
+
+
+def two_model_log(spark):
+    rows = [(m, f"s{i % 2}", "c", 10.0 + i, 10.0 + i, 11.0 + i) for m in ("known", "new") for i in range(12)]
+    return spark.createDataFrame(rows, LOG_COLUMNS)
+
+
+def baseline_of_one(spark):
+    edges = [0.0, 12.0, 15.0, 18.0, 40.0]
+    return spark.createDataFrame(
+        [("known", edges, [0.25] * 4, 1.0, 0.9)],
+        "model_version string, bin_edges array<double>, expected_share array<double>, reference_mae double, target_coverage double",
+    )
+
+
+def test_rows_of_a_model_without_radius_stay(spark):
+    radius = spark.createDataFrame([("known", 2.0)], "model_version string, interval_radius double")
+    rows = conformal.add_intervals(two_model_log(spark), radius, by=["model_version"]).collect()
+    assert len(rows) == 24
+    for r in rows:
+        known = r.model_version == "known"
+        assert (r.prediction_lower is not None, r.prediction_upper is not None, r.prediction_interval_coverage is not None) == (known,) * 3
+    with pytest.raises(Exception, match="no calibrated radius for: new"):
+        conformal.interval_summary(two_model_log(spark), radius.withColumn("calibration_rows", F.lit(5)), by=["model_version"]).collect()
+
+
+def test_a_model_without_baseline_is_reported(spark):
+    profile = spark.createDataFrame([("price", 15.0, 2.0)], "feature string, mean double, std double")
+    signals = alerts.monitoring_signals(two_model_log(spark), baseline_of_one(spark), profile, ["price"])
+    found = {r.model_version: r for r in signals.collect()}
+    assert set(found) == {"known", "new"}
+    assert found["known"].psi is not None and found["known"].reference_mae == 1.0
+    assert found["new"].psi is None and found["new"].reference_mae is None and found["new"].mae == 1.0
+    assert found["new"].max_feature_shift is not None
+
+
+def test_features_outside_the_log_do_not_empty_the_report(spark):
+    profile = spark.createDataFrame([("humidity", 15.0, 2.0)], "feature string, mean double, std double")
+    signals = alerts.monitoring_signals(two_model_log(spark), baseline_of_one(spark), profile, ["humidity"])
+    assert signals.count() == 2 and signals.filter("max_feature_shift is not null").count() == 0
+
+
+def test_minimal_and_unlabelled_logs(spark):
+    minimal = spark.createDataFrame([(10.0, 12.0), (20.0, 19.0), (30.0, 33.0)], "predicted_units double, actual_units double")
+    row = alerts.monitoring_signals(minimal, by=()).first()
+    assert row.rows == 3 and row.mae == pytest.approx(2.0) and row.psi is None and row.worst_segment is None
+    report = alerts.monitor_report(alerts.monitoring_signals(minimal, by=())).first()
+    assert report.alert_count == 0 and report.retrain_recommended is False
+    row = alerts.monitoring_signals(minimal.drop("actual_units"), by=()).first()
+    assert row.rows == 3 and row.mae is None and row.interval_coverage is None
+
+
+def test_full_report_has_its_members(spark):
+    profile = spark.createDataFrame([("price", 15.0, 2.0)], "feature string, mean double, std double")
+    log = two_model_log(spark).withColumn("date", F.lit("2026-01-01").cast("date")).withColumn("sku_id", F.monotonically_increasing_id())
+    tables = alerts.monitoring_tables(log, baseline_of_one(spark), profile, ["price"])
+    assert set(tables) == {"summary", "alerts", "schema", "features", "metrics", "segments", "blocks"}
+    assert all(t.select("model_version").distinct().count() == 2 for n, t in tables.items() if n != "alerts")
+    bare = alerts.monitoring_tables(log.select("model_version", "predicted_units"))
+    assert set(bare) == {"summary", "alerts", "schema"} and bare["summary"].count() == 2
+
+
+def test_target_profile_stands_in_for_the_prediction_reference(spark):
+    baseline = spark.createDataFrame([(None, (10.0, 2.0, None, None))], f"prediction_reference {PROFILE}, target {PROFILE}")
+    assert drift.psi(values(spark, [8, 9, 10, 11, 12]), drift.coalesce_reference(baseline)).first().psi > 0
+
+
+PROFILE = "struct<mean: double, std: double, bin_edges: array<double>, expected_share: array<double>>"
+
+
+def test_profiles_may_have_any_number_of_bins(spark):
+    log = two_model_log(spark)
+    profiles_now = spark.createDataFrame(
+        [("known", [0.0, 12.0, 40.0], [0.5, 0.5]), ("new", [float(e) for e in range(9, 24)], [1.0 / 14] * 14)],
+        "model_version string, bin_edges array<double>, expected_share array<double>",
+    )
+    found = {r.model_version: r.psi for r in drift.psi_from_bins(log, profiles_now, by=["model_version"]).collect()}
+    share = 2 / 12
+    assert found["known"] == pytest.approx((share - 0.5) * math.log(share / 0.5) + (0.5 - share) * math.log((1 - share) / 0.5))
+    assert found["new"] > 0
+
+
+@pytest.mark.parametrize("missing", ["r2", "mae", "baseline_mae"])
+def test_gate_stops_on_missing_numbers(spark, missing):
+    columns = {"r2": 0.9, "mae": 1.0, "baseline_mae": 4.0, "champion_mae": None}
+    for bad in (None, float("nan"), float("inf")):
+        row = {**columns, missing: bad}
+        frame = spark.createDataFrame([tuple(row.values())], "r2 double, mae double, baseline_mae double, champion_mae double")
+        with pytest.raises(Exception, match=f"finite {missing}"):
+            governance.promotion_gate(frame).collect()
+
+
+def test_limits_name_their_own_fields():
+    for name in ("psi", "mae_degradation_ratio", "bias_ratio", "feature_mean_shift", "interval_coverage_ratio"):
+        with pytest.raises(ValueError, match=name):
+            alerts.Thresholds(**{name: 0.0})
+    for name, value in (("min_validation_r2", -2.0), ("max_baseline_mae_ratio", 0.0), ("max_champion_mae_ratio", 0.9)):
+        with pytest.raises(ValueError, match=name):
+            governance.GateLimits(**{name: value})
+
+
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_row_index_by_one_column(spark, by):
+    rows = [(i * 37 % 501, i % 3) for i in range(500)]
+    frame = spark.createDataFrame(rows, "v int, g int").repartition(5)
+    index = quality.row_index(frame, ["v"], by)
+    seen: dict = {}
+    for r in sorted(index.collect(), key=lambda r: r.v):
+        key = r.g if by else 0
+        assert r.row_index == seen.get(key, 0)
+        seen[key] = seen.get(key, 0) + 1
+    assert sum(seen.values()) == 500

@@ -66,7 +66,7 @@ def test_radius_table_from_storage_is_broadcast_by_size(spark, stored_log, tmp_p
 
 def test_stability_index_is_one_hash_aggregation(stored_log, spark):
     profile = spark.sql("SELECT array(0D, 50D, 100D, 150D) AS bin_edges, array(0.3D, 0.4D, 0.3D) AS expected_share")
-    plan = final_part(executed(drift.psi_from_bins(stored_log, profile, bins=3)))
+    plan = final_part(executed(drift.psi_from_bins(stored_log, profile)))
     assert "SortAggregate" not in plan and "Join" not in plan
 
 
