@@ -42,9 +42,10 @@ def _running(by: Sequence[str], order: str) -> Column:
     return F.sum("__n").over(group_window(by, F.col(order)).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def _pick(rank: str, running: str) -> str:
-    """The row whose counts cover the wanted rank, given the counts up to and including the row."""
-    return f"{rank} >= {running} - __n AND {rank} < {running}"
+def _pick(ranks: str) -> str:
+    """The ranks of an array that fall on a row, counted from its first one, given the counts up to and including it."""
+    moved = f"transform({ranks}, r -> named_struct('name', r.name, 'rank', r.rank - (__upto - __n)))"
+    return f"filter({moved}, r -> r.rank >= 0 AND r.rank < __n)"
 
 
 def order_statistics(
@@ -64,42 +65,40 @@ def order_statistics(
         .agg(F.count(F.lit(1)).alias("__n"))
         .select("*", magnitude_bucket(F.col("__v")).alias("__coarse"))
     )
-    wanted = ", ".join(f"struct('{name}' AS __name, cast({rank} AS bigint) AS __rank)" for name, rank in ranks.items())
+    wanted = ", ".join(f"named_struct('name', '{name}', 'rank', cast({rank} AS bigint))" for name, rank in ranks.items())
     whole = group_window(by, F.col("__coarse")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # A bucket keeps the ranks that fall into it as an array: however many they are, its rows are joined once.
+    buckets = by + ["__coarse"]
     coarse = (
-        values.groupBy(*by, "__coarse")
+        values.groupBy(*buckets)
         .agg(F.sum("__n").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
-        .select(
-            "*",
-            F.sum("__n").over(whole).alias("value_count"),
-            _running(by, "__coarse").alias("__upto"),
-        )
-        .selectExpr("*", f"inline(array({wanted}))")
-        .filter(_pick("__rank", "__upto"))
-        .selectExpr(*by, "__coarse", "value_count", "__name", "__rank - __upto + __n AS __rank", "__low", "__high")
+        .select("*", F.sum("__n").over(whole).alias("value_count"), _running(by, "__coarse").alias("__upto"))
+        .selectExpr(*buckets, "value_count", "__low", "__high", f"{_pick(f'array({wanted})')} AS __ranks")
+        .filter("size(__ranks) > 0")
     )
     if not by:
-        coarse = F.broadcast(coarse)  # one row per rank, whatever the size of the data
-    inside = join_on(values, coarse, by + ["__coarse"]).withColumn(
-        "__fine", linear_bucket(F.col("__v"), F.col("__low"), F.col("__high"))
+        coarse = F.broadcast(coarse)  # one row per rank at most, whatever the size of the data
+    inside = join_on(values, coarse.select(*buckets, "__low", "__high"), buckets).select(
+        *buckets, "__v", "__n", linear_bucket(F.col("__v"), F.col("__low"), F.col("__high")).alias("__fine")
     )
-    slots = by + ["__name"]
+    counted = inside.groupBy(*buckets, "__fine").agg(F.sum("__n").alias("__n"))
     fine = (
-        inside.groupBy(*slots, "__fine")
-        .agg(F.sum("__n").alias("__n"), F.max("__rank").alias("__rank"))
-        .select("*", _running(slots, "__fine").alias("__upto"))
-        .filter(_pick("__rank", "__upto"))
-        .selectExpr(*slots, "__fine", "__rank - __upto + __n AS __left")
+        join_on(counted, coarse.select(*buckets, "value_count", "__ranks"), buckets)
+        .select("*", _running(buckets, "__fine").alias("__upto"))
+        .selectExpr(*buckets, "__fine", "value_count", f"{_pick('__ranks')} AS __ranks")
+        .filter("size(__ranks) > 0")
     )
     if not by:
         fine = F.broadcast(fine)
+    slots = buckets + ["__fine"]
     picked = (
-        join_on(inside, fine, slots + ["__fine"])
+        join_on(inside, fine, slots)
         .select("*", _running(slots, "__v").alias("__upto"))
-        .filter(_pick("__left", "__upto"))
+        .selectExpr(*by, "__v", "value_count", f"inline({_pick('__ranks')})")
     )
     return picked.groupBy(*by).agg(
-        F.max("value_count").alias("value_count"), *[F.expr(f"max(CASE WHEN __name = '{name}' THEN __v END) AS `{name}`") for name in ranks]
+        F.max("value_count").alias("value_count"),
+        *[F.expr(f"max(CASE WHEN name = '{name}' THEN __v END) AS `{name}`") for name in ranks],
     )
 
 
