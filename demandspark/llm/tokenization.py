@@ -2,10 +2,13 @@
 
 Both tokenizer families of this module cut a text into pre-tokens before any merge, and never across a blank that follows
 a non-blank and precedes one.  So the ids of a text are the ids of its pieces between such places, one after the other.
-Pieces repeat; their ids come from the tokenizers library once and from a bounded cache afterwards.
+Pieces repeat; their ids come from the tokenizers library once and from a bounded cache afterwards.  A piece that is a
+single word goes to the library's merge model directly, any other through the whole tokenizer.
 """
 
 import re
+import unicodedata
+from array import array
 from collections.abc import Iterable
 from functools import cache
 
@@ -20,10 +23,14 @@ LONG_PIECE = 48
 _ODD = re.compile("[\0\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PAIRS = ("  ", "\n\n", " \n", "\n ")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
-_PLAIN = re.compile(r" [^\W_]+[.,]?").fullmatch
 # A full stop or comma after anything but a letter or digit may belong to a longer run of marks.
 _MARKS = re.compile(r"[.,](?<![^\W_][.,])")
 
+# The alphabet of byte-level models: printable bytes stand for themselves, the others for characters from 256 on, in order.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_ALPHABET = {byte: chr(256 + n) for n, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BLANK = _BYTE_ALPHABET[0x20]
+
 
 class PieceTokenizer:
     """Ids of texts under one tokenizer definition (the JSON text of the tokenizers library).
@@ -35,14 +42,18 @@ class PieceTokenizer:
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.kind = np.dtype(self.code)
         self.drops_blanks = self.tokenizer.normalizer is not None
+        self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         if _ODD.search(text) or any(pair in text for pair in _PAIRS) or text[:1] in ("", " ", "\n") or text[-1] in " \n":
             return _SAFE_CUT.split(text)
+        if self.lowers:
+            text = text.encode().lower().decode()  # A-Z only, which no other step of the normaliser sees
         if self.drops_blanks:
             cut = " " + text.replace("\n", " ").replace(" ", "\0 ")
         else:
@@ -51,36 +62,36 @@ class PieceTokenizer:
             cut = cut.replace(".\0", "\0.\0").replace(",\0", "\0,\0")
         return cut.split("\0")
 
-    def _joined(self, pieces: list[str]) -> Iterable[tuple[str, bytes]]:
-        """Ids of plain words after a blank, encoded as one running text and cut by the offsets."""
-        found = self.tokenizer.encode("".join(pieces), add_special_tokens=False)
-        ids, places = np.array(found.ids, self.kind), np.array(found.offsets, np.int64).reshape(-1, 2)
-        ends = np.cumsum([len(p) for p in pieces])
-        cuts = np.searchsorted(places[:, 1], ends, side="right").tolist()
-        begin = 0
-        for piece, end in zip(pieces, cuts):
-            yield piece, ids[begin:end].tobytes()
-            begin = end
+    def _word(self, piece: str) -> str | None:
+        """What the model reads of a piece that is one pre-token of letters, in the byte alphabet; None for any other."""
+        letters = piece[1:] if piece[:1] == " " else piece
+        if not letters.isalpha() or len(piece) > LONG_PIECE:
+            return None
+        if not letters.isascii():
+            if self.lowers and not (letters == letters.lower() and unicodedata.is_normalized("NFC", letters)):
+                return None
+            letters = letters.encode().decode("latin-1").translate(_BYTE_ALPHABET)
+        elif self.lowers and not letters.islower():
+            return None
+        return letters if self.drops_blanks or piece[0] != " " else _BLANK + letters
 
     def _learn(self, pieces: Iterable[str]) -> None:
-        missing = []
+        other, split = [], self.tokenizer.model.tokenize
         for piece in pieces:
             ids = self.old.get(piece)
+            if ids is None and (word := self._word(piece)) is not None:
+                ids = array(self.code, [token.id for token in split(word)]).tobytes()
             if ids is None:
-                missing.append(piece)
+                other.append(piece)
             else:
                 self.young[piece] = ids
-        plain = [p for p in missing if _PLAIN(p)]
-        for start in range(0, len(plain), 4096):
-            self.young.update(self._joined(plain[start : start + 4096]))
-        other = [p for p in missing if p not in self.young]
         for start in range(0, len(other), 4096):
             part = other[start : start + 4096]
             for piece, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
                 self.young[piece] = np.array(found.ids, self.kind).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, as little-endian unsigned integers of 16 or 32 bits."""
+        """The ids of each text, as unsigned integers of 16 or 32 bits."""
         if len(self.young) > CACHE_PIECES:
             self.old, self.young = self.young, {}
         cut = [self.pieces(t) for t in texts]
