@@ -244,8 +244,9 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Da
     found = near_duplicates(docs, shingle, distance)
     ahead = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     ahead = materialise(ahead, "simhash-kept")
-    # As many ids stay as documents do, so they are never a side to broadcast.
-    kept = docs.join(ahead.select("doc_id").hint("merge"), "doc_id", "left_semi")
+    # As many ids stay as documents do, so they are never a side to broadcast; hashed by partition, they spare the
+    # texts a sort.
+    kept = docs.join(ahead.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
     if not ahead.filter("n > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
     unnamed = docs.filter(F.col("doc_id").isNull())

@@ -16,7 +16,8 @@ import numpy as np
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000
+TEXTS_AT_ONCE = 250
 LONG_PIECE = 48
 
 # White space and marks other than one blank or one line feed between words; NUL serves as a mark below.
@@ -92,6 +93,12 @@ class PieceTokenizer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned integers of 16 or 32 bits."""
+        encoded: list[np.ndarray] = []
+        for start in range(0, len(texts), TEXTS_AT_ONCE):
+            encoded += self._encode(texts[start : start + TEXTS_AT_ONCE])
+        return encoded
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.young) > CACHE_PIECES:
             self.old, self.young = self.young, {}
         cut = [self.pieces(t) for t in texts]
