@@ -94,9 +94,25 @@ def sku_price_means(silver: DataFrame) -> DataFrame:
     return silver.filter(F.col("sku_id").isNotNull()).groupBy("sku_id").agg(F.avg("price").alias("sku_avg_price"))
 
 
-def add_price_position(frame: DataFrame, silver: DataFrame | None = None) -> DataFrame:
-    """`price_vs_sku_avg`: aggregate then join, so a popular SKU is never gathered in one task."""
-    means = sku_price_means(frame if silver is None else silver)
+def prior_price_means(silver: DataFrame) -> DataFrame:
+    """Mean price of a SKU over all earlier dates, per SKU and date; a window holds one row per date."""
+    known = silver.filter(F.col("sku_id").isNotNull() & F.col("date").isNotNull())
+    daily = known.groupBy("sku_id", "date").agg(F.sum("price").alias("__total"), F.count("price").alias("__n"))
+    earlier = Window.partitionBy("sku_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    mean = F.try_divide(F.sum("__total").over(earlier), F.sum("__n").over(earlier))
+    return daily.select("sku_id", "date", mean.alias("sku_avg_price"))
+
+
+def add_price_position(frame: DataFrame, silver: DataFrame | None = None, prior_only: bool = False) -> DataFrame:
+    """`price_vs_sku_avg`: aggregate then join, so a popular SKU is never gathered in one task.
+
+    The mean covers all dates, or with `prior_only` the dates before the row's own, which looks at no later price.
+    """
+    source = frame if silver is None else silver
+    if prior_only:
+        joined = join_many_to_one(frame, prior_price_means(source), ["sku_id", "date"])
+        return joined.withColumn("price_vs_sku_avg", F.col("price") - F.col("sku_avg_price")).drop("sku_avg_price")
+    means = sku_price_means(source)
     return (
         frame.join(means, "sku_id", "left")
         .withColumn("price_vs_sku_avg", F.col("price") - F.col("sku_avg_price"))

@@ -42,8 +42,8 @@ def checked_aggregate(df: DataFrame, values: Sequence[str], aggregates: dict[str
         F.count_if(bad).alias("__bad"),
         *[expr.alias(name) for name, expr in aggregates.items()],
     )
-    valid = ensure(F.col("__rows") > 0, "arrays must not be empty") & ensure(
-        F.col("__bad") == 0, "arrays must contain only finite values"
+    valid = ensure(F.col("__rows") > 0, "no rows to evaluate: the input is empty") & ensure(
+        F.col("__bad") == 0, "NULL, NaN and infinite values cannot be evaluated, only finite ones"
     )
     return found.filter(valid).drop("__rows", "__bad")
 
@@ -165,9 +165,9 @@ def seasonal_scale(
         )
     )
     conditions = {
-        "training history must be longer than the seasonal lag": F.col("__rows") > seasonality,
-        "training history must contain only finite values": F.col("__bad") == 0,
-        "seasonal naive error is zero; MASE is undefined": F.col("scale") > MACHINE_EPSILON,
+        "the history is not longer than its seasonal lag": F.col("__rows") > seasonality,
+        "the history has values that are not finite": F.col("__bad") == 0,
+        "the history has no seasonal change, so its scale is undefined": F.col("scale") > MACHINE_EPSILON,
     }
     if strict:
         for message, holds in conditions.items():

@@ -32,7 +32,7 @@ def interval_quality(predictions: DataFrame, by: Sequence[str] = ()) -> DataFram
         by,
     )
     return report.filter(
-        ensure(F.col("__crossed") == 0, "prediction interval lower bounds must not exceed upper bounds")
+        ensure(F.col("__crossed") == 0, "a logged lower bound lies above its upper bound")
     ).drop("__crossed")
 
 
@@ -47,7 +47,7 @@ def segment_table(
     Returns None when the log lacks actuals or every segment column.
     """
     if min_rows < 1:
-        raise ValueError("min_rows must be positive")
+        raise ValueError("min_rows is at least 1")
     present = [c for c in segments if c in predictions.columns]
     if not {"actual_units", "predicted_units"} <= set(predictions.columns) or not present:
         return None
@@ -164,7 +164,7 @@ def rolling_quality(
     `order` must be a total order; the reference order of rows within a date is unspecified.
     """
     if window_size < 1:
-        raise ValueError("window_size must be positive")
+        raise ValueError("window_size is at least 1")
     if not {"actual_units", "predicted_units"} <= set(predictions.columns):
         return None
     columns = dict.fromkeys([*by, *order, "actual_units", "predicted_units"])

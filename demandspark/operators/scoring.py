@@ -106,11 +106,17 @@ def test_predictions(test: DataFrame, radius: DataFrame | float | None = None, p
     return add_intervals(output, radius, predicted="prediction").drop("prediction_interval_coverage")
 
 
-def prediction_summary(predictions: DataFrame, by: Sequence[str] = (), method: str = "select") -> DataFrame:
-    """Row, store and SKU counts and the spread of the predictions."""
+def prediction_summary(
+    predictions: DataFrame, by: Sequence[str] = (), method: str = "select", approximate: bool = False
+) -> DataFrame:
+    """Row, store and SKU counts and the spread of the predictions.
+
+    `approximate` counts distinct stores and SKUs with a sketch, which spares the exact count's expansion of the rows.
+    """
     present = set(predictions.columns)
+    count_distinct = F.approx_count_distinct if approximate else F.count_distinct
     distinct = {
-        f"unique_{label}": F.count_distinct(column) if column in present else F.lit(0).cast("bigint")
+        f"unique_{label}": count_distinct(column) if column in present else F.lit(0).cast("bigint")
         for label, column in (("stores", "store_id"), ("skus", "sku_id"))
     }
     sums = checked_aggregate(

@@ -22,9 +22,9 @@ def time_slice(df: DataFrame, name: str, validation_days: int = 21, test_days: i
     """Rows of one split, as a plain date range, so that the scan can skip the other files and row groups."""
     require_columns(df, ["date"], "feature table")
     if name not in ("train", "validation", "test"):
-        raise ValueError("name must be train, validation or test")
+        raise ValueError(f"there is no split called {name}")
     if validation_days < 1 or test_days < 1:
-        raise ValueError("validation_days and test_days must be positive")
+        raise ValueError("a split needs at least one validation day and one test day")
     date = F.col("date")
     last = df.agg(F.max("date"))
     test_start = last.select(F.date_sub("max(date)", test_days - 1)).scalar()
@@ -45,7 +45,7 @@ def time_split(df: DataFrame, validation_days: int = 21, test_days: int = 21, st
     """
     require_columns(df, ["date"], "feature table")
     if validation_days < 1 or test_days < 1:
-        raise ValueError("validation_days and test_days must be positive")
+        raise ValueError("a split needs at least one validation day and one test day")
     dated = df.withColumn("date", F.to_date("date"))
     last = dated.agg(F.max("date")).scalar()
     labelled = (
@@ -58,7 +58,7 @@ def time_split(df: DataFrame, validation_days: int = 21, test_days: int = 21, st
         return labelled
     filled = labelled.agg(F.count_distinct("split")).scalar()
     return labelled.filter(
-        ensure(filled == 3, "time split produced an empty train, validation, or test slice")
+        ensure(filled == 3, "one of the three splits has no rows")
     )
 
 
@@ -73,10 +73,10 @@ def fold_calendar(df: DataFrame, horizon_days: int, folds: int = 3) -> DataFrame
     Only the distinct dates are ordered; their number is bounded by the calendar, not by the table.
     """
     if horizon_days < 1 or folds < 1:
-        raise ValueError("horizon_days and folds must be positive")
+        raise ValueError("a backtest needs at least one fold and one day of horizon")
     days = distinct_dates(df).agg(F.sort_array(F.collect_list("date")).alias("days"))
     checked = days.filter(
-        ensure(F.size("days") > horizon_days * folds, "not enough dates for the requested rolling-origin folds")
+        ensure(F.size("days") > horizon_days * folds, "the folds ask for more dates than there are")
     )
     numbered = checked.select(F.size("days").alias("total"), F.posexplode("days").alias("position", "date"))
     fold = F.explode(F.sequence(F.lit(1), F.lit(folds)))

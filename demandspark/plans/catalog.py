@@ -169,6 +169,16 @@ def price_vs_sku_avg(spark, sf_dir):
     return feature_ops.add_price_position(tables.silver(spark, sf_dir).select(*KEY, "price"))
 
 
+@query
+def price_vs_prior_avg(spark, sf_dir):
+    return feature_ops.add_price_position(tables.silver(spark, sf_dir).select(*KEY, "price"), prior_only=True)
+
+
+@query
+def conformal_radius_textbook(spark, sf_dir):
+    return conformal.conformal_radius(tables.naive(spark, sf_dir, "validation"), by=["store_id"], rank="textbook")
+
+
 @query
 def interaction_features(spark, sf_dir):
     return tables.silver(spark, sf_dir).select(

@@ -430,6 +430,15 @@ oracle(
     f"SELECT {KEYS}, {num('price')}, {num('price - avg(price) OVER (PARTITION BY sku_id)', 'price_vs_sku_avg')} FROM silver",
     LAYERS,
 )
+oracle(
+    "price_vs_prior_avg",
+    f"""SELECT {KEYS}, {num('price')}, {num('price - total / n', 'price_vs_sku_avg')} FROM silver JOIN
+  (SELECT sku_id AS sku, date AS day, sum(s) OVER w AS total, sum(c) OVER w AS n
+   FROM (SELECT sku_id, date, sum(price) AS s, count(price) AS c FROM silver GROUP BY sku_id, date)
+   WINDOW w AS (PARTITION BY sku_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  ON sku_id = sku AND date = day""",
+    LAYERS,
+)
 oracle("interaction_features", f"SELECT {KEYS}, {num('promotion * price', 'promotion_price')} FROM silver", LAYERS)
 oracle("expanding_sku_mean", f"SELECT {KEYS}, {num('sku_avg_units')} FROM series", (*LAYERS, FEATURES))
 oracle("store_daily_mean", f"SELECT store_id, {day()}, {num('store_day_units')} FROM daily", (*LAYERS, FEATURES))
@@ -554,6 +563,9 @@ oracle(
 WHERE position = ceil((n - 1) * least(1e0, ceil((n + 1) * 0.9e0) / n)) GROUP BY store_id""",
     SCORED,
 )
+ORACLES["conformal_radius_textbook"] = ORACLES["conformal_radius_by_store"].replace(
+    "position = ceil((n - 1) * least(1e0, ceil((n + 1) * 0.9e0) / n))", "position = least(n - 1, ceil((n + 1) * 0.9e0) - 1)"
+)
 CONFORMAL_OUT = ", ".join(num(e, n) for n, e in CONFORMAL.items())
 oracle(
     "conformal_summary",
