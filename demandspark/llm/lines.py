@@ -2,7 +2,8 @@
 
 The ratio of a line is the share of its host's pages that contain it.  Lines above `max_ratio` on at least `min_pages` pages
 are boilerplate of that host and go from all its pages.  Lines are compared without blanks at their ends, by a 64-bit hash
-within one host; blank lines stay.
+within one host; blank lines stay.  A page is a row (`op4_line_dedup`, as its SQL has it), or with `distinct_pages` a
+different text of the host: copies then add nothing to a line's share, so a text with many copies keeps its lines.
 
 Counts are pre-aggregated per (host, line), so a host or line of any size is spread out.  The boilerplate lines of
 a host number at most its mean lines per page divided by `max_ratio`, which bounds the one array that each host gets.
@@ -38,27 +39,39 @@ def _host(column: Column) -> Column:
 
 
 def boilerplate(
-    docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
+    distinct_pages: bool = False,
 ) -> DataFrame:
-    """host key and the hashes of its boilerplate lines, for hosts that have any."""
+    """host key and the hashes of its boilerplate lines, for hosts that have any.
+
+    With `distinct_pages` a (host, hash of the text) counts once; its line hashes travel, not the text.
+    """
     pages = docs.select(_host(F.col(host)).alias("host"), F.col(text).alias("body"))
-    totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    keys = pages.select("host", F.explode(F.array_distinct(_keys(_lines(F.col("body"))))).alias("line"))
+    keys = F.array_distinct(_keys(_lines(F.col("body")))).alias("keys")
+    if distinct_pages:
+        page = pages.select("host", F.xxhash64("body").alias("page"), keys)
+        totals = page.groupBy("host", "page").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("pages"))
+        pages = page.dropDuplicates(["host", "page"]).select("host", "keys")
+    else:
+        totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
+        pages = pages.select("host", keys)
+    keys = pages.select("host", F.explode("keys").alias("line"))
     counts = keys.filter(F.col("line").isNotNull()).groupBy("host", "line").agg(F.count("*").alias("n"))
     common = counts.filter(F.col("n") >= min_pages).join(totals, "host").filter(F.col("n") / F.col("pages") > max_ratio)
     return common.groupBy("host").agg(F.collect_list("line").alias("common"))
 
 
 def drop_boilerplate(
-    docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame, host: str = "source", text: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES,
+    distinct_pages: bool = False,
 ) -> DataFrame:
     """The rows with their columns, boilerplate lines cut from `text`, plus n_lines and n_dropped.
 
     A NULL text has no lines and stays NULL; an empty one has one blank line.  Rows without a host count as one host.
-    Repeated rows count as a page each and each get a row.  Other columns, whatever their names, are passed on.  An empty
+    Repeated rows each get a row, and count as a page each unless `distinct_pages` is set.  Other columns, whatever their names, are passed on.  An empty
     table gives an empty result.
     """
-    common = materialise(boilerplate(docs, host, text, max_ratio, min_pages), "boilerplate")
+    common = materialise(boilerplate(docs, host, text, max_ratio, min_pages, distinct_pages), "boilerplate")
     size = common.agg(F.coalesce(F.sum(F.size("common")), F.lit(0))).first()[0]
     if size <= BROADCAST_LINES:
         common = F.broadcast(common)
@@ -85,8 +98,11 @@ def line_report(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RA
 
 
 def clean_documents(docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The rows with their own columns only and `text` without boilerplate lines; n_chars, where present, follows it."""
-    cut = drop_boilerplate(docs, host, "text", max_ratio, min_pages).select(*docs.columns)
+    """The rows with their own columns only and `text` without boilerplate lines; n_chars, where present, follows it.
+
+    Shares are those of different texts: copies are left to a later stage, which needs one of them whole.
+    """
+    cut = drop_boilerplate(docs, host, "text", max_ratio, min_pages, distinct_pages=True).select(*docs.columns)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         cut = cut.withColumn("n_chars", length)

@@ -53,5 +53,14 @@ def test_cleaned_documents_keep_columns_and_count_characters(spark):
     assert cut.filter("text like '%Home%'").select("doc_id").collect() == [(100,)]
 
 
+def test_copies_of_a_text_do_not_make_its_lines_boilerplate(spark):
+    own = [(i, f"Menu\nfirst {i}\nsecond {i}", "en", "big", 1) for i in range(40)]
+    copies = [(100 + i, "Menu\nalpha\nbeta", "en", "big", 1) for i in range(20)]  # a third of the host
+    few = [(200 + i, f"gamma {i // 3}\ndelta {i // 3}", "en", "small", 1) for i in range(9)]  # three copies of three texts
+    got = lines.clean_documents(samples.documents(spark, own + copies + few)).collect()
+    texts = {r.doc_id: r.text for r in got}
+    assert texts == {r[0]: r[1].replace("Menu\n", "") for r in own + copies + few}
+
+
 def test_empty_table(spark):
     assert lines.line_report(samples.documents(spark, [])).count() == 0
