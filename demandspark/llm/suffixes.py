@@ -106,7 +106,8 @@ def occurrences(data: np.ndarray, owners: np.ndarray, starts: np.ndarray, length
     order = np.lexsort((where, owner, region, anchor))
     anchor, region, owner, where = anchor[order], region[order], owner[order], where[order]
     last = where + (ends - first)[order]
-    repeated = np.r_[False, (anchor[1:] == anchor[:-1]) & (region[1:] == region[:-1])]
+    repeated = np.zeros(len(anchor), bool)  # without any window too
+    repeated[1:] = (anchor[1:] == anchor[:-1]) & (region[1:] == region[:-1])
     return {"anchor": anchor, "region": region, "owner": owner, "first": where, "last": last, "repeated": repeated}
 
 
@@ -173,11 +174,12 @@ def meet(found: DataFrame) -> DataFrame:
             given = table.column("repeated").to_numpy()
             live = np.flatnonzero(~given)
             a, r = anchor[live], region[live]
-            same_anchor = np.r_[False, a[1:] == a[:-1]]
-            new_region = ~(same_anchor & np.r_[False, r[1:] == r[:-1]])
+            # A batch may hold repeated rows only; then there are no heads and all its rows go on.
+            new_region = np.ones(len(a), bool)
+            new_region[1:] = (a[1:] != a[:-1]) | (r[1:] != r[:-1])
             heads = np.flatnonzero(new_region)
-            next_same = np.r_[a[heads][1:] == a[heads][:-1], False]
-            before_same = np.r_[False, next_same[:-1]]
+            next_same, before_same = np.zeros(len(heads), bool), np.zeros(len(heads), bool)
+            next_same[:-1] = before_same[1:] = a[heads][1:] == a[heads][:-1]
             if len(heads) and held is not None:
                 before_same[0] = shared
             several = next_same | before_same

@@ -72,6 +72,27 @@ def test_removed_bytes_match_brute_force(spark, monkeypatch, seed, size, limit,
     assert samples.collected(got) == want
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_copies_of_one_short_text_only(spark, seed):
+    """Batches of `meet` with repeated rows alone: they sort before every positive anchor, so several texts are tried."""
+    rng = random.Random(seed)
+    text = "".join(rng.choice("abcdefgh") for _ in range(100))
+    limit = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        rows = [(i, text, "en", "s", 1) for i in range(3000)]
+        got = suffixes.remove_repeats(samples.documents(spark, rows)).selectExpr("doc_id", "n_removed").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", limit)
+    assert sorted(map(tuple, got)) == [(i, 100 * (i > 0)) for i in range(3000)]
+
+
+def test_buffer_of_short_texts_only(spark):
+    rows = [(i, "x" * (i % 60), "en", "s", 1) for i in range(200)]
+    got = suffixes.removal_report(samples.documents(spark, rows))
+    assert sorted(tuple(r)[:3] for r in got.collect()) == [(i, i % 60, 0) for i in range(200)]
+
+
 def test_rows_without_or_with_a_repeated_id(spark):
     docs = samples.documents(spark, clashing=True)
     got = samples.collected(suffixes.removal_report(docs))
