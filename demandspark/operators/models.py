@@ -3,6 +3,7 @@
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,11 @@ def predict(model: PipelineModel, frame: DataFrame, output: str = "predicted_uni
     return model.transform(frame).select(*frame.columns, F.col("prediction").cast("double").alias(output))
 
 
+def column_model(column: str) -> PipelineModel:
+    """A column forecast as a model that can be stored like a fitted one."""
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, CAST(`{column}` AS double) AS prediction FROM __THIS__")])
+
+
 def model_mae(model: str, by: Sequence[str] = ()) -> Column:
     """MAE of one model, on every row of a metrics table (a few rows per `by` group)."""
     return F.max(F.when(F.col("model_version") == model, F.col("mae"))).over(group_window(by))

@@ -1,18 +1,21 @@
 """Batch scoring: predictions with version, time stamp, intervals and, if known, the actuals."""
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
+from urllib.parse import quote
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.functions.guards import attach, join_on
+from demandspark.functions.guards import attach, ensure, join_on, require_columns
 from demandspark.operators.conformal import add_intervals
 from demandspark.operators.metrics import METRIC_COLUMNS, checked_aggregate, regression_metrics
 from demandspark.operators.models import predict
 from demandspark.operators.quantiles import quantiles
 from demandspark.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, TARGET_COLUMN
 
+VERSION_COLUMNS = "version string, feature_columns array<string>, interval_radius double, coverage double"
+
 Predictor = PipelineModel | Callable[[DataFrame], DataFrame]
 
 
@@ -51,29 +54,58 @@ def batch_score(
     return log
 
 
-def champion_scores(
-    features: DataFrame,
-    champion: DataFrame,
-    models: Mapping[str, str],
-    radius: DataFrame | None = None,
+def _version_path(store: str, version: str) -> str:
+    return f"{store}/{quote(version, safe='')}"
+
+
+def save_version(
+    spark: SparkSession,
+    store: str,
+    version: str,
+    model: PipelineModel,
+    feature_columns: Sequence[str],
+    radius: float | None = None,
     coverage: float = 0.90,
-) -> DataFrame:
-    """Score a feature table with the registered champion among column models.
+) -> None:
+    """Store a fitted model under its version, with the columns it reads and the radius of its calibration."""
+    path = _version_path(store, version)
+    model.write().overwrite().save(f"{path}/model")
+    record = (version, list(feature_columns), None if radius is None else float(radius), coverage)
+    spark.createDataFrame([record], VERSION_COLUMNS).coalesce(1).write.mode("overwrite").parquet(f"{path}/record")
 
-    `champion` is the one-row table of `current_champion` as `model_version`; `models` maps each version to its forecast
-    column, `radius` holds an `interval_radius` per version.  The version is a scalar subquery, so nothing is joined.
+
+def load_version(spark: SparkSession, store: str, version: str) -> tuple[PipelineModel, Row]:
+    """The model of `save_version` and its record; an error that names the version where it is not stored."""
+    path = _version_path(store, version)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/record")
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        raise ValueError(f"no stored model for version {version}")
+    record = spark.read.schema(VERSION_COLUMNS).parquet(f"{path}/record").first()
+    return PipelineModel.load(f"{path}/model"), record
+
+
+def champion_scores(features: DataFrame, champion: DataFrame, store: str) -> DataFrame:
+    """Score a feature table with the stored model of the registered champion, with the bounds of its stored radius.
+
+    `champion` is the one-row table of `current_champion`.  A version that is not stored, a column that its model reads and
+    the table lacks, and a row without a forecast stop the job.
     """
-    forecast = F.lit(None).cast("double")
-    for version, column in models.items():
-        forecast = F.when(F.col("model_version") == version, F.col(column).cast("double")).otherwise(forecast)
-    scored = features.withColumn("model_version", champion.select("model_version").scalar())
-    scored = scored.withColumn("predicted_units", F.greatest(forecast, F.lit(0.0)))
+    spark = features.sparkSession
+    row = champion.first()
+    if row is None:
+        raise ValueError("no champion among the registered versions")
+    model, record = load_version(spark, store, row["version"])
+    require_columns(features, record["feature_columns"], f"feature table of version {record['version']}")
+    raw = predict(model, features)
+    given = raw.filter(ensure(F.col("predicted_units").isNotNull(), f"version {record['version']} gives no forecast for a row"))
+    scored = given.withColumns(
+        {"model_version": F.lit(record["version"]), "predicted_units": F.greatest(F.col("predicted_units"), F.lit(0.0))}
+    )
     if TARGET_COLUMN in features.columns:
         scored = scored.withColumn("actual_units", F.col(TARGET_COLUMN).cast("double"))
-    if radius is None:
+    if record["interval_radius"] is None:
         return scored
-    own = radius.join(champion, "model_version", "left_semi").select("interval_radius")
-    return add_intervals(scored, own, coverage)
+    return add_intervals(scored, record["interval_radius"], record["coverage"])
 
 
 def score_records(

@@ -720,11 +720,10 @@ def current_champion(spark, sf_dir):
 
 @query
 def champion_scores(spark, sf_dir):
-    """The feature table scored by the registered champion, with the bounds of its own calibration."""
-    champion = governance.require_champion(_versions(spark, sf_dir)).select(F.col("version").alias("model_version"))
-    calibration = models.column_forecasts(tables.slice_of(spark, sf_dir, "validation"), VERSIONS)
-    radius = conformal.conformal_radius(calibration, tables.COVERAGE, by=MODEL)
-    return scoring.champion_scores(tables.features(spark, sf_dir), champion, VERSIONS, radius, tables.COVERAGE).select(
+    """The feature table scored by the stored model of the registered champion, with the bounds of its own calibration."""
+    champion = governance.require_champion(_versions(spark, sf_dir))
+    store = tables.column_store(spark, sf_dir, VERSIONS)
+    return scoring.champion_scores(tables.features(spark, sf_dir), champion, store).select(
         *KEY, *MODEL, "predicted_units", "actual_units", "prediction_lower", "prediction_upper"
     )
 

@@ -8,7 +8,7 @@ session persists the table instead.
 """
 
 import tempfile
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import cache
 from uuid import uuid4
 
@@ -201,3 +201,17 @@ def tree_model(spark: SparkSession, sf_dir: str) -> PipelineModel:
         _paths[key] = new_path(spark, "trees")
         models.fit(slice_of(spark, sf_dir, "train")).write().overwrite().save(_paths[key])
     return PipelineModel.load(_paths[key])
+
+
+def column_store(spark: SparkSession, sf_dir: str, versions: Mapping[str, str]) -> str:
+    """Folder of stored column models, each with its column and the radius calibrated on the validation slice."""
+    key = (spark.sparkContext.applicationId, sf_dir, "models " + " ".join(f"{v}={c}" for v, c in versions.items()))
+    if key not in _paths:
+        store = new_path(spark, "models")
+        calibration = models.column_forecasts(slice_of(spark, sf_dir, "validation"), versions)
+        radii = conformal.conformal_radius(calibration, COVERAGE, by=["model_version"]).collect()
+        own = {r["model_version"]: r["interval_radius"] for r in radii}
+        for version, column in versions.items():
+            scoring.save_version(spark, store, version, models.column_model(column), [column], own[version], COVERAGE)
+        _paths[key] = store
+    return _paths[key]

@@ -408,6 +408,33 @@ def test_trees_beat_the_naive_forecast_and_survive_a_save(spark, tmp_path):
     assert ratio["naive"] == 1.0 and ratio["trees"] < 0.7
 
 
+def test_registered_tree_champion_is_loaded_and_scored(spark, tmp_path):
+    frame, store = weekly_series(spark, 60), str(tmp_path / "models")
+    trees = models.fit(frame, rounds=3, rate=0.3)
+    scoring.save_version(spark, store, "trees/1", trees, FEATURE_COLUMNS, 5.0, 0.8)
+    scoring.save_version(spark, store, "lag", models.column_model("lag_1_units"), ["lag_1_units"])
+    gated = spark.createDataFrame(
+        [("lag", True, 2.0, 0.5, "ok", "t1"), ("trees/1", True, 1.9, 0.6, "ok", "t2")],
+        "model_version string, promoted boolean, mae double, r2 double, reason string, registered_at string",
+    )
+    versions = governance.version_records(gated)
+    key = ["date", "store_id", "sku_id", "model_version", "predicted_units", "prediction_lower", "prediction_upper", "prediction_interval_coverage"]
+    rows = lambda df, columns: sorted(map(tuple, df.select(*columns).collect()))
+    got = scoring.champion_scores(frame, governance.current_champion(versions), store)
+    want = scoring.batch_score(frame, trees, "trees/1", "now", 5.0, 0.8)
+    assert rows(got, key) == rows(want, key) and got.filter("predicted_units > 0").count() > 0
+    first = governance.current_champion(versions.filter("version = 'lag'"))
+    plain = scoring.champion_scores(frame, first, store)
+    assert "prediction_lower" not in plain.columns and plain.filter("predicted_units <> lag_1_units").count() == 0
+    with pytest.raises(ValueError, match="lag_1_units"):
+        scoring.champion_scores(frame.drop("lag_1_units"), first, store)
+    with pytest.raises(Exception, match="version lag gives no forecast"):
+        scoring.champion_scores(frame.withColumn("lag_1_units", F.lit(None).cast("double")), first, store).collect()
+    unknown = versions.withColumn("version", F.lit("v9"))
+    with pytest.raises(ValueError, match="v9"):
+        scoring.champion_scores(frame, governance.current_champion(unknown), store)
+
+
 def test_backtests_report_every_fold(spark):
     frame = weekly_series(spark, 60)
     naive = models.backtest_naive(frame, 7, 3).orderBy("fold").collect()
