@@ -6,8 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm import blocks, chat, classifier, decontaminate, lines, packing, quality, simhash, suffixes, urls
-from demandspark.llm.common import bound_batches, table
+from demandspark.llm import (
+    audit,
+    blocks,
+    chat,
+    classifier,
+    decontaminate,
+    lines,
+    negatives,
+    packing,
+    personal,
+    quality,
+    simhash,
+    suffixes,
+    urls,
+)
+from demandspark.llm.common import bound_batches, new_path, table
 from demandspark.llm.tokenization import SharedTokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,3 +245,141 @@ def op5_suffix_dedup(spark, sf_dir):
 @query
 def op6_quality_classifier(spark, sf_dir):
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_personal_data(spark, sf_dir):
+    return personal.report(table(spark, sf_dir, "documents"))
+
+
+# The patterns of `personal.KINDS` without the look-behinds and possessive loops, which only save work there.
+_PII_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+){3}",
+    "card": r"[0-9](?:[ -]?[0-9])+",
+    "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [0-9]{1,3})?)",
+    "secret": r"[0-9A-Fa-f]{32,}",
+}
+_PII_DIGITS = "translate(f, '+-(). ', '')"
+_PII_LUHN = f"""(list_sum(list_transform(range(1, length({_PII_DIGITS}) + 1), lambda j:
+        CASE WHEN j % 2 = 1 THEN substr({_PII_DIGITS}, length({_PII_DIGITS}) - j + 1, 1)::INT
+        ELSE (2 * substr({_PII_DIGITS}, length({_PII_DIGITS}) - j + 1, 1)::INT) // 10
+            + (2 * substr({_PII_DIGITS}, length({_PII_DIGITS}) - j + 1, 1)::INT) % 10 END)) % 10 = 0)"""
+_PII_OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_PII_IP = f"regexp_matches(f, '^{_PII_OCTET}(?:[.]{_PII_OCTET}){{3}}$')"
+_PII_OUTSIDE = "NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]')"
+_PII_IBAN = """list_reduce(list_prepend(0, list_transform(string_split(substr(replace(f, ' ', ''), 5) || substr(f, 1, 4), ''),
+        lambda c: CASE WHEN ascii(c) < 65 THEN ascii(c) - 48 ELSE ascii(c) - 55 END)),
+        lambda rest, v: (rest * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1"""
+_PII_RULES = {  # base span, confirmed
+    "email": ("true", "regexp_matches(f, '[.][A-Za-z]{2,24}$')"),
+    "ip": (_PII_IP, f"{_PII_IP} AND {_PII_OUTSIDE}"),
+    "card": (
+        f"CASE WHEN length({_PII_DIGITS}) BETWEEN 16 AND 19 THEN {_PII_LUHN} ELSE false END",
+        f"CASE WHEN length({_PII_DIGITS}) BETWEEN 13 AND 19 THEN {_PII_LUHN} ELSE false END",
+    ),
+    "phone": (f"length({_PII_DIGITS}) BETWEEN 8 AND 15",) * 2,
+    "iban": ("false", f"CASE WHEN length(replace(f, ' ', '')) BETWEEN 15 AND 34 AND {_PII_OUTSIDE} THEN {_PII_IBAN} ELSE false END"),
+    "secret": ("false", f"{_PII_OUTSIDE} AND regexp_matches(f, '[0-9]') AND regexp_matches(f, '[A-Fa-f]')"),
+}
+
+
+def _pii_near(words: tuple[str, ...]) -> str:
+    lowered = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rule = f"'(?:^|[^a-z0-9])(?:{'|'.join(words)})(?:[^a-z0-9]|$)'"
+    return " OR ".join(f"regexp_matches({lowered.format(side)}, {rule})" for side in ("before", "after")) if words else "false"
+
+
+def _pii_kind(place: int, kind: personal.Kind) -> str:
+    base, confirmed = _PII_RULES[kind.name]
+    return f"""
+    SELECT doc_id, {place} AS place, '{kind.name}' AS kind, first, first + length(f) AS stop, {base} AS base, {confirmed} AS confirmed,
+        {kind.prior} + CASE WHEN {_pii_near(kind.context)} THEN {kind.near} ELSE 0 END
+            - CASE WHEN {_pii_near(kind.against)} THEN {kind.far} ELSE 0 END AS points, {kind.confirmed} AS bonus
+    FROM (SELECT doc_id, f, right(b, 48) AS before, left(a, 24) AS after,
+            sum(length(b) + length(f)) OVER (PARTITION BY doc_id ORDER BY i) - length(f) AS first
+        FROM (SELECT doc_id, unnest(fs) AS f, unnest(ps[:-2]) AS b, unnest(ps[2:]) AS a, generate_subscripts(fs, 1) AS i
+            FROM (SELECT doc_id, regexp_extract_all(t, '{_PII_PATTERNS[kind.name]}') AS fs,
+                    string_split_regex(t, '{_PII_PATTERNS[kind.name]}') AS ps FROM docs)))"""
+
+
+ORACLES["op11_personal_data"] = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(_pii_kind(k, kind) for k, kind in enumerate(personal.KINDS))}),
+scored AS (
+    SELECT *, greatest(0, least(100, points + CASE WHEN confirmed THEN bonus ELSE 0 END)) AS score,
+        kind || ':' || first || ':' || stop AS name FROM found),
+kept AS (SELECT * FROM scored WHERE base OR (confirmed AND score >= {personal.THRESHOLD}))
+SELECT doc_id, {", ".join(f"count(*) FILTER (base AND kind = '{k.name}') AS n_{k.name}" for k in personal.KINDS if k.base)},
+    sha256(coalesce(string_agg(name, ',' ORDER BY place, first) FILTER (base), '')) AS base_sha256,
+    coalesce(string_agg(name, ',' ORDER BY place, first), '') AS spans,
+    count(*) FILTER (confirmed) AS n_confirmed, coalesce(sum(score), 0)::BIGINT AS score_sum
+FROM docs LEFT JOIN kept USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH fit AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, a.label AS wanted, c.vec_id, c.label, list_dot_product(a.v, c.v)::BIGINT AS score
+    FROM fit a JOIN fit c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT * FROM scored WHERE label = wanted
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+    (row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id))::INTEGER AS rank,
+    n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND n.label <> n.wanted
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    return audit.audit(spark, f"{sf_dir}/documents.parquet", labels, new_path(spark, "audit"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+split AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs),
+masked AS (
+    SELECT doc_id, part, CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+    FROM split),
+marked AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+counted AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM masked LEFT JOIN marked USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+    FROM letters a, letters b, letters c, letters d, letters e WHERE a.b | b.b | c.b | d.b | e.b = 31),
+steps AS (
+    SELECT filter_order, k AS step, bits[k] AS own, list_sum(bits[:k - 1]) AS before
+    FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS k FROM orders))
+SELECT part, filter_order, step::INTEGER AS step,
+    sum(CASE WHEN mask & (own | coalesce(before, 0)) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN mask & own <> 0 AND mask & coalesce(before, 0) = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN mask & own <> 0 AND mask & coalesce(before, 0) <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN mask & own <> 0 AND mask & coalesce(before, 0) = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN mask & own <> 0 AND mask & coalesce(before, 0) = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
+    sum(CASE WHEN mask & own <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+FROM counted, steps GROUP BY part, filter_order, step
+"""

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {"op3_quality_rules", "op4_line_dedup", "op9_chat_format", "op10_url_reputation"} <= set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
@@ -64,7 +64,7 @@ def test_queries_match_their_sql(spark, name):
     import duckdb
 
     connection = duckdb.connect()
-    for table in ("documents", "pages", "labels", "conversations", "benchmark"):
+    for table in ("documents", "pages", "labels", "conversations", "benchmark", "embeddings"):
         connection.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     found = QUERIES[name](spark, SF).toPandas()
     want = connection.execute(ORACLES[name]).df()[list(found.columns)]
