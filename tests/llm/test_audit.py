@@ -77,7 +77,7 @@ def test_matches_brute_force_in_many_batches(spark, labels):
     base = samples.awkward()
     copies = [(100 - i, base[0][1], "en", f"s{i % 3}", 1) for i in range(30)] + [(2**60 + 1, "x", "en", None, 1), (2**60, "x", "en", "a", 1)]
     rows = base + copies
-    write(spark, path, rows, 9, clashing=True)
+    write(spark, path, rows, 4, clashing=True)
     got = as_dict(audit.audit(spark, path, labels, folder, files=1))
     assert got == brute(rows, LABELS)
     assert spark.read.parquet(f"{folder}/changes").filter("n < 0").count() > 0  # something was retracted
