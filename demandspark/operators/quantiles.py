@@ -1,15 +1,15 @@
 """Exact order statistics and quantiles of very large groups.
 
-A built-in exact percentile keeps all distinct values of a group in one task.  `order_statistics`
-finds the value at any rank without that: it counts the values per bucket, finds the bucket that holds
-the wanted rank, splits that bucket again, and only then sorts the few distinct values left in it.
+A built-in exact percentile keeps all distinct values of a group in one task.  `order_statistics` finds the
+value at any rank by radix selection instead.  A double has an order-preserving 64-bit image, and the image
+is read from its highest digit down, 16 bits in a pass:
 
-    values -> (group, value) counts            hash aggregation with map-side combine
-           -> (group, coarse bucket) counts     at most a few thousand rows per group
-           -> (group, rank, fine bucket) counts only for the buckets that hold a wanted rank
-           -> values of one fine bucket         sorted, the wanted one is picked
+    pass 1   (group, highest digit) counts, combined before the shuffle; running counts tell the digit of each rank
+    pass 2   the same for the next digit, of the values whose leading digits hold a rank
+    pass 3, 4   likewise; after the last digit the value itself is known
 
-Buckets are monotone functions of the value, so every step is exact and repeatable.
+No pass shuffles values.  What it shuffles are at most 65,536 counts for each group, task and prefix that holds a rank,
+and a running count covers at most 65,536 rows, however the values lie.  The input is read once per pass, two columns wide.
 """
 
 from collections.abc import Mapping, Sequence
@@ -19,22 +19,32 @@ from pyspark.sql import functions as F
 
 from demandspark.functions.guards import group_window, is_finite, join_on
 
-BUCKETS_PER_OCTAVE = 64
-FINE_BUCKETS = 65536
-# Above the index of the smallest positive double, so that bucket numbers of positive values are positive.
-_OFFSET = 1100 * BUCKETS_PER_OCTAVE
+DIGIT_BITS = 16
+SHIFTS = (48, 32, 16, 0)  # bits below each pass's digit
 
+# The prefixes that hold a rank are sent to every task while there are no more groups than this; they join the values
+# like any other table beyond it.
+MOST_SENT_GROUPS = 10_000
 
-def magnitude_bucket(value: Column) -> Column:
-    """Signed logarithmic bucket: non-decreasing in the value, zero only for zero."""
-    level = F.floor(F.log2(F.abs(value)) * BUCKETS_PER_OCTAVE) + _OFFSET
-    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * level).cast("bigint")
 
+def order_image(value: Column) -> Column:
+    """The bits of a finite double as a number of the same order, negative for negative values.
 
-def linear_bucket(value: Column, low: Column, high: Column) -> Column:
-    """Bucket of equal width between the smallest and the largest value of a coarse bucket."""
-    share = (value - low) / (high - low)
-    return F.when(high > low, F.floor(share * FINE_BUCKETS)).otherwise(F.lit(0)).cast("bigint")
+    Exponent and fraction come from exact steps: the logarithm is only a guess that is set right by comparing, and
+    scaling by a power of two loses nothing.
+    """
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("int")
+    exponent = guess + F.when(size >= F.pow(F.lit(2.0), guess + 1), 1).otherwise(0) - F.when(size < F.pow(F.lit(2.0), guess), 1).otherwise(0)
+    exponent = F.greatest(exponent, F.lit(-1022))  # below it, doubles lose leading digits instead
+    fraction = (size / F.pow(F.lit(2.0), exponent) * F.lit(float(1 << 52))).cast("bigint")
+    image = F.shiftleft((exponent + 1022).cast("bigint"), 52) + fraction
+    return F.when(value == 0, F.lit(0).cast("bigint")).when(value < 0, -image).otherwise(image)
+
+
+def _few_groups(df: DataFrame, by: Sequence[str]) -> bool:
+    """Whether the groups are few enough to send a row for each of them to every task; a job over the `by` columns."""
+    return not by or df.select(*by).distinct().limit(MOST_SENT_GROUPS + 1).count() <= MOST_SENT_GROUPS
 
 
 def _running(by: Sequence[str], order: str) -> Column:
@@ -42,12 +52,6 @@ def _running(by: Sequence[str], order: str) -> Column:
     return F.sum("__n").over(group_window(by, F.col(order)).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def _pick(ranks: str) -> str:
-    """The ranks of an array that fall on a row, counted from its first one, given the counts up to and including it."""
-    moved = f"transform({ranks}, r -> named_struct('name', r.name, 'rank', r.rank - (__upto - __n)))"
-    return f"filter({moved}, r -> r.rank >= 0 AND r.rank < __n)"
-
-
 def order_statistics(
     df: DataFrame, value: Column | str, ranks: Mapping[str, str], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -58,47 +62,33 @@ def order_statistics(
     """
     by = list(by)
     value = F.col(value) if isinstance(value, str) else value
-    values = (
-        df.select(*by, value.cast("double").alias("__v"))
-        .filter(is_finite(F.col("__v")))
-        .groupBy(*by, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select("*", magnitude_bucket(F.col("__v")).alias("__coarse"))
-    )
+    finite = df.select(*by, value.cast("double").alias("__v")).filter(is_finite(F.col("__v")))
+    values = finite.select(*by, "__v", order_image(F.col("__v")).alias("__image"))
+    send = F.broadcast if _few_groups(df, by) else lambda table: table
     wanted = ", ".join(f"named_struct('name', '{name}', 'rank', cast({rank} AS bigint))" for name, rank in ranks.items())
-    whole = group_window(by, F.col("__coarse")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # A bucket keeps the ranks that fall into it as an array: however many they are, its rows are joined once.
-    buckets = by + ["__coarse"]
-    coarse = (
-        values.groupBy(*buckets)
-        .agg(F.sum("__n").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
-        .select("*", F.sum("__n").over(whole).alias("value_count"), _running(by, "__coarse").alias("__upto"))
-        .selectExpr(*buckets, "value_count", "__low", "__high", f"{_pick(f'array({wanted})')} AS __ranks")
-        .filter("size(__ranks) > 0")
-    )
-    if not by:
-        coarse = F.broadcast(coarse)  # one row per rank at most, whatever the size of the data
-    inside = join_on(values, coarse.select(*buckets, "__low", "__high"), buckets).select(
-        *buckets, "__v", "__n", linear_bucket(F.col("__v"), F.col("__low"), F.col("__high")).alias("__fine")
-    )
-    counted = inside.groupBy(*buckets, "__fine").agg(F.sum("__n").alias("__n"))
-    fine = (
-        join_on(counted, coarse.select(*buckets, "value_count", "__ranks"), buckets)
-        .select("*", _running(buckets, "__fine").alias("__upto"))
-        .selectExpr(*buckets, "__fine", "value_count", f"{_pick('__ranks')} AS __ranks")
-        .filter("size(__ranks) > 0")
-    )
-    if not by:
-        fine = F.broadcast(fine)
-    slots = buckets + ["__fine"]
-    picked = (
-        join_on(inside, fine, slots)
-        .select("*", _running(slots, "__v").alias("__upto"))
-        .selectExpr(*by, "__v", "value_count", f"inline({_pick('__ranks')})")
-    )
+    # The ranks that fall on a row, given the counts up to and including it: however many they are, the row is one.
+    held = f"filter(array({wanted}), r -> r.rank >= __upto - __n AND r.rank < __upto)"
+    found = None
+    for shift in SHIFTS:
+        prefix = F.shiftright("__image", shift).alias("__prefix")
+        counts = {"__n": F.count(F.lit(1)), "__value": F.min("__v")}
+        if found is None:
+            counted = values.groupBy(*by, prefix).agg(*[c.alias(n) for n, c in counts.items()])
+            whole = group_window(by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+            counted = counted.withColumn("value_count", F.sum("__n").over(whole)).withColumn("__before", F.lit(0).cast("bigint"))
+            inside = by
+        else:
+            parent = found.select(*by, F.col("__prefix").alias("__parent"), "value_count", "__before")
+            inside = [*by, "__parent"]
+            digits = join_on(values.withColumn("__parent", F.shiftright("__image", shift + DIGIT_BITS)), send(parent), inside)
+            counts |= {c: F.max(c) for c in ("value_count", "__before")}  # one value for all rows of a parent
+            counted = digits.groupBy(*inside, prefix).agg(*[c.alias(n) for n, c in counts.items()])
+        ranked = counted.withColumn("__upto", F.col("__before") + _running(inside, "__prefix"))
+        found = ranked.filter(f"size({held}) > 0").withColumn("__before", F.col("__upto") - F.col("__n"))
+    picked = found.selectExpr(*by, "__value", "value_count", f"inline({held})")
     return picked.groupBy(*by).agg(
         F.max("value_count").alias("value_count"),
-        *[F.expr(f"max(CASE WHEN name = '{name}' THEN __v END) AS `{name}`") for name in ranks],
+        *[F.expr(f"max(CASE WHEN name = '{name}' THEN __value END) AS `{name}`") for name in ranks],
     )
 
 

@@ -1,6 +1,7 @@
 """Physical plans of the operators that matter at scale."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +20,35 @@ def final_part(plan):
     return plan.split("== Initial Plan ==")[0]
 
 
+def metric_values(df, node):
+    """Output rows of the plan's nodes of a name, after a run that keeps its metrics."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    found, left = [], [execution.executedPlan()]
+    while left:
+        plan = left.pop()
+        name = plan.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            left.append(plan.executedPlan())
+            continue
+        if "QueryStage" in name:
+            left.append(plan.plan())
+            continue
+        children = plan.children()
+        left += [children.apply(i) for i in range(children.size())]
+        if name == node:
+            below = plan.child()
+            while "numOutputRows" not in str(below.metrics().keys().toString()) and below.children().size():
+                below = below.children().apply(0)
+                if "QueryStage" in below.nodeName():
+                    below = below.plan()
+            if below.metrics().contains("numOutputRows"):
+                found.append(below.metrics().apply("numOutputRows").value())
+            elif below.metrics().contains("shuffleRecordsWritten"):
+                found.append(below.metrics().apply("shuffleRecordsWritten").value())
+    return found
+
+
 @pytest.fixture(scope="module")
 def stored_log(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("log") / "rows")
@@ -34,11 +64,34 @@ def stored_log(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-def test_rank_search_reads_its_input_once(stored_log):
+def test_rank_search_shuffles_no_values(stored_log):
+    """Four narrow passes; counts are keyed by group and digit prefix, and what holds the ranks is broadcast."""
     plan = final_part(executed(quantiles.quantiles(stored_log, "predicted_units", {"p50": 0.5}, ["model_version"])))
-    assert plan.count("FileScan parquet") == 1
-    assert "ReusedExchange" in plan
+    assert plan.count("FileScan parquet") == len(quantiles.SHIFTS)
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert keys and not any(re.search(r"__v#|__value|predicted_units|__image", k) for k in keys)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "SortAggregate" not in plan and "store_id" not in plan
+
+
+def test_rank_search_is_bounded_beside_a_far_outlier(spark):
+    """A million crowded values and one far away: no running count covers more rows than a digit has values."""
+    values = spark.range(0, 1_000_000, 1, 8).selectExpr("1e9D + id / 1e7D AS v").unionByName(spark.range(1).selectExpr("1e300D AS v"))
+    frame = quantiles.quantiles(values, "v", {"low": 0.0, "p50": 0.5, "p90": 0.9, "high": 1.0})
+    row = frame.first()
+    assert (row.low, row.high, row.value_count) == (1e9, 1e300, 1_000_001)
+    assert row.p50 == pytest.approx(1e9 + 500_000 / 1e7, rel=1e-15) and row.p90 == pytest.approx(1e9 + 900_000 / 1e7, rel=1e-15)
+    metrics_of = [m for m in metric_values(frame, "Window") if m]
+    assert metrics_of and max(metrics_of) <= len(quantiles.SHIFTS) * 65536
+
+
+def test_many_groups_join_by_key(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MOST_SENT_GROUPS", 10)
+    frame = spark.range(3000).selectExpr("id % 300 AS k", "cast(id AS double) AS v")
+    found = quantiles.quantiles(frame, "v", {"p50": 0.5}, ["k"])
+    assert "broadcast" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r.k: r.p50 for r in found.collect()} == {k: k + 300 * 4.5 for k in range(300)}
 
 
 def test_metrics_read_only_their_columns(stored_log):
