@@ -200,8 +200,8 @@ def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-STATE_SETTINGS = {
-    # Keys are as many as different texts: they belong on disk, and a batch stores what it changed.
+# Session settings that keep the state on the executors' disks, a few megabytes for each partition, instead of in their memory.
+STATE_ON_DISK = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
@@ -229,6 +229,7 @@ def changes(
     folder: str,
     files: int | None = None,
     filters: dict[str, TextFilter] | None = None,
+    settings: dict[str, str] | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
     part: str = "source",
@@ -237,7 +238,8 @@ def changes(
 
     `folder`, in a storage that all executors share, holds the stream's checkpoint and its sink; a later call with the same
     folder takes in only the files that are new since.  `files` is the number of files of a micro-batch, by default eight for
-    each core.  A stream that was broken off goes on where it stopped.
+    each core.  A stream that was broken off goes on where it stopped.  The state, 36 bytes for a text and part, lies in the executors'
+    memory and in the checkpoint; `settings` such as `STATE_ON_DISK` choose another state store.
     """
     filters = FILTERS if filters is None else filters
     files = files or 8 * spark.sparkContext.defaultParallelism
@@ -248,7 +250,7 @@ def changes(
         _state_function(1 << len(filters)), CHANGE_COLUMNS, STATE_COLUMNS, "append", GroupStateTimeout.NoTimeout
     )
     writer = moved.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-    with _settings(spark, STATE_SETTINGS):
+    with _settings(spark, settings or {}):
         writer.option("checkpointLocation", f"{folder}/state").start(f"{folder}/changes").awaitTermination()
     return spark.read.schema(CHANGE_COLUMNS).parquet(f"{folder}/changes")
 
@@ -321,6 +323,7 @@ def audit(
     folder: str,
     files: int | None = None,
     filters: dict[str, TextFilter] | None = None,
+    settings: dict[str, str] | None = None,
     **columns: str,
 ) -> DataFrame:
     """`interactions` of the text filters and the duplicate filter over the Parquet files under `path`.
@@ -330,5 +333,5 @@ def audit(
     duplicate.  Other columns are ignored; without rows the result is empty.
     """
     filters = FILTERS if filters is None else filters
-    changed = changes(spark, path, folder, files, filters, **columns)
+    changed = changes(spark, path, folder, files, filters, settings, **columns)
     return interactions(counters(changed, labels), "".join(filters) + DUPLICATE)

@@ -99,12 +99,13 @@ def test_later_files_retract_earlier_masks(spark, labels):
     assert new.groupBy().sum("n").first()[0] == 6
 
 
-def test_state_settings_are_restored(spark, labels):
+def test_state_on_disk_gives_the_same_and_settings_are_restored(spark, labels):
     path = new_path(spark, "docs")
     write(spark, path, samples.awkward())
-    keys = list(audit.STATE_SETTINGS)
+    keys = list(audit.STATE_ON_DISK)
     before = [spark.conf.get(k, None) for k in keys]
-    audit.changes(spark, path, new_path(spark, "audit"))
+    got = as_dict(audit.audit(spark, path, labels, new_path(spark, "audit"), settings=audit.STATE_ON_DISK))
+    assert got == brute(samples.awkward(), LABELS)
     assert [spark.conf.get(k, None) for k in keys] == before
 
 
