@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from demandspark.functions.guards import attach, ensure, is_finite, join_on
 from demandspark.functions.histogram import (
@@ -69,19 +70,66 @@ def psi(
     df: DataFrame, profile: DataFrame, value: str = "predicted_units", by: Sequence[str] = (), bins: int = 10
 ) -> DataFrame:
     """Use the stored bins of a group where both arrays exist, otherwise its mean and deviation."""
+    return _psi(df, _chosen_bins(profile, by, bins), value, by)
+
+
+def _chosen_bins(profile: DataFrame, by: Sequence[str], bins: int = 10) -> DataFrame:
+    """(by, bin_edges, expected_share): the stored bins, or an even spread where there are none."""
     _check_bins(bins)
     present = set(profile.columns)
+    spread = {"bin_edges": spread_edges(bins), "expected_share": spread_shares(bins)}
     if not {"bin_edges", "expected_share"} <= present:
-        return psi_from_stats(df, profile, value, by, bins)
+        return profile.selectExpr(*by, *[f"{value} AS {name}" for name, value in spread.items()])
     if not {"mean", "std"} <= present:
-        return psi_from_bins(df, profile, value, by)
+        return profile.select(*by, *spread)
     stored = "bin_edges IS NOT NULL AND expected_share IS NOT NULL"
-    chosen = profile.selectExpr(
+    return profile.selectExpr(*by, *[f"CASE WHEN {stored} THEN {n} ELSE {value} END AS {n}" for n, value in spread.items()])
+
+
+def reference_bins(profile: DataFrame, by: Sequence[str] = (), bins: int = 10) -> DataFrame:
+    """`_chosen_bins` with edges that stop the job where the stored reference cannot be used."""
+    chosen = _chosen_bins(profile, by, bins)
+    return chosen.select(*by, checked_edges().alias("bin_edges"), "expected_share")
+
+
+def is_nested(baseline: DataFrame) -> bool:
+    """Whether a baseline is in its stored form: structs `target` and `prediction_reference`, a map of features."""
+    kinds = {f.name: f.dataType for f in baseline.schema.fields}
+    return any(isinstance(kinds.get(name), StructType) for name in ("target", "prediction_reference"))
+
+
+def flat_baseline(baseline: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """A stored baseline as (by, mean, std, bin_edges, expected_share, reference_mae, target_coverage).
+
+    The reference is `prediction_reference`, or `target` in a row where that is NULL; fields that the stored form
+    lacks are NULL.
+    """
+    kinds = {f.name: f.dataType for f in baseline.schema.fields}
+
+    def field(struct: str, name: str, kind: str = "double") -> Column:
+        there = isinstance(kinds.get(struct), StructType) and name in kinds[struct].names
+        return F.col(f"{struct}.{name}").cast(kind) if there else F.lit(None).cast(kind)
+
+    stored = F.col("prediction_reference").isNotNull() if "prediction_reference" in kinds else F.lit(False)
+    wanted = {"mean": "double", "std": "double", "bin_edges": "array<double>", "expected_share": "array<double>"}
+    chosen = [
+        F.when(stored, field("prediction_reference", n, kind)).otherwise(field("target", n, kind)).alias(n)
+        for n, kind in wanted.items()
+    ]
+    return baseline.select(
         *by,
-        f"CASE WHEN {stored} THEN bin_edges ELSE {spread_edges(bins)} END AS bin_edges",
-        f"CASE WHEN {stored} THEN expected_share ELSE {spread_shares(bins)} END AS expected_share",
+        *chosen,
+        field("reference_metrics", "mae").alias("reference_mae"),
+        field("prediction_interval", "target_coverage").alias("target_coverage"),
     )
-    return _psi(df, chosen, value, by)
+
+
+def baseline_features(baseline: DataFrame, by: Sequence[str] = ()) -> DataFrame | None:
+    """The feature map of a stored baseline as rows (by, feature, mean, std); None where it has no map."""
+    if "features" not in baseline.columns:
+        return None
+    entries = baseline.select(*by, F.explode("features").alias("feature", "profile"))
+    return entries.select(*by, "feature", F.col("profile.mean").alias("mean"), F.col("profile.std").alias("std"))
 
 
 def coalesce_reference(baseline: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -93,7 +141,7 @@ def coalesce_reference(baseline: DataFrame, by: Sequence[str] = ()) -> DataFrame
     return baseline.select(*by, chosen.alias("chosen")).select(*by, "chosen.*")
 
 
-def _number(name: str) -> str:
+def finite_number(name: str) -> str:
     """SQL of a column as a finite number; text that is no number counts as missing."""
     value = f"try_cast(`{name}` AS double)"
     return f"CASE WHEN NOT isnan({value}) AND abs({value}) < double('inf') THEN {value} END"
@@ -111,7 +159,7 @@ def feature_mean_shift(
     present = [c for c in features if c in observed.columns]
     if not present:
         observed, present = observed.limit(0).withColumn("__none", F.lit(None).cast("double")), ["__none"]
-    wide = observed.groupBy(*by).agg(*[F.expr(f"avg({_number(c)}) AS __mean_{i}") for i, c in enumerate(present)])
+    wide = observed.groupBy(*by).agg(*[F.expr(f"avg({finite_number(c)}) AS __mean_{i}") for i, c in enumerate(present)])
     pairs = ", ".join(f"struct('{c}' AS feature, __mean_{i} AS observed_mean)" for i, c in enumerate(present))
     means = wide.selectExpr(*by, f"inline(array({pairs}))").filter("observed_mean IS NOT NULL")
     order = ["position"] if "position" in profile.columns else []

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.functions import errors
@@ -36,6 +36,11 @@ def interval_quality(predictions: DataFrame, by: Sequence[str] = ()) -> DataFram
     ).drop("__crossed")
 
 
+def segment_label(columns: Sequence[str]) -> Column:
+    """The name of a row's segment, such as `store_id=s1 / category=home`."""
+    return F.concat_ws(" / ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("nan"))) for c in columns])
+
+
 def segment_table(
     predictions: DataFrame,
     segments: Sequence[str] = ("store_id", "category"),
@@ -52,7 +57,7 @@ def segment_table(
     if not {"actual_units", "predicted_units"} <= set(predictions.columns) or not present:
         return None
     a, p = F.col("actual_units").cast("double"), F.col("predicted_units").cast("double")
-    label = F.concat_ws(" / ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("nan"))) for c in present])
+    label = segment_label(present)
     return (
         predictions.groupBy(*by, *present)
         .agg(
