@@ -165,3 +165,25 @@ def baseline_profile(
     if interval is not None:
         profile = attach(profile, interval.select(*by, "observed_coverage", "mean_interval_width"), by)
     return attach(profile, training_profile(train).select("target_mean", "target_std"))
+
+
+def stored_baseline(profile: DataFrame, features: DataFrame, by: Sequence[str] = ("model_version",)) -> DataFrame:
+    """`baseline_profile` in its stored form: structs per reference, and a map of the feature profile, which all rows share.
+
+    Its fields are those of `schemas.BASELINE_SCHEMA`; the map is as long as the features are many.
+    """
+    target = F.struct(
+        F.col("target_mean").alias("mean"),
+        F.col("target_std").alias("std"),
+        F.lit(None).cast("array<double>").alias("bin_edges"),
+        F.lit(None).cast("array<double>").alias("expected_share"),
+    )
+    entries = features.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "std")))).alias("features"))
+    return attach(profile, entries).select(
+        *by,
+        target.alias("target"),
+        F.struct("mean", "std", "bin_edges", "expected_share").alias("prediction_reference"),
+        "features",
+        F.struct(F.col("reference_mae").alias("mae")).alias("reference_metrics"),
+        F.struct("target_coverage").alias("prediction_interval"),
+    )

@@ -12,6 +12,7 @@ from demandspark.functions.histogram import repair_edges
 from demandspark.operators import (
     alerts,
     conformal,
+    cube,
     drift,
     encoding,
     governance,
@@ -632,6 +633,22 @@ def monitor_unlabelled(spark, sf_dir):
     return alerts.monitoring_signals(log, tables.baseline(spark, sf_dir), reference, FEATURE_COLUMNS)
 
 
+@query
+def monitor_stored_baseline(spark, sf_dir):
+    """Signals against the baseline in its stored form, written as a report and read back; it brings the feature profile."""
+    path = tables.new_path(spark, "baseline")
+    reference = profiles.numeric_profile(tables.slice_of(spark, sf_dir, "train"))
+    writers.write_report(profiles.stored_baseline(tables.baseline(spark, sf_dir), reference), path)
+    stored = demand.read_baseline(spark, path)
+    return alerts.monitoring_signals(tables.prediction_log(spark, sf_dir), stored, feature_names=FEATURE_COLUMNS)
+
+
+@query
+def drift_over_time(spark, sf_dir):
+    """PSI of the 28 days up to each date, from the stored cells; the log is not read again."""
+    return cube.rolling_psi(tables.drift_cube(spark, sf_dir), tables.baseline(spark, sf_dir), 28, MODEL)
+
+
 @query
 def monitor_new_model(spark, sf_dir):
     """Signals of a log in which one model has neither a radius nor a baseline."""

@@ -98,7 +98,7 @@ series AS (
          promotion * price AS promotion_price, concat(store_id, '::', sku_id) AS entity_id
   FROM silver),
 prices AS (SELECT sku_id, avg(price) AS sku_avg_price FROM silver GROUP BY sku_id),
-daily AS (SELECT store_id, date, avg(units_sold) AS store_day_units FROM silver GROUP BY store_id, date),
+per_day AS (SELECT store_id, date, avg(units_sold) AS store_day_units FROM silver GROUP BY store_id, date),
 history AS (
   SELECT *, {_guard('avg', 'store_day_units', STORE_EXPANDING, 3)} AS store_avg_units FROM daily),
 wide AS (
@@ -734,6 +734,33 @@ oracle(
     "cast(NULL AS varchar) AS worst_segment FROM signals",
     (*SCORED, *MONITOR),
 )
+oracle(
+    "monitor_stored_baseline",
+    f"SELECT model_version, rows, {nums('mae', 'wape', 'bias', 'psi', 'max_feature_shift', 'interval_coverage')}, "
+    f"{nums('target_coverage', 'reference_mae', 'segment_mae')}, worst_segment FROM signals",
+    (*SCORED, *MONITOR),
+)
+oracle(
+    "drift_over_time",
+    f"SELECT model_version, {day()}, cast(any_value(total) AS bigint) AS rows, "
+    + num("sum((least(greatest(n / total, 1e-6), 1) - least(greatest(expected_share, 1e-6), 1)) "
+    "* ln(least(greatest(n / total, 1e-6), 1) / least(greatest(expected_share, 1e-6), 1)))", "psi")
+    + " FROM windowed GROUP BY model_version, date",
+    (
+        *SCORED,
+        EDGES,
+        """
+bin_days AS (
+  SELECT bins.model_version, date, bin, any_value(expected_share) AS expected_share,
+         count(*) FILTER ((bin = 0 OR predicted_units >= lower_edge) AND (bin = 9 OR predicted_units < upper_edge)) AS n
+  FROM bins JOIN log ON log.model_version = bins.model_version GROUP BY bins.model_version, date, bin),
+summed AS (
+  SELECT d.model_version, d.date, d.bin, any_value(d.expected_share) AS expected_share, sum(e.n)::double AS n
+  FROM bin_days d JOIN bin_days e ON e.model_version = d.model_version AND e.bin = d.bin AND e.date BETWEEN d.date - 27 AND d.date
+  GROUP BY d.model_version, d.date, d.bin),
+windowed AS (SELECT *, sum(n) OVER (PARTITION BY model_version, date) AS total FROM summed)""",
+    ),
+)
 WIDER = LOG.replace(
     "cast(units_sold AS double) AS actual_units FROM split),",
     "cast(units_sold AS double) AS actual_units FROM split\n  UNION ALL\n"

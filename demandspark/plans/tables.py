@@ -16,7 +16,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.operators import conformal, features as feature_ops, layers, models, profiles, scoring, splits
+from demandspark.operators import conformal, cube, features as feature_ops, layers, models, profiles, scoring, splits
 from demandspark.sources import demand
 from demandspark.sources.writers import write_table
 
@@ -176,6 +176,16 @@ def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drift_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the prediction log per model, date and bin of the model's baseline, stored once."""
+    return _share(
+        spark,
+        sf_dir,
+        "drift_cube",
+        lambda: cube.log_cube(prediction_log(spark, sf_dir), baseline(spark, sf_dir), segments=(), keep=["date"]),
+    )
+
+
 def naive_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch scoring of the feature table with the naive model."""
     own = radius(spark, sf_dir).filter(F.col("model_version") == "naive").select("interval_radius")

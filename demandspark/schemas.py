@@ -76,6 +76,17 @@ SILVER_SCHEMA = T.StructType(
     ]
 )
 
+# A feature table has its silver columns, the features that silver lacks, and the name of the series.
+FEATURE_SCHEMA = T.StructType(
+    SILVER_SCHEMA.fields
+    + [
+        T.StructField(c, T.LongType() if c.startswith("lag_") else T.DoubleType())
+        for c in FEATURE_COLUMNS
+        if c not in SILVER_SCHEMA.names
+    ]
+    + [T.StructField("entity_id", T.StringType())]
+)
+
 PROFILE_SCHEMA = T.StructType(
     [
         T.StructField("mean", T.DoubleType()),

@@ -1,10 +1,13 @@
 """Raw demand rows: the file reader and the mapping of the star-schema tables to demand rows."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from demandspark.functions.guards import ensure, nan_to_null, require_columns
-from demandspark.schemas import RAW_COLUMNS, RAW_SCHEMA, SILVER_SCHEMA
+from demandspark.schemas import BASELINE_SCHEMA, FEATURE_SCHEMA, RAW_COLUMNS, RAW_SCHEMA, SILVER_SCHEMA
 
 # A total order of the lineitem rows: no two rows of one (date, store, SKU) key tie on it.
 INGEST_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount")
@@ -47,7 +50,13 @@ def read_silver(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(FEATURE_SCHEMA).parquet(path)
+
+
+def read_baseline(spark: SparkSession, path: str, by: Sequence[str] = ("model_version",)) -> DataFrame:
+    """Stored baselines, JSON lines with the keys `by`; fields that a file lacks are NULL."""
+    keys = [StructField(c, StringType()) for c in by]
+    return spark.read.schema(StructType([*keys, *BASELINE_SCHEMA.fields])).json(path)
 
 
 def check_not_empty(df: DataFrame, message: str) -> DataFrame:

@@ -614,3 +614,22 @@ def test_approximate_distinct_counts_agree_on_few_values(spark):
     log = two_model_log(spark).withColumn("sku_id", F.col("predicted_units").cast("string"))
     exact, rough = (scoring.prediction_summary(log, ["model_version"], approximate=a).orderBy("model_version").collect() for a in (False, True))
     assert exact == rough and exact[0].unique_skus == 12
+
+
+def test_stored_baseline_is_monitored(spark):
+    """A baseline with the target and the MAE alone, and one with a reference, features and a coverage."""
+    log = spark.createDataFrame([(10.0, 12.0), (20.0, 19.0), (30.0, 33.0)], "predicted_units double, actual_units double")
+    short = spark.sql("SELECT struct(20D AS mean, 5D AS std) AS target, struct(1.5D AS mae) AS reference_metrics")
+    row = alerts.monitoring_signals(log, short, by=()).first()
+    assert row.reference_mae == 1.5 and row.psi > 0 and row.target_coverage is None and row.mae == pytest.approx(2.0)
+    assert row.psi == pytest.approx(drift.psi(log, spark.sql("SELECT 20D AS mean, 5D AS std")).first().psi)
+    full = spark.sql(
+        "SELECT struct(0D AS mean, 1D AS std) AS target, struct(array(0D, 15D, 40D) AS bin_edges, array(0.5D, 0.5D) AS expected_share) AS prediction_reference,"
+        " map('price', struct(2D AS mean, 0.5D AS std), 'gone', struct(1D AS mean, 1D AS std)) AS features,"
+        " struct(1D AS mae) AS reference_metrics, struct(0.9D AS target_coverage) AS prediction_interval"
+    )
+    priced = log.withColumn("price", F.lit(3.0))
+    row = alerts.monitoring_signals(priced, full, feature_names=["price"], by=()).first()
+    assert row.max_feature_shift == pytest.approx(2.0) and row.target_coverage == 0.9 and row.reference_mae == 1.0
+    bins = spark.sql("SELECT array(0D, 15D, 40D) AS bin_edges, array(0.5D, 0.5D) AS expected_share")
+    assert row.psi == pytest.approx(drift.psi_from_bins(log, bins).first().psi)

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from demandspark.operators import conformal, drift, metrics, quality, quantiles, splits
+from demandspark.operators import alerts, conformal, cube, drift, metrics, quality, quantiles, splits
 
 START = dt.date(2025, 1, 1)
 
@@ -132,3 +132,33 @@ def test_row_blocks_never_number_a_whole_date(stored_log):
 def test_error_checks_do_not_leak_into_callers_filters(stored_log):
     report = metrics.regression_metrics(stored_log, by=["model_version"]).filter(F.col("model_version") == "m1")
     assert report.count() == 1
+
+
+def test_signals_read_the_log_once(spark, stored_log):
+    """Errors, coverage, bins, feature means and segments come from one scan and one aggregation of the rows."""
+    log = stored_log.selectExpr("*", "predicted_units - 3 AS prediction_lower", "predicted_units + 3 AS prediction_upper", "1.5D AS price")
+    baseline = spark.sql(
+        "SELECT inline(array(struct('m0' AS model_version, array(0D, 50D, 100D, 150D) AS bin_edges, array(0.3D, 0.4D, 0.3D) AS expected_share,"
+        " 2D AS reference_mae, 0.9D AS target_coverage)))"
+    )
+    profile = spark.sql("SELECT explode(array('m0', 'm1')) AS model_version, 'price' AS feature, 1D AS mean, 0.5D AS std")
+    signals = alerts.monitoring_signals(log, baseline, profile, ["price"])
+    plan = final_part(executed(signals))
+    assert plan.count("FileScan parquet") == 1
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    rows = {r.model_version: r for r in signals.collect()}
+    assert rows["m0"].psi is not None and rows["m1"].psi is None and rows["m0"].max_feature_shift == 1.0
+    assert rows["m0"].worst_segment.startswith("store_id=") and rows["m0"].interval_coverage is not None
+
+
+def test_rolling_drift_reads_only_the_cells(spark, stored_log, tmp_path):
+    baseline = spark.sql("SELECT array(0D, 50D, 100D, 150D) AS bin_edges, array(0.3D, 0.4D, 0.3D) AS expected_share")
+    path = str(tmp_path / "cells")
+    cube.log_cube(stored_log, baseline, by=(), segments=(), keep=["date"]).write.parquet(path)
+    cells = spark.read.parquet(path)
+    found = {r.date: r for r in cube.rolling_psi(cells, baseline, 7, by=()).collect()}
+    assert len(found) == 100
+    for end in (START, START + dt.timedelta(20)):
+        some = stored_log.filter(F.col("date").between(end - dt.timedelta(6), end))
+        want = drift.psi_from_bins(some, baseline).first().psi
+        assert found[end].psi == pytest.approx(want, rel=1e-12) and found[end].rows == some.count()
