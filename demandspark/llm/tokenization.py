@@ -9,7 +9,7 @@ single word goes to the library's merge model directly, any other through the wh
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -19,6 +19,7 @@ from tokenizers import Tokenizer
 CACHE_PIECES = 450_000
 TEXTS_AT_ONCE = 250
 LONG_PIECE = 48
+TAILS = 4096
 
 # White space and marks other than one blank or one line feed between words; NUL serves as a mark below.
 _ODD = re.compile("[\0\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -27,28 +28,48 @@ _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 # A full stop or comma after anything but a letter or digit may belong to a longer run of marks.
 _MARKS = re.compile(r"[.,](?<![^\W_][.,])")
 
+# Letters and then marks, none of which is an apostrophe: contractions are pre-tokens too.
+_WORD_AND_MARKS = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-`{-~]{1,12})")
+
 # The alphabet of byte-level models: printable bytes stand for themselves, the others for characters from 256 on, in order.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_ALPHABET = {byte: chr(256 + n) for n, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 _BLANK = _BYTE_ALPHABET[0x20]
 
 
+class _Pieces(dict):
+    """Ids by piece; a piece that is not there is learned, and kept unless it is long."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.learn(piece)
+        if len(piece) <= LONG_PIECE:
+            self[piece] = ids
+        return ids
+
+
 class PieceTokenizer:
     """Ids of texts under one tokenizer definition (the JSON text of the tokenizers library).
 
-    Strings of special tokens in a text are ordinary text.  `drops_blanks` is true for a tokenizer whose pre-tokens hold
-    no white space at all.
+    As in the library, the string of a special token in a text is that token; with `plain_specials` it is ordinary text.
+    `drops_blanks` is true for a tokenizer whose pre-tokens hold no white space at all.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, plain_specials: bool = False):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_specials
+        # A text that may hold one of these, in any case, goes through the library whole.
+        self.specials = [] if plain_specials else [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.kind = np.dtype(self.code)
         self.drops_blanks = self.tokenizer.normalizer is not None
         self.lowers = "Lowercase" in str(self.tokenizer.normalizer)
-        self.young: dict[str, bytes] = {}
+        self.young = _Pieces(self._learn)
         self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}  # runs of marks that end a word: few, and short
 
     def pieces(self, text: str) -> list[str]:
         if _ODD.search(text) or any(pair in text for pair in _PAIRS) or text[:1] in ("", " ", "\n") or text[-1] in " \n":
@@ -65,7 +86,8 @@ class PieceTokenizer:
 
     def _word(self, piece: str) -> str | None:
         """What the model reads of a piece that is one pre-token of letters, in the byte alphabet; None for any other."""
-        letters = piece[1:] if piece[:1] == " " else piece
+        blank = piece[:1] == " "
+        letters = piece[1:] if blank else piece
         if not letters.isalpha() or len(piece) > LONG_PIECE:
             return None
         if not letters.isascii():
@@ -74,22 +96,34 @@ class PieceTokenizer:
             letters = letters.encode().decode("latin-1").translate(_BYTE_ALPHABET)
         elif self.lowers and not letters.islower():
             return None
-        return letters if self.drops_blanks or piece[0] != " " else _BLANK + letters
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        other, split = [], self.tokenizer.model.tokenize
-        for piece in pieces:
-            ids = self.old.get(piece)
-            if ids is None and (word := self._word(piece)) is not None:
-                ids = array(self.code, [token.id for token in split(word)]).tobytes()
-            if ids is None:
-                other.append(piece)
-            else:
-                self.young[piece] = ids
-        for start in range(0, len(other), 4096):
-            part = other[start : start + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.young[piece] = np.array(found.ids, self.kind).tobytes()
+        return _BLANK + letters if blank and not self.drops_blanks else letters
+
+    def _model_ids(self, word: str) -> bytes:
+        return array(self.code, [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
+
+    def _tail(self, marks: str) -> bytes:
+        ids = self.tails.get(marks)
+        if ids is None:
+            ids = np.array(self.tokenizer.encode(marks, add_special_tokens=False).ids, self.kind).tobytes()
+            if len(self.tails) < TAILS:
+                self.tails[marks] = ids
+        return ids
+
+    def _learn(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is not None:
+            return ids
+        word = self._word(piece)
+        if word is not None:
+            return self._model_ids(word)
+        cut = _WORD_AND_MARKS.fullmatch(piece)
+        if cut and (word := self._word(cut[1])) is not None:
+            return self._model_ids(word) + self._tail(cut[2])  # letters and marks are pre-tokens of their own
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _holds_special(self, text: str) -> bool:
+        lowered = text.lower()
+        return any(special in lowered for special in self.specials)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as unsigned integers of 16 or 32 bits."""
@@ -100,21 +134,19 @@ class PieceTokenizer:
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.young) > CACHE_PIECES:
-            self.old, self.young = self.young, {}
-        cut = [self.pieces(t) for t in texts]
-        new = set().union(*cut).difference(self.young)
-        self._learn(new)
-        get = self.young.__getitem__
-        encoded = [np.frombuffer(b"".join(map(get, parts)), self.kind) for parts in cut]
-        for piece in new:
-            if len(piece) > LONG_PIECE:
-                del self.young[piece]
+            self.old, self.young = self.young, _Pieces(self._learn)
+        get, encoded = self.young.__getitem__, []
+        for text in texts:
+            if self._holds_special(text):
+                encoded.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind))
+            else:
+                encoded.append(np.frombuffer(b"".join(map(get, self.pieces(text))), self.kind))
         return encoded
 
 
 @cache
-def _loaded(definition: str) -> PieceTokenizer:
-    return PieceTokenizer(definition)
+def _loaded(definition: str, plain_specials: bool) -> PieceTokenizer:
+    return PieceTokenizer(definition, plain_specials)
 
 
 class SharedTokenizer:
@@ -122,7 +154,8 @@ class SharedTokenizer:
 
     MAX_BYTES = 64 << 20
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, plain_specials: bool = False):
+        self.plain_specials = plain_specials
         with open(path, encoding="utf-8") as file:
             definition = file.read(self.MAX_BYTES + 1)
         if len(definition) > self.MAX_BYTES:
@@ -130,4 +163,4 @@ class SharedTokenizer:
         self.sent = spark.sparkContext.broadcast(definition)
 
     def get(self) -> PieceTokenizer:
-        return _loaded(self.sent.value)
+        return _loaded(self.sent.value, self.plain_specials)

@@ -16,9 +16,11 @@ ODD = [" ", "  ", "\n", "\n\n", "\t", "a", "B", "'s", "'", "1", "23", "e\u0301",
        "日本", "ß", "İ", "Σ", "\r\n", "\u200b", "x" * 60, "\x00", "\u0301", "ﬁ", "__", "½", "\u3000"]
 
 
-def plain(name):
+def plain(name, plain_specials=None):
+    """The library untouched, unless told to take special strings for text."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
+    if plain_specials is not None:
+        tokenizer.encode_special_tokens = plain_specials
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -33,6 +35,29 @@ def test_pieces_give_the_ids_of_whole_texts(name):
         assert [ids.tolist() for ids in cached.encode(texts)] == [whole(t) for t in texts]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_special_strings_follow_the_library(name):
+    texts = ["hello <|endoftext|> there", "<|endoftext|>", "a<|ENDOFTEXT|>b", "x <|startoftext|><|endoftext|>", "<|endoftext", "no special"]
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        definition = file.read()
+    for flag, whole in ((False, plain(name)), (True, plain(name, True))):
+        cached = PieceTokenizer(definition, plain_specials=flag)
+        assert [ids.tolist() for ids in cached.encode(texts)] == [whole(t) for t in texts]
+    assert plain(name)(texts[0]) != plain(name, True)(texts[0])
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_words_with_marks_match_whole_texts(name):
+    rng = random.Random(2)
+    marks = ["###", "!!", ".%%%", "&&&", "...", "'s", "n't", "'", ")", "_", "`", "-x", "$$$|", "?!" * 8, "…", "!'s"]
+    words = ["Word", "word", "Émentment", "straße", "İx", "é", "Zu", "ñandú", "can", "A"]
+    texts = [" ".join(rng.choice(words) + rng.choice(marks) for _ in range(rng.randint(1, 8))) for _ in range(3000)]
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        cached = PieceTokenizer(file.read())
+    whole = plain(name)
+    assert [ids.tolist() for ids in cached.encode(texts)] == [whole(t) for t in texts]
+
+
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr("demandspark.llm.tokenization.CACHE_PIECES", 50)
     with open(public_tokenizers.path(FILES[0]), encoding="utf-8") as file:
