@@ -51,6 +51,36 @@ def _widths(values: np.ndarray) -> np.ndarray:
     return np.frexp(values.astype(np.float64))[1].astype(np.int64)
 
 
+def _lanes(bits: int) -> Iterator[tuple[int, int, int]]:
+    """Of 64 values that fill `bits` words of 64 bits: each one's number, first word and place in it."""
+    for number in range(64):
+        yield number, *divmod(number * bits, 64)
+
+
+def _packed(values: np.ndarray, bits: int) -> np.ndarray:
+    """The low `bits` bits of each row's values, one after the other, as bytes; rows are multiples of 64 long."""
+    lanes = np.ascontiguousarray(values.reshape(-1, 64).T).astype(np.uint64) & np.uint64((1 << bits) - 1)
+    words = np.zeros((bits, lanes.shape[1]), np.uint64)
+    for number, word, place in _lanes(bits):
+        if bits:
+            words[word] |= lanes[number] << np.uint64(place)
+        if place + bits > 64:
+            words[word + 1] |= lanes[number] >> np.uint64(64 - place)
+    return np.ascontiguousarray(words.T).astype("<u8").view(np.uint8).reshape(len(values), values.shape[1] * bits // 8)
+
+
+def _unpacked(lines: np.ndarray, bits: int, size: int) -> np.ndarray:
+    """Rows of `size` values from what `_packed` made of them."""
+    words = np.ascontiguousarray(np.ascontiguousarray(lines).view("<u8").reshape(-1, bits).T).astype(np.uint64)
+    lanes = np.empty((64, words.shape[1]), np.uint64)
+    for number, word, place in _lanes(bits):
+        lanes[number] = words[word] >> np.uint64(place)
+        if place + bits > 64:
+            lanes[number] |= words[word + 1] << np.uint64(64 - place)
+    lanes &= np.uint64((1 << bits) - 1)
+    return np.ascontiguousarray(lanes.T).astype(np.uint32).reshape(len(lines), size)
+
+
 def encode(ids: np.ndarray, quantile: float = 0.9) -> bytes:
     """Header, block index and blocks of a sequence of ids below 2**32."""
     ids = np.ascontiguousarray(ids, "<u4")
@@ -69,11 +99,7 @@ def encode(ids: np.ndarray, quantile: float = 0.9) -> bytes:
     for bits in np.unique(width).tolist():
         rows = np.flatnonzero(width == bits)
         for some in np.array_split(rows, -(-len(rows) // 256)):
-            if bits:
-                flags = np.unpackbits(grid[some].view(np.uint8).reshape(len(some), BLOCK, 4), axis=2, bitorder="little")
-                lines = np.packbits(flags[:, :, :bits].reshape(len(some), -1), axis=1, bitorder="little")
-            else:
-                lines = np.zeros((len(some), 0), np.uint8)
+            lines = _packed(grid[some], bits)
             large = grid[some] >= (1 << bits)
             for row, line, mark in zip(some.tolist(), lines, large):
                 where = np.flatnonzero(mark)
@@ -102,10 +128,7 @@ def decode(data: bytes, begin: int = 0, end: int | None = None) -> np.ndarray:
     for bits in np.unique(fronts["width"]).tolist():
         rows = np.flatnonzero(fronts["width"] == bits)
         for some in np.array_split(rows, -(-len(rows) // 256)) if bits else ():
-            lines = raw[starts[some][:, None] + np.arange(size * bits // 8)]
-            flags = np.zeros((len(some), size, 32), np.uint8)
-            flags[:, :, :bits] = np.unpackbits(lines, axis=1, bitorder="little").reshape(len(some), size, bits)
-            out[some] = np.packbits(flags, axis=2, bitorder="little").view("<u4")[:, :, 0]
+            out[some] = _unpacked(raw[starts[some][:, None] + np.arange(size * bits // 8)], bits, size)
     for row in np.flatnonzero(fronts["exceptions"]).tolist():
         count, at = int(fronts["exceptions"][row]), int(starts[row]) + size * int(fronts["width"][row]) // 8
         where = np.frombuffer(data, "<u2", count, at)
