@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 450_000
+CACHE_PIECES = 600_000
 TEXTS_AT_ONCE = 250
 LONG_PIECE = 48
 TAILS = 4096
