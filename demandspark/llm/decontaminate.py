@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import materialise, records, text_bytes
@@ -20,7 +20,7 @@ from demandspark.llm.common import materialise, records, text_bytes
 WINDOW = 10
 SHARD_WORDS = 1 << 19
 BLOCK_WORDS = 1 << 20
-PIECE_WORDS = 1 << 14
+PIECE_WORDS = BLOCK_WORDS
 
 # Every byte that is no letter, digit or part of a longer UTF-8 character becomes a blank; A-Z become a-z.
 _FOLD = bytes(
@@ -35,11 +35,11 @@ def words_of(text: bytes) -> list[bytes]:
 class Index:
     """Suffixes of one block of items in word ids."""
 
-    def __init__(self, block: list[tuple[int, list[bytes]]], window: int):
+    def __init__(self, block: list[tuple[int | None, list[bytes]]], window: int):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         ids: list[int] = []
-        self.items = np.array([item for item, _ in block], np.int64)
+        self.items = [item for item, _ in block]  # None for an item without an id
         owner, left, depth = [], [], []
         for number, (_, words) in enumerate(block):
             size = min(window, len(words))
@@ -171,6 +171,7 @@ def search_shard(index: Index, ids: np.ndarray, inner: int) -> tuple[np.ndarray,
 RESULT = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("mark", pa.int64()),
         ("n_words", pa.int64()),
         ("n_hit", pa.int64()),
         ("items", pa.list_(pa.int64())),
@@ -180,7 +181,7 @@ RESULT = pa.schema(
     ]
 )
 RESULT_COLUMNS = (
-    "doc_id bigint, n_words bigint, n_hit bigint, items array<bigint>, longest bigint, longest_item bigint,"
+    "doc_id bigint, mark bigint, n_words bigint, n_hit bigint, items array<bigint>, longest bigint, longest_item bigint,"
     " longest_place bigint"
 )
 COVERED = pa.field("covered", pa.binary())
@@ -209,8 +210,9 @@ def _search(index: Index, lengths: np.ndarray, ids: np.ndarray, covered: np.ndar
     top = order[np.flatnonzero(np.r_[True, doc[order][1:] != doc[order][:-1]])] if len(order) else order
     best: list[tuple] = [(0, None, None)] * len(lengths)
     for t in top.tolist():
-        best[doc[t]] = (int(length[t]), int(index.items[index.owner[place[t]]]), int(spot[t] - starts[doc[t]]))
-    return {"items": [sorted({int(index.items[i]) for i in set(found)}) for found in items], "best": best}
+        best[doc[t]] = (int(length[t]), index.items[index.owner[place[t]]], int(spot[t] - starts[doc[t]]))
+    named = [sorted({index.items[i] for i in set(found)} - {None}) for found in items]
+    return {"items": named, "best": best}
 
 
 def _hits(docs: DataFrame, index, last: bool) -> DataFrame:
@@ -240,9 +242,9 @@ def _hits(docs: DataFrame, index, last: bool) -> DataFrame:
                 mine = covered[at : at + len(words)]
                 at += len(words) + 1
                 before = row.get("items") or []
-                if (row.get("longest") or 0) >= best[0] and before:
+                if (row.get("longest") or 0) >= best[0] and row.get("n_hit"):
                     best = (row["longest"], row["longest_item"], row["longest_place"])
-                values = (row["doc_id"], len(words), int(mine.sum()), sorted({*before, *items}), *best)
+                values = (row["doc_id"], row["mark"], len(words), int(mine.sum()), sorted({*before, *items}), *best)
                 for name, value in zip(columns, values):
                     out[name].append(value)
                 if not last:
@@ -267,10 +269,10 @@ def _hits(docs: DataFrame, index, last: bool) -> DataFrame:
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int) -> Iterator[Index]:
     """The items in blocks of about `block_words` words; a longer item is cut into pieces that share window - 1 words."""
-    held: list[tuple[int, list[bytes]]] = []
+    held: list[tuple[int | None, list[bytes]]] = []
     count = 0
     plain = benchmark.select(F.col(item_id).cast("bigint").alias("item_id"), text_bytes(text).alias("text"))
-    for row in plain.filter(F.col("item_id").isNotNull()).toLocalIterator():
+    for row in plain.toLocalIterator():
         words = words_of(bytes(row.text))
         for begin in range(0, max(1, len(words) - window + 1), PIECE_WORDS):
             piece = words[begin : begin + PIECE_WORDS + window - 1]
@@ -293,15 +295,17 @@ def benchmark_hits(
     item_text: str = "text",
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, items, longest, longest_item, longest_place of every row.
+    """doc_id, mark, n_words, n_hit, items, longest, longest_item, longest_place of every row.
 
     A word is hit if it lies in an occurrence of `window` consecutive words of an item (or of a whole shorter item).
     `longest` is the longest verbatim match of the hits in words, 0 without one; its item is the one that the
     look-up met first, and its place counts words from 0.  NULL and empty texts have no words and no hits; rows that
-    repeat a doc_id each get a row; a NULL doc_id stays NULL.  Items without an id or without words never occur.  Other
-    columns are ignored.  An empty table of documents gives an empty result, an empty benchmark no hits.
+    repeat a doc_id each get a row; a NULL doc_id stays NULL.  An item without an id hits words like any other, and no list
+    names it; items without words never occur.  `mark` is a hash of the text.  Items of more than `PIECE_WORDS` words are cut into
+    pieces that share window - 1 words, and `longest` ends with the piece.  Other columns are ignored.  An empty table of
+    documents gives an empty result, an empty benchmark no hits.
     """
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_bytes(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), _mark(text).alias("mark"), text_bytes(text).alias("text"))
     indexes = _blocks(benchmark, item_id, item_text, window, block_words)
     index = next(indexes)
     for following in indexes:
@@ -328,10 +332,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     )
 
 
+def _mark(text: str) -> Column:
+    return F.xxhash64(F.lit("mark"), F.col(text))
+
+
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Documents in which no benchmark window occurs.
+    """Documents in which no benchmark window occurs, each row judged by its own text.
 
-    Rows that repeat a doc_id go together if one of them is affected.  A row without doc_id stays.
+    A row is found again by two 64-bit hashes of its text and never by its id, which may be NULL or shared with other texts.  Rows
+    with equal texts stay or go together.
     """
-    affected = materialise(benchmark_hits(docs, benchmark, window).filter("n_hit > 0").select("doc_id"), "affected")
-    return docs.join(affected.filter(F.col("doc_id").isNotNull()).distinct(), "doc_id", "left_anti").select(*docs.columns)
+    columns = docs.columns
+    named = docs.select(F.struct(*columns).alias("row"), F.col("text").alias("body"))
+    named = named.withColumns({"hash": F.xxhash64("body"), "mark": _mark("body")})
+    found = benchmark_hits(named, benchmark, window, doc_id="hash", text="body").filter("n_hit > 0")
+    affected = materialise(found.select(F.col("doc_id").alias("hash"), "mark").distinct(), "affected")
+    return named.join(affected, ["hash", "mark"], "left_anti").select("row.*")

@@ -5,7 +5,7 @@ piece).  Pieces go in order of falling length.  Among the open bins with room in
 with the best score: the largest weighted dot product of request and residual, or the smallest weighted norm
 of what would be left.  Without such a bin a new one opens.
 
-Pieces that fill a sequence alone need no search.  The others are dealt by a hash into groups of about `group_pieces`,
+Pieces that fill a sequence alone need no search.  The others are dealt by a hash of their row number into groups of about `group_pieces`,
 so any number of pieces is packed in parallel; what the split costs is the last, partly filled bins of each group.
 """
 
@@ -107,7 +107,7 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
 
 
 def pack(cut: DataFrame, capacity: Capacity, group_pieces: int = 4096) -> DataFrame:
-    """Pieces with sequence_id and offset; `cut` has the columns of `pieces`.
+    """Pieces with sequence_id and offset; `cut` has the columns of `pieces` and is a written table, whose rows keep their order.
 
     Repeated pieces are packed once per row.  Without pieces the result is empty.
     """
@@ -125,7 +125,8 @@ def pack(cut: DataFrame, capacity: Capacity, group_pieces: int = 4096) -> DataFr
 
     total = cut.count()
     lots = max(1, round(total / group_pieces))
-    dealt = cut.withColumn("lot", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(lots)))
+    # By the row's number in the written pieces: rows that agree in everything are spread like any others.
+    dealt = cut.withColumn("lot", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(lots)))
     ordered = dealt.repartition("lot").sortWithinPartitions("lot", F.desc("length"), "doc_id", "piece")
     return ordered.mapInArrow(run, PIECE_COLUMNS + ", sequence_id bigint, offset bigint")
 

@@ -20,7 +20,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import materialise, records, text_bytes, whole_groups
@@ -28,7 +28,6 @@ from demandspark.llm.components import components
 
 SEED = 42
 FAN_OUT = 8
-FINGERPRINTS = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64())])
 LINKS = pa.schema([("first", pa.int64()), ("second", pa.int64())])
 
 
@@ -49,16 +48,19 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fingerprint) of every row; the fingerprint is the signed form of the 64 bits."""
+def fingerprints(docs: DataFrame, shingle: int, doc_id: str = "doc_id", text: str = "text", keep: str | None = None) -> DataFrame:
+    """(doc_id, fingerprint) of every row, or (keep, fingerprint); the fingerprint is the signed form of the 64 bits."""
+    name = F.col(keep) if keep else F.col(doc_id).cast("bigint").alias("doc_id")
+    plain = docs.select(name, text_bytes(text).alias("text"))
+    kind = plain.schema[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], schema=FINGERPRINTS)
+            fields = [batch.schema.field(0), pa.field("fingerprint", pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], schema=pa.schema(fields))
 
-    plain = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_bytes(text).alias("text"))
-    return plain.mapInArrow(run, "doc_id bigint, fingerprint bigint")
+    return plain.mapInArrow(run, f"{kind.name} {kind.dataType.simpleString()}, fingerprint bigint")
 
 
 # --- the index under the top nodes --------------------------------------------------------------
@@ -213,6 +215,14 @@ def links(prints: DataFrame, distance: int, group_limit: int = 1024) -> DataFram
     return whole
 
 
+def _rooted(prints: DataFrame, distance: int, rank: Column) -> DataFrame:
+    """(fingerprint, root, first): the root of each fingerprint's component, and the smallest `rank` of the fingerprint's rows."""
+    owners = materialise(prints.groupBy("fingerprint").agg(F.min(rank).alias("first")), "simhash-owners")
+    roots = components(links(owners, distance), "first", "second", "simhash-links")
+    joined = owners.join(roots, owners.fingerprint == roots.node, "left")
+    return joined.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), owners["first"])
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, distance: int = 2, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -224,12 +234,8 @@ def near_duplicates(
     empty result.
     """
     prints = materialise(fingerprints(docs, shingle, doc_id, text), "simhash-prints")
-    owners = materialise(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "simhash-owners")
-    roots = components(links(owners, distance), "first", "second", "simhash-links")
-    rooted = owners.join(roots, owners.fingerprint == roots.node, "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = _rooted(prints, distance, F.col("doc_id"))
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     members = rooted.join(smallest, "root").select("fingerprint", "component_id")
     return prints.join(members, "fingerprint").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
@@ -237,17 +243,26 @@ def near_duplicates(
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """Documents without the near-duplicates of an earlier one: the smallest doc_id of each component stays.
+    """One document of each near-duplicate component: the one with the smallest doc_id, NULL last, then by a hash of the text.
 
-    Where several rows share that doc_id, one of them stays.  Rows without a doc_id stay.
+    A document is known by its doc_id and two 64-bit hashes of its text, so different texts that share a doc_id, or have
+    none, are documents of their own.  Of rows that agree in all three, one stays.
     """
-    found = near_duplicates(docs, shingle, distance)
-    ahead = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    ahead = materialise(ahead, "simhash-kept")
+    columns = docs.columns
+    name = [F.col("doc_id").isNull().alias("unnamed"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("id")]
+    hashes = [F.xxhash64("text").alias("hash"), F.xxhash64(F.lit("mark"), F.col("text")).alias("mark")]
+    named = docs.select(F.struct(*columns).alias("row"), F.struct(*name, *hashes).alias("name"), F.col("text").alias("body"))
+    printed = fingerprints(named.select("name", "body"), shingle, "name", "body", keep="name")
+    prints = materialise(printed, "simhash-prints")
+    rooted = _rooted(prints, distance, F.col("name"))
+    ahead = rooted.groupBy("root").agg(F.min("first").alias("name")).select("name.*")
+    found = materialise(ahead, "simhash-kept")
+    repeated = prints.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name.*")
+    again = materialise(repeated.join(found, ["unnamed", "id", "hash", "mark"], "left_semi"), "simhash-again")
     # As many ids stay as documents do, so they are never a side to broadcast; hashed by partition, they spare the
     # texts a sort.
-    kept = docs.join(ahead.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
-    if not ahead.filter("n > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    unnamed = docs.filter(F.col("doc_id").isNull())
-    return kept.select(*docs.columns).unionByName(unnamed)
+    keyed = named.select("row", "name.*")
+    kept = keyed.join(found.hint("shuffle_hash"), ["unnamed", "id", "hash", "mark"], "left_semi")
+    if not again.isEmpty():
+        kept = kept.dropDuplicates(["unnamed", "id", "hash", "mark"])
+    return kept.select("row.*")

@@ -93,12 +93,33 @@ def test_awkward_rows_and_clashing_columns(spark):
 
 
 def test_affected_documents_go_and_the_rest_stays(spark):
+    """By text, not by id: one of two texts that share an id goes, and so do texts without an id."""
     passage = " ".join(samples.prose(2, 120).split()[20:45])
-    bench = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
-    docs = samples.documents(spark)
+    bench = spark.createDataFrame([(1, passage), (None, samples.prose(5, 30))], "item_id bigint, text string")
+    more = [(4, passage, "en", "z", 1), (None, passage, "en", "z", 1), (77, "a " + samples.prose(5, 30), "en", "z", 1), (4, "clean", "en", "z", 1)]
+    docs = samples.documents(spark, samples.awkward() + more, clashing=True)
     kept = decontaminate.remove_contaminated(docs, bench)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([3, 4, 5, 6, 6, 7, 8, 9, None, None], key=repr)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    want = [(r[0], r[1]) for r in samples.awkward() if r[0] not in (0, 1, 2, -5)] + [(4, "clean")]
+    assert got == sorted(want, key=repr)
+
+
+def test_items_without_an_id_hit_words(spark):
+    text = " ".join(f"w{i}" for i in range(12))
+    bench = spark.createDataFrame([(None, text), (3, "other words")], "item_id bigint, text string")
+    rows = [(1, text + " z", "en", "s", 1), (2, "z", "en", "s", 1), (3, text + " other words", "en", "s", 1)]
+    got = {r.doc_id: r for r in decontaminate.contamination(samples.documents(spark, rows), bench).collect()}
+    assert [(got[i].n_hit, got[i].n_items, got[i].contaminated) for i in (1, 2, 3)] == [(12, 0, True), (0, 0, False), (14, 1, True)]
+    assert got[1].longest == 12 and got[1].longest_item is None
+
+
+def test_longest_match_of_a_long_item_is_whole(spark):
+    text = " ".join(f"w{i}" for i in range(40000))
+    bench = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    rows = [(1, "x " + text, "en", "s", 1)]
+    row = decontaminate.contamination(samples.documents(spark, rows), bench).first()
+    assert (row.n_hit, row.longest, row.longest_place) == (40000, 40000, 1)
 
 
 def test_empty_tables(spark):
