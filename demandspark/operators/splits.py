@@ -18,23 +18,27 @@ def split_label(date: Column, last_date: Column, validation_days: int, test_days
     )
 
 
-def time_slice(df: DataFrame, name: str, validation_days: int = 21, test_days: int = 21) -> DataFrame:
-    """Rows of one split, as a plain date range, so that the scan can skip the other files and row groups."""
-    require_columns(df, ["date"], "feature table")
+def slice_bounds(last: DataFrame, name: str, validation_days: int = 21, test_days: int = 21) -> tuple[Column | None, Column | None]:
+    """First date of a split and the date after its last one, None where it is open; `last` is a one-row table of `last_date`."""
     if name not in ("train", "validation", "test"):
         raise ValueError(f"there is no split called {name}")
     if validation_days < 1 or test_days < 1:
         raise ValueError("a split needs at least one validation day and one test day")
-    date = F.col("date")
-    last = df.agg(F.max("date"))
-    test_start = last.select(F.date_sub("max(date)", test_days - 1)).scalar()
-    validation_start = last.select(F.date_sub("max(date)", test_days - 1 + validation_days)).scalar()
-    wanted = {
-        "train": date < validation_start,
-        "validation": (date >= validation_start) & (date < test_start),
-        "test": date >= test_start,
-    }
-    return df.filter(wanted[name])
+    test_start = last.select(F.date_sub("last_date", test_days - 1).alias("day")).scalar()
+    validation_start = last.select(F.date_sub("last_date", test_days - 1 + validation_days).alias("day")).scalar()
+    return {"train": (None, validation_start), "validation": (validation_start, test_start), "test": (test_start, None)}[name]
+
+
+def time_slice(df: DataFrame, name: str, validation_days: int = 21, test_days: int = 21) -> DataFrame:
+    """Rows of one split, as a plain date range, so that the scan can skip the other files and row groups.
+
+    The last date is looked up in the rows; `sources.dated.read_slice` has it from a manifest instead.
+    """
+    require_columns(df, ["date"], "feature table")
+    low, high = slice_bounds(df.agg(F.max("date").alias("last_date")), name, validation_days, test_days)
+    if low is not None:
+        df = df.filter(F.col("date") >= low)
+    return df if high is None else df.filter(F.col("date") < high)
 
 
 def time_split(df: DataFrame, validation_days: int = 21, test_days: int = 21, strict: bool = False) -> DataFrame:

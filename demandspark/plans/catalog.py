@@ -34,7 +34,7 @@ from demandspark.schemas import (
     KEY_COLUMNS,
     SERIES_COLUMNS,
 )
-from demandspark.sources import demand, writers
+from demandspark.sources import commits, dated, demand, writers
 from demandspark.streaming.scoring import score_stream as score_records_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -552,6 +552,37 @@ def log_round_trip(spark, sf_dir):
     return writers.read_predictions(spark, path).select(*KEY, *MODEL, "predicted_units", "actual_units")
 
 
+@query
+def dated_slice(spark, sf_dir):
+    """The test slice of a feature table in month partitions, of which the last month was written a second time."""
+    path = tables.new_path(spark, "dated")
+    rows = tables.features(spark, sf_dir)
+    dated.write_dated(rows, path)
+    last = dated.read_manifest(spark, path).agg(F.date_trunc("month", F.max("max_date")).cast("date").alias("day")).scalar()
+    dated.write_dated(rows.filter(F.col("date") >= last), path)
+    return dated.read_slice(spark, path, "test", tables.VALIDATION_DAYS, tables.TEST_DAYS).select(*KEY, "units_sold", "lag_1_units")
+
+
+@query
+def dated_manifest(spark, sf_dir):
+    path = tables.new_path(spark, "dated")
+    dated.write_dated(tables.silver(spark, sf_dir), path)
+    return dated.read_manifest(spark, path)
+
+
+@query
+def committed_log(spark, sf_dir):
+    """The prediction log appended in two batches, one of them twice, beside a write that failed before its commit."""
+    path = tables.new_path(spark, "committed_log")
+    scores = tables.naive_scores(spark, sf_dir)
+    early = F.col("date") < F.lit("1995-01-01").cast("date")
+    commits.append(scores.filter(early), path, "until 1994")
+    commits.write_attempt(scores, path)  # nobody commits this one
+    commits.append(scores.filter(early), path, "until 1994")
+    commits.append(scores.filter(~early), path, "from 1995")
+    return commits.read(spark, path, scores.schema).select(*KEY, *MODEL, "predicted_units", "actual_units")
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     """Raw demand as CSV files, scanned by the contract reader."""
@@ -730,6 +761,31 @@ def model_versions(spark, sf_dir):
     return _versions(spark, sf_dir)
 
 
+def _stored_versions(spark, sf_dir) -> DataFrame:
+    """The version records appended to a store one by one, each twice, and read back."""
+    path = tables.new_path(spark, "versions")
+    versions = _versions(spark, sf_dir)
+    for version in VERSIONS:
+        for _ in range(2):
+            commits.append(versions.filter(F.col("version") == version), path, version)
+    return commits.read(spark, path, versions.schema)
+
+
+@query
+def stored_versions(spark, sf_dir):
+    return _stored_versions(spark, sf_dir)
+
+
+@query
+def stored_champion_scores(spark, sf_dir):
+    """From the gate through the stored records to the champion's scores."""
+    champion = governance.require_champion(_stored_versions(spark, sf_dir))
+    store = tables.column_store(spark, sf_dir, VERSIONS)
+    return scoring.champion_scores(tables.features(spark, sf_dir), champion, store).select(
+        *KEY, *MODEL, "predicted_units", "actual_units", "prediction_lower", "prediction_upper"
+    )
+
+
 @query
 def current_champion(spark, sf_dir):
     return governance.current_champion(_versions(spark, sf_dir))

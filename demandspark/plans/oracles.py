@@ -920,3 +920,15 @@ oracle(
         "held_folds AS (SELECT avg(mae) AS mean_mae, avg(wape) AS mean_wape, stddev_pop(mae) AS mae_std FROM fold_metrics)",
     ),
 )
+
+# --- stored tables
+ORACLES["committed_log"] = ORACLES["log_round_trip"]
+ORACLES["stored_versions"] = ORACLES["model_versions"]
+ORACLES["stored_champion_scores"] = ORACLES["champion_scores"]
+oracle("dated_slice", f"SELECT {KEYS}, units_sold, lag_1_units FROM split WHERE split = 'test'", GOLD)
+oracle(
+    "dated_manifest",
+    f"SELECT strftime(date, '%Y-%m') AS date_bucket, {day('min(date)', 'min_date')}, {day('max(date)', 'max_date')}, count(*) AS rows "
+    "FROM silver GROUP BY strftime(date, '%Y-%m')",
+    LAYERS,
+)
