@@ -439,6 +439,19 @@ oracle(
   ON sku_id = sku AND date = day""",
     LAYERS,
 )
+oracle(
+    "features_by_batches",
+    f"""SELECT {day('series.date', 'date')}, series.store_id AS store_id, series.sku_id AS sku_id, lag_1_units, lag_7_units, lag_14_units,
+  {nums('rolling_7_mean_units', 'rolling_14_mean_units', 'rolling_28_mean_units', 'rolling_7_std_units', 'rolling_14_std_units')},
+  {num('rolling_7_mean_units - rolling_28_mean_units', 'rolling_mean_delta_7_28')}, {num('sku_avg_units')},
+  {num('history.store_avg_units', 'store_avg_units')}, {num('price - total / n', 'price_vs_sku_avg')}
+FROM series LEFT JOIN history ON history.store_id = series.store_id AND history.date = series.date LEFT JOIN
+  (SELECT sku_id AS sku, date AS day, sum(s) OVER w AS total, sum(c) OVER w AS n
+   FROM (SELECT sku_id, date, sum(price) AS s, count(price) AS c FROM silver GROUP BY sku_id, date)
+   WINDOW w AS (PARTITION BY sku_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  ON series.sku_id = sku AND series.date = day""",
+    (*LAYERS, FEATURES),
+)
 oracle("interaction_features", f"SELECT {KEYS}, {num('promotion * price', 'promotion_price')} FROM silver", LAYERS)
 oracle("expanding_sku_mean", f"SELECT {KEYS}, {num('sku_avg_units')} FROM series", (*LAYERS, FEATURES))
 oracle("store_daily_mean", f"SELECT store_id, {day()}, {num('store_day_units')} FROM daily", (*LAYERS, FEATURES))
