@@ -36,6 +36,7 @@ from demandspark.schemas import (
     SERIES_COLUMNS,
 )
 from demandspark.sources import commits, dated, demand, writers
+from demandspark.streaming import quality as log_quality
 from demandspark.streaming.scoring import score_stream as score_records_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -632,6 +633,20 @@ def rolling_quality(spark, sf_dir):
     return quality.rolling_quality(tables.forecasts(spark, sf_dir), 50, KEY, MODEL)
 
 
+@query
+def quality_stream(spark, sf_dir):
+    """Quality per model and 28 days of event time, by a stream over the files of the prediction log that then ends."""
+    log = tables.prediction_log(spark, sf_dir)
+    columns = [*MODEL, "date", "actual_units", "predicted_units", *quality.BOUNDS]
+    source, path = tables.new_path(spark, "log_stream"), tables.new_path(spark, "window_quality")
+    narrow = log.select(*columns)
+    narrow.write.parquet(source)
+    log_quality.closing_row(spark, narrow.schema).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(narrow.schema).parquet(source)
+    log_quality.quality_stream(stream, path, tables.new_path(spark, "stream_checkpoint")).awaitTermination()
+    return spark.read.schema(log_quality.window_quality(narrow).schema).parquet(path)
+
+
 @query
 def row_positions(spark, sf_dir):
     """Position of every raw row by one column, its line number over the whole table."""

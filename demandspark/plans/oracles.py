@@ -945,3 +945,13 @@ oracle(
     "FROM silver GROUP BY strftime(date, '%Y-%m')",
     LAYERS,
 )
+oracle(
+    "quality_stream",
+    f"""SELECT model_version, {day('start', 'window_start')}, {day('start + 28', 'window_end')}, count(*) AS rows,
+  {num('avg(abs(predicted_units - actual_units))', 'mae')},
+  {num('CASE WHEN sum(abs(actual_units)) > 0 THEN sum(abs(predicted_units - actual_units)) / sum(abs(actual_units)) ELSE 0 END', 'wape')},
+  {num('avg(predicted_units - actual_units)', 'bias')},
+  {num('avg(CASE WHEN actual_units BETWEEN prediction_lower AND prediction_upper THEN 1e0 ELSE 0e0 END)', 'observed_coverage')}
+FROM (SELECT *, (date - cast((date - DATE '1970-01-01') % 28 AS int))::date AS start FROM log) GROUP BY model_version, start""",
+    SCORED,
+)
