@@ -242,6 +242,31 @@ def op5_suffix_dedup(spark, sf_dir):
     return suffixes.removal_report(table(spark, sf_dir, "documents"), size=100)
 
 
+# Bytes as pairs of hex digits; long texts in pieces that share 99 bytes, so that no window is cut out of a whole text.
+ORACLES["op5_suffix_dedup"] = """
+WITH docs AS (SELECT doc_id, h, length(h) // 2 AS n FROM (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents)),
+chunks AS (
+    SELECT doc_id, n, base, substr(h, 2 * base + 1, 2 * 599) AS piece
+    FROM (SELECT *, unnest(range(0, greatest(n - 99, 0), 500)) AS base FROM docs)),
+windows AS (
+    SELECT doc_id, base + i AS start, md5_number(substr(piece, 2 * i + 1, 200)) AS w
+    FROM (SELECT *, unnest(range(least(500, n - 99 - base))) AS i FROM chunks)),
+repeats AS (
+    SELECT doc_id, start FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, start) > 1),
+marked AS (SELECT *, start > 100 + lag(start) OVER (PARTITION BY doc_id ORDER BY start) AS apart FROM repeats),
+numbered AS (SELECT *, count(*) FILTER (apart) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM marked),
+runs AS (SELECT doc_id, min(start) AS a, max(start) + 100 AS b FROM numbered GROUP BY doc_id, run),
+edges AS (
+    SELECT doc_id, a, b FROM runs UNION ALL SELECT doc_id, n, n FROM docs),
+kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a, b) AS body
+    FROM (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS since FROM edges) JOIN docs USING (doc_id)
+    GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, n - length(body) // 2 AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(body)) AS kept_sha256
+FROM docs JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS spans FROM runs GROUP BY doc_id) USING (doc_id)
+"""
+
+
 @query
 def op6_quality_classifier(spark, sf_dir):
     return classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
