@@ -74,14 +74,16 @@ def _share(
 
 
 def release(spark: SparkSession) -> None:
-    """Forget the shared tables and delete their files, so that the next query builds them again."""
-    jvm = spark.sparkContext._jvm
-    for key in [k for k in _shared if k[0] == spark.sparkContext.applicationId]:
+    """Forget the shared tables, models and stores, and delete all that this session wrote to the shared folder."""
+    session = spark.sparkContext.applicationId
+    for key in [k for k in _shared if k[0] == session]:
         _shared.pop(key).unpersist()
-        path = _paths.pop(key, None)
-        if path is not None:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    for key in [k for k in _paths if k[0] == session]:
+        del _paths[key]
+    folder = _folder(spark)
+    if folder is not None:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/demandspark/{session}")
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def by_date(table: DataFrame) -> DataFrame:

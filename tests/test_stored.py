@@ -107,3 +107,13 @@ def test_an_unfinished_commit_file_is_not_read(spark, tmp_path):
     place, system = commits._place(spark, commits._commit_path(path, "b"))
     system.create(place, False).close()
     assert commits.read(spark, path, schema).count() == 3
+
+
+def test_release_deletes_what_the_session_wrote(spark):
+    from demandspark.plans import tables
+
+    path = tables.new_path(spark, "anything")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    tables.release(spark)
+    assert not os.path.exists(path)
