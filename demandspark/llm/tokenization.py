@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 600_000
 TEXTS_AT_ONCE = 250
 LONG_PIECE = 48
 TAILS = 4096
@@ -58,7 +58,8 @@ class PieceTokenizer:
     `drops_blanks` is true for a tokenizer whose pre-tokens hold no white space at all.
     """
 
-    def __init__(self, definition: str, plain_specials: bool = False):
+    def __init__(self, definition: str, plain_specials: bool = False, cache_pieces: int | None = None):
+        self.cache_pieces = CACHE_PIECES if cache_pieces is None else cache_pieces
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = plain_specials
         # A text that may hold one of these, in any case, goes through the library whole.
@@ -133,7 +134,7 @@ class PieceTokenizer:
         return encoded
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.young) > CACHE_PIECES:
+        if len(self.young) > self.cache_pieces:
             self.old, self.young = self.young, _Pieces(self._learn)
         get, encoded = self.young.__getitem__, []
         for text in texts:
@@ -145,8 +146,8 @@ class PieceTokenizer:
 
 
 @cache
-def _loaded(definition: str, plain_specials: bool) -> PieceTokenizer:
-    return PieceTokenizer(definition, plain_specials)
+def _loaded(definition: str, plain_specials: bool, cache_pieces: int | None) -> PieceTokenizer:
+    return PieceTokenizer(definition, plain_specials, cache_pieces)
 
 
 class SharedTokenizer:
@@ -154,8 +155,8 @@ class SharedTokenizer:
 
     MAX_BYTES = 64 << 20
 
-    def __init__(self, spark: SparkSession, path: str, plain_specials: bool = False):
-        self.plain_specials = plain_specials
+    def __init__(self, spark: SparkSession, path: str, plain_specials: bool = False, cache_pieces: int | None = None):
+        self.plain_specials, self.cache_pieces = plain_specials, cache_pieces
         with open(path, encoding="utf-8") as file:
             definition = file.read(self.MAX_BYTES + 1)
         if len(definition) > self.MAX_BYTES:
@@ -163,4 +164,4 @@ class SharedTokenizer:
         self.sent = spark.sparkContext.broadcast(definition)
 
     def get(self) -> PieceTokenizer:
-        return _loaded(self.sent.value, self.plain_specials)
+        return _loaded(self.sent.value, self.plain_specials, self.cache_pieces)
