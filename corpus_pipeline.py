@@ -18,6 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SEQUENCE_TOKENS = 2048
+CACHE_PIECES = 450_000  # a worker of the last stage has the memory of the stages before it
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequence and place."""
     bound_batches(spark)
-    tokenizer = SharedTokenizer(spark, TOKENIZER)
+    tokenizer = SharedTokenizer(spark, TOKENIZER, cache_pieces=CACHE_PIECES)
     return packing.pack_documents(docs, tokenizer, packing.Capacity(tokens=SEQUENCE_TOKENS))
 
 
