@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandspark.functions import errors
 from demandspark.functions.guards import ensure, group_window, is_finite, join_on, require_columns
+from demandspark.functions.storage import allow_checkpoints
 from demandspark.operators.metrics import checked_aggregate
 
 BOUNDS = ("prediction_lower", "prediction_upper")
@@ -147,6 +148,7 @@ def _ranged_index(df: DataFrame, order: str, by: list[str], name: str) -> DataFr
 
     The sorted ranges are checkpointed, so that both steps see the same ones even if an executor is lost.
     """
+    allow_checkpoints(df.sparkSession)
     place = F.monotonically_increasing_id()  # range number in the upper bits, place in it in the lower 33
     dealt = df.repartitionByRange(*by, F.col(order).asc_nulls_last()).sortWithinPartitions(*by, F.col(order).asc_nulls_last())
     dealt = dealt.withColumn("__place", place).withColumn("__range", F.shiftright("__place", 33)).checkpoint()

@@ -35,7 +35,7 @@ from demandspark.schemas import (
     KEY_COLUMNS,
     SERIES_COLUMNS,
 )
-from demandspark.sources import commits, dated, demand, writers
+from demandspark.sources import arrivals, commits, dated, demand, writers
 from demandspark.streaming import quality as log_quality
 from demandspark.streaming.scoring import score_stream as score_records_stream
 
@@ -46,6 +46,8 @@ KEY = list(KEY_COLUMNS)
 MODEL = ["model_version"]
 
 ROUNDING_SHIFT = 1e-9
+ARRIVAL_BATCHES = 3
+BRONZE_BUCKETS = 8
 
 # What `operators.incremental` keeps up to date.
 INCREMENTAL_COLUMNS = [
@@ -106,6 +108,18 @@ def bronze_dedup(spark, sf_dir):
     return tables.bronze(spark, sf_dir)
 
 
+@query
+def bronze_arrivals(spark, sf_dir):
+    """Bronze of batches in ingest order, each of which brings the rows of the batch before it once more."""
+    name = tables.new_bronze(spark, BRONZE_BUCKETS)
+    raw = tables.raw(spark, sf_dir)
+    last = raw.agg(F.max("l_orderkey")).scalar()
+    number = F.floor(F.col("l_orderkey") * ARRIVAL_BATCHES / (last + 1))
+    for batch in range(ARRIVAL_BATCHES):
+        arrivals.take_in(raw.filter(number.between(batch - 1, batch)), name, demand.INGEST_ORDER)
+    return arrivals.read_bronze(spark, name)
+
+
 @query
 def bronze_sorted(spark, sf_dir):
     return layers.sort_bronze(tables.bronze(spark, sf_dir))

@@ -387,6 +387,7 @@ RAW_OUT = f"{day()}, store_id, sku_id, category, {nums('price')}, cast(promotion
 CALENDAR_OUT = "cast(is_weekend AS bigint) AS is_weekend, cast(day_of_week AS bigint) AS day_of_week, cast(month AS bigint) AS month, cast(week_of_year AS bigint) AS week_of_year"
 oracle("raw_scan", f"SELECT {RAW_OUT} FROM raw", (RAW,))
 oracle("bronze_dedup", f"SELECT {RAW_OUT} FROM bronze", (RAW, BRONZE))
+oracle("bronze_arrivals", f"SELECT {RAW_OUT} FROM bronze", (RAW, BRONZE))
 oracle("bronze_sorted", f"SELECT {RAW_OUT} FROM bronze ORDER BY 1, 2, 3", (RAW, BRONZE))
 COPIES = (
     "SELECT count(*) AS rows, sum(copies) - count(*) AS removed "

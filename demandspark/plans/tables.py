@@ -7,17 +7,16 @@ lost executors.  Where the setting is absent, a local session uses a temporary f
 session persists the table instead.
 """
 
-import tempfile
 from collections.abc import Callable, Mapping, Sequence
-from functools import cache
 from uuid import uuid4
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandspark.functions.storage import shared_folder as _folder
 from demandspark.operators import conformal, cube, features as feature_ops, layers, models, profiles, scoring, splits
-from demandspark.sources import demand
+from demandspark.sources import arrivals, demand
 from demandspark.sources.writers import write_table
 
 VALIDATION_DAYS = 21
@@ -30,19 +29,7 @@ MODELS = {"naive": "rolling_7_mean_units", "lag_7": "lag_7_units"}
 
 _shared: dict[tuple[str, str, str], DataFrame] = {}
 _paths: dict[tuple[str, str, str], str] = {}
-
-
-@cache
-def _local_folder() -> tempfile.TemporaryDirectory:
-    return tempfile.TemporaryDirectory(prefix="demandspark-")
-
-
-def _folder(spark: SparkSession) -> str | None:
-    """The shared folder for written tables; a temporary one only in a local session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    return _local_folder().name if spark.sparkContext.master.startswith("local") else None
+_names: dict[tuple[str, str], str] = {}
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -80,12 +67,22 @@ def release(spark: SparkSession) -> None:
         _shared.pop(key).unpersist()
     for key in [k for k in _paths if k[0] == session]:
         del _paths[key]
+    for key in [k for k in _names if k[0] == session]:
+        spark.sql(f"DROP TABLE IF EXISTS {_names.pop(key)}")
     folder = _folder(spark)
     if folder is not None:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/demandspark/{session}")
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def new_bronze(spark: SparkSession, buckets: int) -> str:
+    """The name of an empty bucketed bronze table in the shared folder."""
+    name = f"bronze_{uuid4().hex}"
+    _names[spark.sparkContext.applicationId, name] = name
+    arrivals.open_bronze(spark, name, new_path(spark, name), buckets)
+    return name
+
+
 def by_date(table: DataFrame) -> DataFrame:
     """Rows in date ranges, sorted, so that the files and row groups of a written table cover few dates each."""
     return table.repartitionByRange("date").sortWithinPartitions("date", "store_id", "sku_id")
