@@ -1,11 +1,14 @@
 """Forecasts: naive column forecasts, boosted trees, and their evaluation over time."""
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.functions.guards import group_window, join_on, require_columns
@@ -58,19 +61,25 @@ def boosted_trees(
     label: str = TARGET_COLUMN,
 ) -> Pipeline:
     """Encoders and a gradient-boosted tree regressor as one Spark ML pipeline."""
-    return Pipeline(
-        stages=encoder_stages()
-        + [
-            GBTRegressor(
-                featuresCol="features",
-                labelCol=label,
-                predictionCol="prediction",
-                maxIter=rounds,
-                stepSize=rate,
-                maxDepth=depth,
-                seed=seed,
-            )
-        ]
+    return Pipeline(stages=[*encoder_stages(), tree_regressor(rounds, rate, depth, seed, label)])
+
+
+def tree_regressor(
+    rounds: int = DEFAULT_ROUNDS,
+    rate: float = DEFAULT_RATE,
+    depth: int = 5,
+    seed: int = DEFAULT_SEED,
+    label: str = TARGET_COLUMN,
+) -> GBTRegressor:
+    """The boosted trees alone, over a vector column `features`."""
+    return GBTRegressor(
+        featuresCol="features",
+        labelCol=label,
+        predictionCol="prediction",
+        maxIter=rounds,
+        stepSize=rate,
+        maxDepth=depth,
+        seed=seed,
     )
 
 
@@ -128,22 +137,87 @@ def backtest_naive(features: DataFrame, horizon_days: int = 21, folds: int = 3)
     return backtest_forecast(features, naive_forecast, horizon_days, folds)
 
 
+def encoded_matrix(frame: DataFrame, keep: Sequence[str], path: str | None = None) -> DataFrame:
+    """The columns `keep`, the target and the vector `features` of every row, for fits that share one matrix.
+
+    The matrix is written to `path` and read from there; without a path it stays a plan, encoded at each use.  The encoders
+    see all rows of `frame`.  A category that occurs only outside a fit's own rows has a column that is zero in all of them, on
+    which no tree splits, so that fit treats it like one it has never seen.
+    """
+    require_columns(frame, [*keep, TARGET_COLUMN], "feature table")
+    encoded = Pipeline(stages=encoder_stages()).fit(frame).transform(frame)
+    matrix = encoded.select(*dict.fromkeys([*keep, TARGET_COLUMN]), "features")
+    if path is None:
+        return matrix
+    matrix.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
+def fit_matrix(matrix: DataFrame, rounds: int = DEFAULT_ROUNDS, seed: int = DEFAULT_SEED, **options) -> Model:
+    """Boosted trees of the rows of an encoded matrix."""
+    return tree_regressor(rounds=rounds, seed=seed, **options).fit(matrix)
+
+
+def side_by_side(spark: SparkSession, jobs: Mapping[str, Callable[[], object]], parallel: int) -> list:
+    """The results of the jobs, in their order; up to `parallel` run at a time, each in a scheduler pool of its name.
+
+    The pools share the executors evenly where spark.scheduler.mode is FAIR.  An error of any job is raised.
+    """
+
+    def in_pool(name, job):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return job()
+
+    with ThreadPoolExecutor(max_workers=parallel) as threads:
+        started = [threads.submit(inheritable_thread_target(spark)(in_pool), name, job) for name, job in jobs.items()]
+        return [future.result() for future in started]
+
+
 def backtest_trees(
     features: DataFrame,
     horizon_days: int = 21,
     folds: int = 3,
     rounds: int = DEFAULT_ROUNDS,
     seed: int = DEFAULT_SEED,
+    matrix_path: str | None = None,
+    parallel: int = 3,
     **options,
 ) -> DataFrame:
-    """Refit the boosted trees for every fold (one distributed fit each) and score its validation rows."""
-    rows = rolling_origin(features, horizon_days, folds)
-    scored = None
-    for number in range(1, folds + 1):
-        in_fold = rows.filter(F.col("fold") == number)
-        model = fit(in_fold.filter(F.col("split") == "train"), rounds, seed + number, **options)
-        part = predict(model, in_fold.filter(F.col("split") == "validation"))
-        scored = part if scored is None else scored.unionByName(part)
-    return backtest_report(
-        scored.withColumn("actual_units", F.col(TARGET_COLUMN).cast("double")), features, horizon_days, folds
-    )
+    """Refit the boosted trees for every fold and score its validation rows.
+
+    All folds read one encoded matrix, stored under `matrix_path` if given, each by a filter on its dates; the fits are
+    distributed jobs, `parallel` at a time.
+    """
+    matrix = encoded_matrix(features.withColumn("date", F.to_date("date")), ["date"], matrix_path)
+    dates = fold_summary(matrix, horizon_days, folds).orderBy("fold").collect()  # a row per fold
+
+    def fold_of(bounds):
+        return lambda: fit_matrix(matrix.filter(F.col("date") <= bounds["train_end"]), rounds, seed + bounds["fold"], **options)
+
+    fitted = side_by_side(features.sparkSession, {f"fold {b['fold']}": fold_of(b) for b in dates}, parallel)
+    parts = [
+        predict(model, matrix.filter(F.col("date").between(b["validation_start"], b["validation_end"]))).withColumn("fold", F.lit(b["fold"]))
+        for b, model in zip(dates, fitted)
+    ]
+    scored = reduce(DataFrame.unionByName, parts).withColumn("actual_units", F.col(TARGET_COLUMN).cast("double"))
+    return backtest_report(scored, matrix, horizon_days, folds)
+
+
+def candidate_report(
+    labelled: DataFrame,
+    rounds: int = DEFAULT_ROUNDS,
+    seed: int = DEFAULT_SEED,
+    matrix_path: str | None = None,
+    **options,
+) -> DataFrame:
+    """Metrics of the boosted trees of the training rows and of the naive forecast, on the validation and the test rows.
+
+    `labelled` is a feature table with its `split`.  A row per model and split, as `compare_models` gives, with
+    `beats_baseline`: whether the model's MAE is below the naive one of the split.
+    """
+    require_columns(labelled, ["split", NAIVE_COLUMN], "labelled feature table")
+    matrix = encoded_matrix(labelled, ["split", NAIVE_COLUMN], matrix_path)
+    model = fit_matrix(matrix.filter(F.col("split") == "train"), rounds, seed, **options)
+    held_out = predict(model, matrix.filter(F.col("split").isin("validation", "test")), "__trees").drop("features")
+    compared = compare_models(column_forecasts(held_out, {"naive": NAIVE_COLUMN, "trees": "__trees"}), "naive")
+    return compared.withColumn("beats_baseline", F.col("mae") < model_mae("naive", ["split"]))

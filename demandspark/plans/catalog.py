@@ -46,6 +46,7 @@ KEY = list(KEY_COLUMNS)
 MODEL = ["model_version"]
 
 ROUNDING_SHIFT = 1e-9
+CANDIDATE_ROUNDS = 40  # enough for the seasons that `tree_candidate` lays over the rows
 ARRIVAL_BATCHES = 3
 BRONZE_BUCKETS = 8
 
@@ -431,7 +432,8 @@ def gbt_forecast(spark, sf_dir):
 @query
 def backtest_gbt(spark, sf_dir):
     """Folds of the full model: dates, rows, and the relations that hold between any metrics."""
-    report = models.backtest_trees(tables.history(spark, sf_dir).drop("split"), 21, 3)
+    history = tables.history(spark, sf_dir).drop("split")
+    report = models.backtest_trees(history, 21, 3, matrix_path=tables.new_path(spark, "matrix"))
     share = [F.col(c).between(0.0, 1.0) for c in ("under_forecast_rate", "over_forecast_rate")]
     return report.select(
         "fold",
@@ -447,6 +449,17 @@ def backtest_gbt(spark, sf_dir):
     )
 
 
+@query
+def tree_candidate(spark, sf_dir):
+    """The boosted trees against the naive forecast on demand with a weekly and a yearly season, laid over the given rows."""
+    region = F.substring("store_id", 7, 2).cast("bigint")
+    units = 20 + F.when(F.weekday("date") >= 5, 30).otherwise(0) + 2 * F.month("date") + 5 * region
+    seasonal = layers.silver(tables.bronze(spark, sf_dir).withColumn("units_sold", units))
+    labelled = splits.time_split(feature_ops.build_features(seasonal), tables.VALIDATION_DAYS, tables.TEST_DAYS)
+    report = models.candidate_report(labelled, CANDIDATE_ROUNDS, matrix_path=tables.new_path(spark, "matrix"))
+    return report.select(*MODEL, "split", models.model_mae("naive", ["split"]).alias("baseline_mae"), "beats_baseline")
+
+
 @query
 def batch_score_naive(spark, sf_dir):
     return tables.naive_scores(spark, sf_dir)

@@ -882,6 +882,15 @@ oracle(
     "true AS all_numbers, true AS errors_ordered, true AS quantiles_ordered, true AS rates_are_shares FROM fold_parts",
     (*GOLD, backtest("rolling_7_mean_units")),
 )
+SEASON = "20 + CASE WHEN isodow(l_shipdate) >= 6 THEN 30 ELSE 0 END + 2 * month(l_shipdate) + 5 * cast(n_regionkey AS bigint)"
+SEASONAL = RAW.replace("cast(l_quantity AS bigint) AS units_sold", f"{SEASON} AS units_sold")
+oracle(
+    "tree_candidate",
+    f"SELECT model_version, split, {num('baseline_mae')}, model_version = 'trees' AS beats_baseline FROM ("
+    "SELECT split, avg(abs(rolling_7_mean_units - units_sold)) AS baseline_mae FROM split WHERE split <> 'train' GROUP BY split), "
+    "(SELECT unnest(['naive', 'trees']) AS model_version)",
+    (SEASONAL, BRONZE, SILVER, FEATURES, SPLIT),
+)
 oracle(
     "batch_score",
     f"SELECT {KEYS}, category, 'trees' AS model_version, '2026-01-01T00:00:00+00:00' AS prediction_timestamp, "

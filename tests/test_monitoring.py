@@ -4,13 +4,14 @@ import datetime as dt
 import json
 import math
 import random
+import threading
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from demandspark.functions.histogram import repair_edges, spread_shares
-from demandspark.operators import alerts, conformal, drift, features, governance, models, profiles, quality, retraining, scoring
+from demandspark.operators import alerts, conformal, drift, features, governance, models, profiles, quality, retraining, scoring, splits
 from demandspark.schemas import FEATURE_COLUMNS
 from demandspark.streaming.scoring import score_stream
 from tests.test_layers_features import silver_table, raw_row, two_series
@@ -447,6 +448,45 @@ def test_backtests_report_every_fold(spark):
     assert sorted(r.fold for r in trees) == [1, 2]
 
 
+def test_folds_share_a_stored_matrix_and_equal_fits_of_their_own(spark, tmp_path):
+    """The report reads the matrix and no history; categories that a fold has not seen change nothing."""
+    frame = weekly_series(spark, 60)
+    late = frame.groupBy().agg(F.max("date")).first()[0] - dt.timedelta(8)
+    frame = frame.withColumn("category", F.when(F.col("date") > late, "new").otherwise(F.col("category")))
+    history = str(tmp_path / "history")
+    frame.write.parquet(history)
+    stored = spark.read.parquet(history)
+    got = models.backtest_trees(stored, 7, 2, rounds=3, matrix_path=str(tmp_path / "matrix"), parallel=2)
+    assert got.inputFiles() and all("/matrix/" in f for f in got.inputFiles())
+    rows = splits.rolling_origin(frame, 7, 2)
+    for row in got.collect():
+        in_fold = rows.filter(F.col("fold") == row.fold)
+        model = models.fit(in_fold.filter("split = 'train'"), 3, models.DEFAULT_SEED + row.fold)
+        scored = models.predict(model, in_fold.filter("split = 'validation'"))
+        assert row.mae == pytest.approx(scored.agg(F.avg(F.abs(F.col("predicted_units") - F.col("units_sold")))).first()[0])
+
+
+def test_side_by_side_keeps_order_pools_and_errors(spark):
+    pool = lambda: spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+    meeting = threading.Barrier(2)  # passes only if both run at once
+
+    def job():
+        meeting.wait(30)
+        return pool(), spark.range(10).count()
+
+    assert models.side_by_side(spark, {"a": job, "b": job}, 2) == [("a", 10), ("b", 10)]
+    assert pool() is None
+    with pytest.raises(ZeroDivisionError):
+        models.side_by_side(spark, {"a": lambda: 1, "b": lambda: 1 / 0}, 2)
+
+
+def test_a_candidate_is_compared_with_naive(spark):
+    labelled = splits.time_split(weekly_series(spark), 21, 21)
+    found = {(r.model_version, r.split): r for r in models.candidate_report(labelled, 15, rate=0.3).collect()}
+    assert set(found) == {(m, s) for m in ("naive", "trees") for s in ("validation", "test")}
+    assert all(r.beats_baseline == (r.model_version == "trees") for r in found.values())
+
+
 def test_scores_without_target_and_empty_records(spark):
     frame = features.build_features(two_series(spark))
     log = scoring.batch_score(frame.drop("units_sold"), models.naive_forecast, "naive", "now")

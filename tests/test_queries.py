@@ -13,7 +13,7 @@ from tests.compare import compare, connect
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMOKE_DIR), reason="test tables are not present")
 
 # Each of these fits the full boosted model over hundreds of rounds, which takes minutes.
-SLOW = {"backtest_gbt", "batch_score", "gbt_forecast"}
+SLOW = {"backtest_gbt", "batch_score", "gbt_forecast", "tree_candidate"}
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +38,8 @@ def test_query_equals_sql(spark, connection, name):
 @pytest.mark.parametrize("name", sorted(SLOW))
 def test_tree_query_equals_sql(spark, connection, monkeypatch, name):
     """The registered queries with a few rounds in place of the full number."""
-    full = models.fit
-    monkeypatch.setattr(models, "fit", lambda train, rounds=3, seed=models.DEFAULT_SEED, **more: full(train, 3, seed, **more))
+    for fit in ("fit", "fit_matrix"):
+        full = getattr(models, fit)
+        few = lambda rows, rounds=3, seed=models.DEFAULT_SEED, full=full, **more: full(rows, 3, seed, **more)
+        monkeypatch.setattr(models, fit, few)
     assert compare(QUERIES[name](spark, SMOKE_DIR), connection, ORACLES[name]) is None
