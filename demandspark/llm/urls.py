@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandspark.llm.common import materialise
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MIN_GOOD = 0.7
 Z = 1.0
@@ -83,6 +85,7 @@ def reputation(outcomes: DataFrame, hosts: DataFrame, z: float = Z) -> DataFrame
     )
     per_host = labelled.groupBy("host").agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.count("good").alias("n"))
     per_host = per_host.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("domain")))
+    per_host = materialise(per_host, "hosts")  # every level and strength below is a sum over it
     per_domain = per_host.groupBy("domain", "suffix").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     per_suffix = per_domain.groupBy("suffix").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     whole = per_suffix.agg(((F.sum("good") + 1) / (F.sum("n") + 2)).alias("m"))
