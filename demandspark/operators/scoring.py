@@ -1,6 +1,6 @@
 """Batch scoring: predictions with version, time stamp, intervals and, if known, the actuals."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import quote
 
 from pyspark.ml import PipelineModel
@@ -138,31 +138,36 @@ def test_predictions(test: DataFrame, radius: DataFrame | float | None = None, p
     return add_intervals(output, radius, predicted="prediction").drop("prediction_interval_coverage")
 
 
+def _summary_of_cells(predictions: DataFrame, by: Sequence[str], keys: Mapping[str, str]) -> DataFrame:
+    """Rows, extremes and distinct counts from one row per group, store and SKU; a value that is not finite is an extreme of its cell."""
+    units = F.col("predicted_units")
+    whole = F.count(units) == F.count(F.lit(1))  # a cell with a NULL has no extremes, which stops the job
+    cells = predictions.groupBy(*dict.fromkeys([*by, *keys.values()])).agg(
+        F.count(F.lit(1)).alias("__n"), F.when(whole, F.min(units)).alias("__low"), F.when(whole, F.max(units)).alias("__high")
+    )
+    measures = {"rows": F.sum("__n"), "min_predicted_units": F.min("__low"), "max_predicted_units": F.max("__high")}
+    distinct = {f"unique_{label}": F.count_distinct(column) for label, column in keys.items()}
+    return checked_aggregate(cells, ("__low", "__high"), measures | distinct, by)
+
+
 def prediction_summary(
     predictions: DataFrame, by: Sequence[str] = (), method: str = "select", approximate: bool = False
 ) -> DataFrame:
     """Row, store and SKU counts and the spread of the predictions.
 
-    `approximate` counts distinct stores and SKUs with a sketch, which spares the exact count's expansion of the rows.
+    The exact counts of distinct stores and SKUs expand a row per store and SKU, not the rows of the table; `approximate` uses a
+    sketch and needs neither.
     """
     present = set(predictions.columns)
-    count_distinct = F.approx_count_distinct if approximate else F.count_distinct
-    distinct = {
-        f"unique_{label}": count_distinct(column) if column in present else F.lit(0).cast("bigint")
-        for label, column in (("stores", "store_id"), ("skus", "sku_id"))
-    }
-    sums = checked_aggregate(
-        predictions,
-        ("predicted_units",),
-        {
-            "rows": F.count(F.lit(1)),
-            **distinct,
-            "has_actuals": F.lit("actual_units" in present),
-            "min_predicted_units": F.min("predicted_units"),
-            "max_predicted_units": F.max("predicted_units"),
-        },
-        by,
-    )
+    keys = {label: column for label, column in (("stores", "store_id"), ("skus", "sku_id")) if column in present}
+    if keys and not approximate:
+        sums = _summary_of_cells(predictions, by, keys)
+    else:
+        measures = {"rows": F.count(F.lit(1)), "min_predicted_units": F.min("predicted_units"), "max_predicted_units": F.max("predicted_units")}
+        distinct = {f"unique_{label}": F.approx_count_distinct(column) for label, column in keys.items()}
+        sums = checked_aggregate(predictions, ("predicted_units",), measures | distinct, by)
+    missing = {f"unique_{label}": F.lit(0).cast("bigint") for label in ("stores", "skus") if label not in keys}
+    sums = sums.withColumns({**missing, "has_actuals": F.lit("actual_units" in present)})
     spread = quantiles(
         predictions, "predicted_units", {"p50_predicted_units": 0.5, "p90_predicted_units": 0.9}, by, method
     ).drop("value_count")

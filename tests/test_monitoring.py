@@ -367,6 +367,13 @@ def test_prediction_summary(spark):
     row = scoring.prediction_summary(frame).first()
     assert (row.rows, row.unique_stores, row.unique_skus, row.has_actuals) == (3, 2, 2, True)
     assert row.p90_predicted_units == pytest.approx(36.0)
+    for bad in (None, float("nan"), float("inf"), float("-inf")):
+        with pytest.raises(Exception, match="cannot be evaluated"):
+            scoring.prediction_summary(frame.withColumn("predicted_units", F.when(F.col("sku_id") == "a", F.lit(bad)).otherwise(1.0))).collect()
+    with pytest.raises(Exception, match="empty"):
+        scoring.prediction_summary(frame.limit(0)).collect()
+    by_store = {r.store_id: (r.rows, r.unique_stores, r.unique_skus) for r in scoring.prediction_summary(frame, ["store_id"]).collect()}
+    assert by_store == {"s1": (2, 1, 2), "s2": (1, 1, 1)}
     bare = scoring.prediction_summary(frame.select("predicted_units")).first()
     assert (bare.unique_stores, bare.unique_skus, bare.has_actuals) == (0, 0, False)
 
