@@ -14,11 +14,17 @@ def bronze(raw: DataFrame, ingest_order: Sequence[str]) -> DataFrame:
 
     `ingest_order` must be a total order within a key.  The `row = 1` filter lets Spark keep one row per
     key and input partition before the shuffle, so a heavily repeated key never travels as a whole.
+    Each input partition is sorted for that, so the rows are dealt out first, by a hash of the key, into partitions
+    of the advisory size of adaptive execution: the sort of a task does not grow with the table, and
+    adaptive execution cuts the partition of a heavily repeated key between the tasks that wrote it.
     """
     require_columns(raw, RAW_COLUMNS + tuple(ingest_order), "raw demand data")
     first = Window.partitionBy(*KEY_COLUMNS).orderBy(*ingest_order)
     return (
         raw.select(*dict.fromkeys(RAW_COLUMNS + tuple(ingest_order)))
+        .withColumn("__deal", F.xxhash64(*KEY_COLUMNS))
+        .hint("rebalance", "__deal")
+        .drop("__deal")
         .withColumn("__position", F.row_number().over(first))
         .filter(F.col("__position") == 1)
         .select(*RAW_COLUMNS)

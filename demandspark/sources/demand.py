@@ -72,16 +72,13 @@ def demand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw demand row per line item, plus the ingest-order columns.
 
     The dimension joins carry no broadcast hint: Spark broadcasts a side only when its size statistics
-    are below the configured threshold and otherwise uses a skew-aware sort-merge join.
+    are below the configured threshold and otherwise uses a skew-aware sort-merge join.  Each table joins the lines
+    by itself, because the size estimate of two joined tables is their product, which would shuffle the lines.
     """
     lines = table(spark, sf_dir, "lineitem")
-    stores = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey"),
-            F.concat(F.lit("store_"), F.lpad(F.col("n_regionkey").cast("string"), 2, "0")).alias("store_id"),
-        )
+    stores = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    regions = table(spark, sf_dir, "nation").select(
+        "n_nationkey", F.concat(F.lit("store_"), F.lpad(F.col("n_regionkey").cast("string"), 2, "0")).alias("store_id")
     )
     category = F.element_at(
         F.array(*[F.lit(c) for c in CATEGORIES]),
@@ -90,6 +87,7 @@ def demand_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice", category.alias("category"))
     return (
         lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(regions, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.col("l_shipdate").cast("date").alias("date"),

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,6 +72,53 @@ def test_bronze_of_one_heavily_repeated_key(spark):
     assert found == {key: units for key, (_, units) in expected.items()}
 
 
+def test_bronze_sorts_partitions_of_the_advisory_size(spark):
+    """Rows, most of them of one key, are dealt out and cut before any sort, so a task's sort is bounded."""
+    raw = spark.range(0, 60_000, 1, 8).selectExpr(
+        "date_add(date'2025-01-01', cast(CASE WHEN id % 3 > 0 THEN 0 ELSE id % 97 END AS int)) AS date",
+        "'s0' AS store_id", "'a' AS sku_id", "'g' AS category", "sqrt(id) AS price", "0 AS promotion", "0 AS stockout",
+        "60D AS temperature", "id AS units_sold", "60000 - id AS line",
+    )
+    name, before = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set(name, "64k")
+    try:
+        kept = layers.bronze(raw, ["line"])
+        execution = kept._jdf.queryExecution()
+        assert execution.toRdd().count() == 97
+        plan = execution.executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    final, first = plan.split("== Initial Plan ==")
+    assert re.search(r"WindowGroupLimit[^\n]*Partial.*REBALANCE_PARTITIONS_BY_COL", first, re.S)
+    assert re.search(r"WindowGroupLimit[^\n]*Partial.*AQEShuffleRead[^\n]*skewed", final, re.S)
+    assert max(r.units_sold for r in kept.collect()) == 59_999
+
+
+def test_lines_are_not_shuffled_to_meet_small_tables(spark, tmp_path):
+    """1,000 suppliers and 25 nations are small, though the product of their sizes is not."""
+    tables = {
+        "nation": spark.range(25).selectExpr("cast(id AS int) AS n_nationkey", "cast(id % 5 AS int) AS n_regionkey"),
+        "supplier": spark.range(1000).selectExpr("id AS s_suppkey", "cast(id % 25 AS int) AS s_nationkey"),
+        "part": spark.range(100).selectExpr("id AS p_partkey", "concat('Brand#', 11 + id % 5) AS p_brand", "1D AS p_retailprice"),
+        "lineitem": spark.range(5000).selectExpr(
+            "id AS l_orderkey", "id % 100 AS l_partkey", "id % 1001 AS l_suppkey", "1 AS l_linenumber", "5D AS l_quantity",
+            "1D AS l_extendedprice", "0D AS l_discount", "timestamp'2025-01-01' AS l_shipdate",
+        ),
+    }
+    for name, rows in tables.items():
+        rows.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    name, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(name, "16k")
+    try:
+        raw = demand.demand_rows(spark, str(tmp_path))
+        plan = raw._jdf.queryExecution().executedPlan().toString()
+        found = {r.store_id: r["count"] for r in raw.groupBy("store_id").count().collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 3
+    assert found == {f"store_0{k}": sum(1 for i in range(5000) if i % 1001 < 1000 and i % 1001 % 25 % 5 == k) for k in range(5)}
+
+
 def test_bronze_order_puts_missing_dates_last(spark):
     frame = layers.sort_bronze(raw_table(spark, [raw_row(None), raw_row(1), raw_row(0)]))
     assert [r.date for r in frame.collect()] == [START, START + dt.timedelta(1), None]
