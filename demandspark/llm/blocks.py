@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandspark.llm.common import new_path, records
-from demandspark.llm.tokenization import SharedTokenizer
+from demandspark.llm.tokenization import TEXTS_AT_ONCE, PieceTokenizer, SharedTokenizer
 
 MAGIC = b"PFB1"
 BLOCK = 1024
@@ -110,7 +110,7 @@ def encode(ids: np.ndarray, quantile: float = 0.9) -> bytes:
     return head + starts.astype("<u8").tobytes() + b"".join(packed)
 
 
-def decode(data: bytes, begin: int = 0, end: int | None = None) -> np.ndarray:
+def decode(data: bytes | pa.Buffer, begin: int = 0, end: int | None = None) -> np.ndarray:
     """The ids from place `begin` to before `end`, from the blocks that hold them."""
     head = np.frombuffer(data, _HEAD, 1)[0]
     if bytes(head["magic"]) != MAGIC:
@@ -148,7 +148,7 @@ def _segment(owners: list, parts: list[np.ndarray]) -> bytes:
     return body + table
 
 
-def _documents(data: bytes) -> tuple[list, np.ndarray]:
+def _documents(data: bytes | pa.Buffer) -> tuple[list, np.ndarray]:
     """Owners and lengths from the table at the end of a segment, whose last field is its count."""
     count = int(np.frombuffer(data, "<u8", 1, len(data) - 8)[0])
     at = len(data) - 8 - 17 * count
@@ -158,6 +158,13 @@ def _documents(data: bytes) -> tuple[list, np.ndarray]:
     return [None if f else n for f, n in zip(flags.tolist(), names.tolist())], lengths
 
 
+def encoded(batches: Iterator[pa.RecordBatch], coder: PieceTokenizer) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Owner and ids of each document; beyond the batch that Spark sends, only `TEXTS_AT_ONCE` texts and their ids are held."""
+    for batch in batches:
+        for some in (batch.slice(at, TEXTS_AT_ONCE) for at in range(0, batch.num_rows, TEXTS_AT_ONCE)):
+            yield from zip(some.column(0).to_pylist(), coder.encode(some.column(1).to_pylist()))
+
+
 def write_tokens(
     docs: DataFrame, tokenizer: SharedTokenizer, path: str, doc_id: str = "doc_id", text: str = "text", end_id: int = END_ID
 ) -> None:
@@ -186,14 +193,13 @@ def write_tokens(
                 SEGMENTS,
             )
 
-        for batch in batches:
-            for owner, ids in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist())):
-                owners.append(owner)
-                parts.append(np.append(ids.astype("<u4"), np.uint32(end_id)))
-                held += len(parts[-1])
-                if held >= SEGMENT_IDS:
-                    yield flush()
-                    segment, start, held, owners, parts = segment + 1, start + held, 0, [], []
+        for owner, ids in encoded(batches, coder):
+            owners.append(owner)
+            parts.append(np.append(ids.astype("<u4"), np.uint32(end_id)))
+            held += len(parts[-1])
+            if held >= SEGMENT_IDS:
+                yield flush()
+                segment, start, held, owners, parts = segment + 1, start + held, 0, [], []
         if owners:
             yield flush()
 
@@ -219,7 +225,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, start, data in zip(*(column.to_pylist() for column in batch.columns)):
+            for part, start, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                data = value.as_buffer()  # the bytes of the batch itself: a batch holds all segments of a split
                 owners, lengths = _documents(data)
                 ids = decode(data)
                 ends = np.cumsum(lengths)

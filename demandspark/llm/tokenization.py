@@ -62,6 +62,7 @@ class PieceTokenizer:
         self.cache_pieces = CACHE_PIECES if cache_pieces is None else cache_pieces
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = plain_specials
+        self.model = self.tokenizer.model  # the attribute makes a new object at each use
         # A text that may hold one of these, in any case, goes through the library whole.
         self.specials = [] if plain_specials else [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
@@ -100,7 +101,7 @@ class PieceTokenizer:
         return _BLANK + letters if blank and not self.drops_blanks else letters
 
     def _model_ids(self, word: str) -> bytes:
-        return array(self.code, [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
+        return array(self.code, [token.id for token in self.model.tokenize(word)]).tobytes()
 
     def _tail(self, marks: str) -> bytes:
         ids = self.tails.get(marks)

@@ -3,12 +3,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from demandspark.llm import blocks, packing
 from demandspark.llm.common import new_path
-from demandspark.llm.tokenization import PieceTokenizer, SharedTokenizer
+from demandspark.llm.tokenization import TEXTS_AT_ONCE, PieceTokenizer, SharedTokenizer
 from tests.llm import samples
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
@@ -173,3 +174,28 @@ def test_empty_tables(spark):
     tokenizer = SharedTokenizer(spark, public_tokenizers.path(FILES[0]))
     assert packing.pack_documents(samples.documents(spark, []), tokenizer).count() == 0
     assert blocks.round_trip(samples.documents(spark, []), tokenizer).count() == 0
+
+
+def test_texts_of_a_batch_are_encoded_a_few_at_a_time():
+    """However long a batch, the writer turns few of its texts into strings and ids at once."""
+    taken = []
+
+    class Coder:
+        def encode(self, texts):
+            taken.append(len(texts))
+            return [np.array([len(t)], np.uint16) for t in texts]
+
+    batch = pa.RecordBatch.from_pydict({"id": [None, *range(1, 1001)], "body": ["x" * (n % 7) for n in range(1001)]})
+    found = []
+    for owner, ids in blocks.encoded(iter([batch, batch.slice(0, 0)]), Coder()):
+        found.append((owner, ids.tolist()))
+        assert sum(taken) - len(found) < TEXTS_AT_ONCE
+    assert found == [(n or None, [n % 7]) for n in range(1001)]
+    assert max(taken) <= TEXTS_AT_ONCE
+
+
+def test_blocks_are_read_in_place():
+    ids = np.arange(5000, dtype=np.uint32) % 777
+    data = pa.array([blocks.encode(ids)])[0].as_buffer()
+    assert blocks.decode(data).tolist() == ids.tolist()
+    assert blocks.decode(data, 1500, 1600).tolist() == ids[1500:1600].tolist()
