@@ -17,6 +17,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")  # tests read whole paths and filters in plans
         .config("spark.driver.memory", "8g")
     )
     session = builder.getOrCreate()
