@@ -1,10 +1,14 @@
 """The shared folder for intermediate tables."""
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
 
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 @cache
 def _local_folder() -> tempfile.TemporaryDirectory:
@@ -24,3 +28,14 @@ def allow_checkpoints(spark: SparkSession) -> None:
     folder = shared_folder(spark)
     if folder and spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside remove their shuffle files when they end; else those stay until the driver collects its garbage."""
+    before = spark.conf.get(_REMOVE_SHUFFLES, "false")
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_REMOVE_SHUFFLES, before)

@@ -454,8 +454,7 @@ def tree_candidate(spark, sf_dir):
     """The boosted trees against the naive forecast on demand with a weekly and a yearly season, laid over the given rows."""
     region = F.substring("store_id", 7, 2).cast("bigint")
     units = 20 + F.when(F.weekday("date") >= 5, 30).otherwise(0) + 2 * F.month("date") + 5 * region
-    seasonal = layers.silver(tables.bronze(spark, sf_dir).withColumn("units_sold", units))
-    labelled = splits.time_split(feature_ops.build_features(seasonal), tables.VALIDATION_DAYS, tables.TEST_DAYS)
+    labelled = splits.time_split(tables.relabelled_features(spark, sf_dir, "seasonal", units), tables.VALIDATION_DAYS, tables.TEST_DAYS)
     report = models.candidate_report(labelled, CANDIDATE_ROUNDS, matrix_path=tables.new_path(spark, "matrix"))
     return report.select(*MODEL, "split", models.model_mae("naive", ["split"]).alias("baseline_mae"), "beats_baseline")
 

@@ -11,11 +11,12 @@ from collections.abc import Callable, Mapping, Sequence
 from uuid import uuid4
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.functions.storage import shared_folder as _folder
+from demandspark.functions.storage import shared_folder as _folder, shuffles_removed
 from demandspark.operators import conformal, cube, features as feature_ops, layers, models, profiles, scoring, splits
+from demandspark.schemas import CATEGORICAL_COLUMNS, FEATURE_COLUMNS, KEY_COLUMNS, TARGET_COLUMN
 from demandspark.sources import arrivals, demand
 from demandspark.sources.writers import write_table
 
@@ -52,7 +53,8 @@ def _share(
         table = build()
         if _folder(spark):
             _paths[key] = new_path(spark, name)
-            write_table(table, _paths[key], mode="errorifexists", partition_by=partition_by)
+            with shuffles_removed(spark):  # the written table is read from now on
+                write_table(table, _paths[key], mode="errorifexists", partition_by=partition_by)
             table = spark.read.parquet(_paths[key])
         else:
             table = table.persist()
@@ -104,6 +106,19 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _share(spark, sf_dir, "features", lambda: by_date(feature_ops.build_features(silver(spark, sf_dir))))
 
 
+def relabelled_features(spark: SparkSession, sf_dir: str, name: str, units: Column) -> DataFrame:
+    """The model columns of the feature table of demand whose units are `units`, a function of the silver columns; stored.
+
+    It starts from the stored silver rows, so no raw row is shuffled again for it, and every reader has the columns from the store.
+    """
+
+    def build() -> DataFrame:
+        rows = layers.silver(silver(spark, sf_dir).withColumn(TARGET_COLUMN, units))
+        return feature_ops.build_features(rows).select(*dict.fromkeys(KEY_COLUMNS + CATEGORICAL_COLUMNS + FEATURE_COLUMNS), TARGET_COLUMN)
+
+    return _share(spark, sf_dir, f"{name}_features", build)
+
+
 def feature_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files of the feature table as a stream."""
     schema = features(spark, sf_dir).schema
